@@ -11,8 +11,8 @@ LI = "regexp_replace(html, '(?s)<script.*?</script>', '', 'g')"
 
 def list_positions(body: str, tag: str, cls: str | None = None) -> str:
     attrs = f'[^>]*class="{cls}"[^>]*' if cls else "[^>]*"
-    return (f"SELECT page_id, unnest(regexp_extract_all({body}, '<{tag}{attrs}>(.*?)</{tag}>', 1)) AS inner_html, "
-            f"generate_subscripts(regexp_extract_all({body}, '<{tag}{attrs}>(.*?)</{tag}>', 1), 1) - 1 AS pos FROM pages")
+    return (f"SELECT page_id, unnest(regexp_extract_all({body}, '(?s)<{tag}{attrs}>(.*?)</{tag}>', 1)) AS inner_html, "
+            f"generate_subscripts(regexp_extract_all({body}, '(?s)<{tag}{attrs}>(.*?)</{tag}>', 1), 1) - 1 AS pos FROM pages")
 
 
 @query(f'SELECT page_id, pos::INT AS pos, inner_html AS "inner" FROM ({list_positions(LI, "li")})')

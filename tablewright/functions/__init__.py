@@ -3,6 +3,7 @@
 from tablewright.functions.html import (
     elements,
     has_open_end,
+    nth_text,
     parse_band,
     parse_percent,
     text_of,
@@ -23,6 +24,6 @@ from tablewright.functions.values import (
 
 __all__ = [
     "blank_to_null", "differs", "elements", "fold_of", "has_open_end", "hash32", "hash_unit",
-    "in_range", "is_missing", "nan_to_null", "none_of", "parse_band", "parse_percent",
+    "in_range", "is_missing", "nan_to_null", "none_of", "nth_text", "parse_band", "parse_percent",
     "percent_to_fraction", "text_of", "without_scripts",
 ]

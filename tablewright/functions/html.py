@@ -25,106 +25,98 @@ NAMED_CHARACTERS = {
 }
 EN_DASH = "–"
 
-
-def without_scripts(html: Column | str) -> Column:
+def without_scripts(html: str) -> Column:
     """Drop comments, scripts and styles, whose text may look like tags."""
-    html = as_column(html)
-    html = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    html = F.regexp_replace(html, r"(?is)<script\b.*?</script\s*>", "")
-    return F.regexp_replace(html, r"(?is)<style\b.*?</style\s*>", "")
-
-
-def _class_of(open_tag: Column) -> Column:
-    pattern = r"""(?is)\sclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    return F.concat(*[F.regexp_extract(open_tag, pattern, k) for k in (1, 2, 3)])
-
+    clean = F.regexp_replace(F.col(html), r"(?s)<!--.*?-->", "")
+    clean = F.regexp_replace(clean, r"(?is)<script\b.*?</script\s*>", "")
+    return F.regexp_replace(clean, r"(?is)<style\b.*?</style\s*>", "")
 
-def _has_class(open_tag: Column, wanted: str) -> Column:
-    value = _class_of(open_tag)
-    return (value == wanted) | F.array_contains(F.split(value, r"\s+"), wanted)
 
+def _once(value: str, name: str, body: str) -> str:
+    """SQL that evaluates a value once and uses it under a name in a body.
 
-def elements(html: Column | str, tag: str, class_: str | None = None) -> Column:
-    """All elements of a tag as array<struct<open, inner>> in document order.
+    An expression mentioned twice is otherwise evaluated twice, which for a
+    regular expression over a page is most of the cost.
+    """
+    return f"element_at(transform(array({value}), {name} -> ({body})), 1)"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _class_test(mark: str, wanted: str) -> str:
+    pattern = r"""r'(?is)\sclass\s*=\s*(?:"([^"]*)"|\x27([^\x27]*)\x27|([^\s"\x27>]+))'"""
+    value = "concat(" + ", ".join(f"regexp_extract({mark}, {pattern}, {k})" for k in (1, 2, 3)) + ")"
+    wanted = _quoted(wanted)
+    test = rf"cls = {wanted} OR array_contains(split(cls, r'\s+'), {wanted})"
+    # The plain search first: it spares most tags the regular expressions.
+    return f"contains({mark}, {wanted}) AND {_once(value, 'cls', test)}"
+
+
+def _elements_sql(html: str, tag: str, class_: str | None) -> str:
+    if not tag.isalnum():
+        raise ValueError(f"not a tag name: {tag!r}")
+    marks = rf"r'(?is)</?{tag}(?=[\s>/])[^>]*>'"
+    place = "open:int, start:int"
+    top = "get(s.stack, size(s.stack) - 1)"
+    wanted = "" if class_ is None else f"AND {_class_test(f'{top}.mark', class_)}"
+    walk = f"""aggregate(
+      zip_with(split(page, {marks}, -1), regexp_extract_all(page, {marks}, 0), (text, mark) -> struct(
+        coalesce(length(text), 0) AS skip, coalesce(length(mark), 0) AS width,
+        coalesce(mark, '') AS mark, coalesce(startswith(mark, '</'), false) AS closes)),
+      struct(0 AS here, CAST(array() AS array<struct<{place}, mark:string>>) AS stack,
+             CAST(array() AS array<struct<{place}, stop:int, mark:string>>) AS found),
+      (s, x) -> struct(
+        s.here + x.skip + x.width AS here,
+        CASE WHEN x.width = 0 THEN s.stack
+             WHEN NOT x.closes THEN concat(s.stack, array(struct(
+               s.here + x.skip AS open, s.here + x.skip + x.width AS start, x.mark AS mark)))
+             WHEN size(s.stack) > 0 THEN slice(s.stack, 1, size(s.stack) - 1)
+             ELSE s.stack END AS stack,
+        CASE WHEN x.closes AND size(s.stack) > 0 {wanted} THEN concat(s.found, array(struct(
+               {top}.open AS open, {top}.start AS start, s.here + x.skip AS stop, {top}.mark AS mark)))
+             ELSE s.found END AS found),
+      s -> transform(array_sort(s.found), f -> struct(
+        f.open AS open, substring(page, f.start + 1, f.stop - f.start) AS inner, f.mark AS mark)))"""
+    return _once(html, "page", walk)
+
+
+def elements(html: str, tag: str, class_: str | None = None) -> Column:
+    """All elements of a tag in a column, as array<struct<open, inner, mark>> in document order.
 
     Elements of the same tag may be nested: opening and closing tags are paired
     like brackets by folding over the page's tags with a stack of the positions
     still open. An element that is never closed is left out. ``class_`` is
     matched as one token of the class attribute or as the whole attribute.
     """
-    html = as_column(html)
-    marks = rf"(?is)</?{tag}(?=[\s>/])[^>]*>"
-    tags = F.regexp_extract_all(html, F.lit(marks), F.lit(0))
-    texts = F.split(html, marks, -1)
-    steps = F.zip_with(texts, tags, lambda text, mark: F.struct(
-        F.coalesce(F.length(text), F.lit(0)).alias("skip"),
-        F.coalesce(F.length(mark), F.lit(0)).alias("size"),
-        F.coalesce(mark, F.lit("")).alias("mark"),
-    ))
-    opened = "struct<open:int,from:int,mark:string>"
-    found = "struct<open:int,from:int,upto:int,mark:string>"
-    start = F.struct(
-        F.lit(0).alias("at"),
-        F.array().cast(f"array<{opened}>").alias("stack"),
-        F.array().cast(f"array<{found}>").alias("found"),
-    )
-
-    def advance(state: Column, step: Column) -> Column:
-        at = state["at"] + step["skip"]
-        after = (at + step["size"]).cast("int")
-        stack = state["stack"]
-        top = F.get(stack, F.size(stack) - 1)
-        closes = step["mark"].startswith("</")
-        opens = (step["size"] > 0) & ~closes
-        pairs = closes & (F.size(stack) > 0)
-        grown = F.concat(stack, F.array(F.struct(
-            at.cast("int").alias("open"), after.alias("from"), step["mark"].alias("mark"))))
-        shrunk = F.slice(stack, F.lit(1), F.size(stack) - 1)
-        keep = pairs if class_ is None else pairs & _has_class(top["mark"], class_)
-        match = F.concat(state["found"], F.array(F.struct(
-            top["open"].alias("open"), top["from"].alias("from"),
-            at.cast("int").alias("upto"), top["mark"].alias("mark"))))
-        return F.struct(
-            after.alias("at"),
-            F.when(opens, grown).when(pairs, shrunk).otherwise(stack).alias("stack"),
-            F.when(keep, match).otherwise(state["found"]).alias("found"),
-        )
-
-    def inner(hit: Column) -> Column:
-        return F.struct(
-            hit["open"].alias("open"),
-            F.substring(html, hit["from"] + 1, hit["upto"] - hit["from"]).alias("inner"),
-            hit["mark"].alias("mark"),
-        )
-
-    return F.aggregate(steps, start, advance,
-                       lambda state: F.transform(F.array_sort(state["found"]), inner))
-
-
-def text_of(html: Column | str) -> Column:
-    """Text of an HTML fragment: tags dropped, character references decoded."""
-    bare = F.regexp_replace(as_column(html), r"(?s)<!--.*?-->", "")
-    bare = F.regexp_replace(bare, r"<[^>]*>", "")
-    return F.when(bare.contains("&"), _decoded(bare)).otherwise(bare)
-
-
-def _decoded(text: Column) -> Column:
+    return F.expr(_elements_sql(f"`{html}`", tag, class_))
+
+
+def _text_sql(html: str) -> str:
+    bare = rf"regexp_replace(regexp_replace({html}, r'(?s)<!--.*?-->', ''), '<[^>]*>', '')"
+    named = "t"
     for name, char in NAMED_CHARACTERS.items():
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
-
-    def numbered(piece: Column) -> Column:
-        digits = F.regexp_extract(piece, r"^(\d{1,5});", 1)
-        hexed = F.regexp_extract(piece, r"^[xX]([0-9a-fA-F]{1,4});", 1)
-        code = F.when(digits != "", F.conv(digits, 10, 16)).otherwise(hexed)
-        usable = (F.length(code) > 0) & (F.length(code) <= 4)
-        char = F.decode(F.unhex(F.lpad(code, 4, "0")), "UTF-16BE")
-        rest = F.regexp_replace(piece, r"^[0-9a-fA-FxX]{1,5};", "")
-        return F.when(usable, F.concat(char, rest)).otherwise(F.concat(F.lit("&#"), piece))
-
-    pieces = F.split(text, "&#", -1)
-    tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), numbered)
-    text = F.concat(pieces[0], F.array_join(tail, ""))
-    return F.replace(text, F.lit("&amp;"), F.lit("&"))
+        named = f"replace({named}, '&{name};', {_quoted(char)})"
+    number = (r"CASE WHEN rlike(piece, r'^\d{1,5};') THEN conv(regexp_extract(piece, r'^(\d+)', 1), 10, 16) "
+              r"ELSE regexp_extract(piece, r'^[xX]([0-9a-fA-F]{1,4});', 1) END")
+    spelled = ("CASE WHEN length(code) BETWEEN 1 AND 4 "
+               "THEN concat(decode(unhex(lpad(code, 4, '0')), 'UTF-16BE'), substring(piece, locate(';', piece) + 1)) "
+               "ELSE concat('&#', piece) END")
+    joined = ("concat(pieces[0], array_join(transform(slice(pieces, 2, size(pieces)), "
+              f"piece -> {_once(number, 'code', spelled)}), ''))")
+    numbered = _once(f"split({named}, '&#', -1)", "pieces", joined)
+    return _once(bare, "t", f"CASE WHEN contains(t, '&') THEN replace({numbered}, '&amp;', '&') ELSE t END")
+
+
+def text_of(html: str) -> Column:
+    """Text of an HTML column: tags dropped, character references decoded."""
+    return F.expr(_text_sql(f"`{html}`"))
+
+
+def nth_text(html: str, tag: str, n: int) -> Column:
+    """Text of the n-th (from 0) element of a tag; null when there are fewer."""
+    return F.expr(_text_sql(f"get({_elements_sql(f'`{html}`', tag, None)}, {int(n)}).inner"))
 
 
 def parse_band(text: Column | str, bound: str, top: float = 200.0) -> Column:

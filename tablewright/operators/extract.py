@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions import html as H
@@ -17,8 +17,8 @@ from tablewright.functions import html as H
 def extract_elements(pages: DataFrame, tag: str, class_: str | None = None, *,
                      id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """(id, pos, inner) of all elements of a tag and class, nested ones included."""
-    found = H.elements(H.without_scripts(html_col), tag, class_)
-    return (pages.select(id_col, F.posexplode(found).alias("pos", "element"))
+    clean = pages.select(id_col, H.without_scripts(html_col).alias("_html"))
+    return (clean.select(id_col, F.posexplode(H.elements("_html", tag, class_)).alias("pos", "element"))
             .select(id_col, "pos", F.col("element.inner").alias("inner")))
 
 
@@ -31,13 +31,9 @@ def nested_elements(elements: DataFrame, tag: str, class_: str | None = None, *,
             .select(id_col, "outer_pos", "pos", F.col("element.inner").alias("inner")))
 
 
-def nth_child_text(inner: Column | str, tag: str, n: int = 0) -> Column:
-    return H.text_of(F.get(H.elements(inner, tag), F.lit(n))["inner"])
-
-
 def child_text(elements: DataFrame, tag: str, n: int = 0, out: str = "text") -> DataFrame:
     """Add the text of the n-th (from 0) nested element; null when there is none."""
-    return elements.withColumn(out, nth_child_text("inner", tag, n))
+    return elements.withColumn(out, H.nth_text("inner", tag, n))
 
 
 def own_text(elements: DataFrame, out: str = "text") -> DataFrame:

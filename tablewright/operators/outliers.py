@@ -12,10 +12,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.functions.values import hash32, none_of
+from tablewright.functions.values import none_of
 from tablewright.operators.quantiles import exact_quantiles
 
 EULER_GAMMA = 0.5772156649015329
+SMALL_SAMPLES = 40
 
 
 def iqr_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5, *,
@@ -55,35 +56,39 @@ def mean_path(n):
     return np.where(n > 2, 2 * harmonic - 2 * (n - 1) / np.maximum(n, 1), np.where(n == 2, 1.0, 0.0))
 
 
-TREE_SCHEMA = ("tree int, feature array<int>, threshold array<double>, left array<int>, "
-               "right array<int>, path array<double>")
+TREE_SCHEMA = "tree int, feature array<int>, threshold array<double>, left array<int>, path array<double>"
 
 
 def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> dict[str, list]:
-    """One isolation tree over a small sample, as parallel node arrays."""
-    feature, threshold, left, right, path = [], [], [], [], []
-    pending = [(np.arange(len(x)), 0, None)]
+    """One isolation tree over a small sample, as parallel node arrays.
+
+    Siblings are neighbours: a row goes to ``left`` or the node after it. A leaf
+    is its own left child behind a threshold nothing exceeds, so walking on from
+    a leaf stays there.
+    """
+    feature, threshold, left, path = [0], [math.inf], [0], [0.0]
+    pending = [(0, np.arange(len(x)), 0)]
     while pending:
-        rows, depth, link = pending.pop()
-        node = len(feature)
-        if link is not None:
-            side, parent = link
-            side[parent] = node
+        node, rows, depth = pending.pop()
         lo, hi = x[rows].min(axis=0), x[rows].max(axis=0)
         splittable = np.flatnonzero(hi > lo)
-        leaf = depth >= limit or len(rows) <= 1 or not len(splittable)
-        f = -1 if leaf else int(rng.choice(splittable))
-        cut = 0.0 if leaf else float(rng.uniform(lo[f], hi[f]))
-        feature.append(f)
-        threshold.append(cut)
-        left.append(node)
-        right.append(node)
-        path.append(float(depth + mean_path(len(rows))) if leaf else 0.0)
-        if not leaf:
-            goes_left = x[rows, f] <= cut
-            pending.append((rows[goes_left], depth + 1, (left, node)))
-            pending.append((rows[~goes_left], depth + 1, (right, node)))
-    return {"feature": feature, "threshold": threshold, "left": left, "right": right, "path": path}
+        if depth >= limit or not len(splittable):
+            path[node] = float(depth + mean_path(len(rows)))
+            continue
+        f = int(rng.choice(splittable))
+        # Below the maximum, so that both sides get rows.
+        cut = min(float(rng.uniform(lo[f], hi[f])), float(np.nextafter(hi[f], lo[f])))
+        child = len(feature)
+        feature[node], threshold[node], left[node] = f, cut, child
+        for at in (child, child + 1):
+            feature.append(0)
+            threshold.append(math.inf)
+            left.append(at)
+            path.append(0.0)
+        goes_left = x[rows, f] <= cut
+        pending.append((child, rows[goes_left], depth + 1))
+        pending.append((child + 1, rows[~goes_left], depth + 1))
+    return {"feature": feature, "threshold": threshold, "left": left, "path": path}
 
 
 @dataclass
@@ -104,26 +109,37 @@ class IsolationForest:
     def sampled(self, df: DataFrame) -> DataFrame:
         """(tree, columns...): for each tree the ``sample`` rows of lowest hash.
 
-        A first hash keeps a pool a few times larger than needed, then a hash per
-        tree picks from the pool; both are filters on the scan.
+        On a small table every tree draws from all rows. On a larger one a row
+        draws a few trees, and on a large one a hash filter inside the scan first
+        leaves about as many rows as the trees need together. Slightly more than
+        ``sample`` rows are drawn per tree and the rank cuts the surplus.
         """
         key = [self.key] if isinstance(self.key, str) else list(self.key)
         total = df.count()
         if total == 0:
             raise ValueError("cannot fit a forest on an empty table")
-        pool = min(1.0, 4 * self.trees * self.sample / total)
-        chance = min(1.0, (self.sample + 8 * math.sqrt(self.sample) + 8) / (total * pool))
-
-        def draw(tree: Column) -> Column:
-            return F.pmod(F.xxhash64(F.lit(self.seed), tree, *key), F.lit(1 << 32))
 
-        picks = F.transform(F.sequence(F.lit(0), F.lit(self.trees - 1)),
-                            lambda t: F.struct(t.alias("tree"), draw(t).alias("draw")))
+        def draw(*salt: Column) -> Column:
+            return F.pmod(F.xxhash64(F.lit(self.seed), *salt, *key), F.lit(1 << 32))
+
+        wanted = self.sample + 8 * math.sqrt(self.sample) + 8
+        rate = self.trees * wanted / total
+        pool = min(1.0, rate)
+        if total <= SMALL_SAMPLES * self.sample:
+            pool, chance = 1.0, min(1.0, wanted / total)
+            trees = F.sequence(F.lit(0), F.lit(self.trees - 1))
+        else:
+            draws = math.ceil(rate / pool)
+            chance = rate / pool / draws
+            trees = F.array_distinct(F.transform(
+                F.sequence(F.lit(1), F.lit(draws)), lambda j: F.pmod(draw(F.lit("tree"), j), F.lit(self.trees))))
+        picks = F.transform(trees, lambda t: F.struct(
+            t.cast("int").alias("tree"), draw(F.lit("rank"), t.cast("int")).alias("draw")))
         picks = F.filter(picks, lambda p: p["draw"] < int(chance * (1 << 32)))
         lowest = Window.partitionBy("tree").orderBy("draw", *key)
-        return (df.select(*key, *[F.col(c).cast("double").alias(f"_x{i}")
-                                  for i, c in enumerate(self.cols)])
-                .filter(hash32(key, self.seed) < int(pool * (1 << 32)))
+        features = [F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(self.cols)]
+        return (df.select(*key, *features)
+                .filter(draw(F.lit("pool")) < int(pool * (1 << 32)))
                 .select("*", F.inline(picks))
                 .withColumn("_rank", F.row_number().over(lowest))
                 .filter(F.col("_rank") <= self.sample)
@@ -157,35 +173,30 @@ class IsolationForestModel:
 
     def score(self, df: DataFrame, out: str = "anomaly_score") -> DataFrame:
         """Add the anomaly score in (0, 1), higher for rows that are isolated sooner."""
-        width = max(len(t["feature"]) for t in self.trees)
-
-        def packed(name: str, dtype) -> np.ndarray:
-            table = np.zeros((len(self.trees), width), dtype=dtype)
-            for i, t in enumerate(self.trees):
-                table[i, :len(t[name])] = t[name]
-            return table.ravel()
-
-        feature = packed("feature", np.int32)
-        threshold = packed("threshold", np.float64)
-        left, right = packed("left", np.int32), packed("right", np.int32)
-        path = packed("path", np.float64)
-        roots = np.arange(len(self.trees), dtype=np.int32) * width
+        starts = np.cumsum([0] + [len(t["feature"]) for t in self.trees])
+        roots = starts[:-1].astype(np.int32)
+        feature = np.concatenate([t["feature"] for t in self.trees]).astype(np.int32)
+        threshold = np.concatenate([t["threshold"] for t in self.trees])
+        left = np.concatenate([np.add(t["left"], at) for t, at in zip(self.trees, roots)]).astype(np.int32)
+        path = np.concatenate([t["path"] for t in self.trees])
         levels = math.ceil(math.log2(max(self.sample, 2)))
         scale = float(mean_path(self.sample)) or 1.0
 
         @F.pandas_udf("double")
         def anomaly(*columns: pd.Series) -> pd.Series:
             x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
+            width = x.shape[1]
             total = np.empty(len(x))
-            step = 1024
+            step = 512
             for at in range(0, len(x), step):
                 part = x[at:at + step]
+                flat = part.ravel()
+                row = (np.arange(len(part), dtype=np.int32) * width)[:, None]
                 node = np.broadcast_to(roots, (len(part), len(roots)))
                 for _ in range(levels):
-                    f = feature[node]
-                    value = np.take_along_axis(part, np.maximum(f, 0), axis=1)
-                    node = roots + np.where(value <= threshold[node], left[node], right[node])
-                total[at:at + step] = path[node].mean(axis=1)
+                    value = flat.take(row + feature.take(node))
+                    node = left.take(node) + (value > threshold.take(node))
+                total[at:at + step] = path.take(node).mean(axis=1)
             return pd.Series(np.exp2(-total / scale))
 
         return df.withColumn(out, anomaly(*[F.col(c).cast("double") for c in self.cols]))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SKETCH_ACCURACY = 10_000
-SMALL_COLUMN = 1_000_000
+SMALL_COLUMN = 20_000
 RANKED_ROWS = 200_000
 
 
@@ -73,17 +73,29 @@ def exact_quantiles(df: DataFrame, probs: Mapping[str, Sequence[float]], *,
     """
     cols = list(probs)
     df = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    head = df.agg(*[F.count(c).alias(c) for c in cols]).first()
-    counts = {c: head[c] for c in cols}
+    # The first pass counts every column and proposes the first brackets at once.
+    first = [[F.count(c).alias(f"n:{c}"),
+              F.percentile_approx(c, _literals([x for p in probs[c] for x in _around(p)]),
+                                  SKETCH_ACCURACY).alias(f"cuts:{c}")] for c in cols]
+    head = df.agg(*[e for pair in first for e in pair]).first()
+    counts = {c: head[f"n:{c}"] for c in cols}
     if max(counts.values()) <= small:
         row = df.agg(*[F.percentile(c, _literals(probs[c])).alias(c) for c in cols]).first()
         return {c: list(row[c]) if row[c] is not None else [None] * len(probs[c]) for c in cols}
 
-    wanted = {(c, r) for c in cols for p in probs[c] for r in _ranks(p, counts[c])}
-    slots = [_Slot(i, c, r, 0, counts[c]) for i, (c, r) in enumerate(sorted(wanted))]
-    while pending := [s for s in slots if s.value is None and s.inside > ranked]:
-        _propose(df, pending)
+    slots: dict[tuple[str, int], _Slot] = {}
+    for c in cols:
+        for i, p in enumerate(probs[c]):
+            for rank in _ranks(p, counts[c]):
+                cuts = tuple(head[f"cuts:{c}"][2 * i:2 * i + 2])
+                slots.setdefault((c, rank), _Slot(len(slots), c, rank, 0, counts[c], cuts=cuts))
+    slots = list(slots.values())
+    pending = [s for s in slots if s.inside > ranked]
+    while pending:
         _count(df, pending)
+        pending = [s for s in pending if s.value is None and s.inside > ranked]
+        if pending:
+            _propose(df, pending)
     _rank(df, [s for s in slots if s.value is None])
     found = {(s.col, s.rank): s.value for s in slots}
 
@@ -101,6 +113,12 @@ def _literals(values: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 
 
+def _around(p: float) -> list[float]:
+    """Shares a little below and above p, wider than the sketch's error."""
+    margin = 2 / SKETCH_ACCURACY
+    return [max(0.0, p - margin), min(1.0, p + margin)]
+
+
 def _ranks(p: float, n: int) -> tuple[int, ...]:
     if not n:
         return ()
@@ -110,10 +128,8 @@ def _ranks(p: float, n: int) -> tuple[int, ...]:
 
 def _propose(df: DataFrame, slots: list[_Slot]) -> None:
     def cut(s: _Slot) -> Column:
-        middle = (s.rank - s.below + 0.5) / s.inside
-        margin = 2 / SKETCH_ACCURACY
-        share = [max(0.0, middle - margin), min(1.0, middle + margin)]
-        return F.percentile_approx(F.when(s.holds(), F.col(s.col)), _literals(share),
+        shares = _around((s.rank - s.below + 0.5) / s.inside)
+        return F.percentile_approx(F.when(s.holds(), F.col(s.col)), _literals(shares),
                                    SKETCH_ACCURACY).alias(str(s.id))
 
     row = df.agg(*[cut(s) for s in slots]).first()

@@ -87,12 +87,14 @@ def distinct_counts(df: DataFrame, cols: Sequence[str], *, exact: bool = True) -
 def column_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, mode, n): the most frequent value, the lowest one on a tie.
 
-    Counts are pre-aggregated per value, then one best row per partition and
-    column is shuffled, so no task holds all values of a column.
+    Values are counted with pre-aggregation, so no task holds a column. The
+    highest counts, one per column, then filter the counted values; both steps
+    hash and stream, where a minimum over (count, value) pairs would sort.
     """
-    best = F.min(F.struct((-F.col("n")).alias("rank"), F.col("value")))
-    return (value_counts(df, cols).groupBy("column").agg(best.alias("best"))
-            .select("column", F.col("best.value").alias("mode"), (-F.col("best.rank")).alias("n")))
+    counted = value_counts(df, cols)
+    highest = counted.groupBy("column").agg(F.max("n").alias("n"))
+    return (counted.join(F.broadcast(highest), ["column", "n"])
+            .groupBy("column").agg(F.min("value").alias("mode"), F.first("n").alias("n")))
 
 
 def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, object]:
