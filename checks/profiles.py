@@ -93,11 +93,11 @@ def histogram_sql(source: str, cols: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
-@query("SELECT \"column\", bin, round(lo, 6) AS lo, round(hi, 6) AS hi, n FROM ("
-       + histogram_sql("lineitem", ["l_quantity", "l_extendedprice", "l_discount"])
+@query(f"WITH {GAP_LINEITEM} " + "SELECT \"column\", bin, round(lo, 6) AS lo, round(hi, 6) AS hi, n FROM ("
+       + histogram_sql("li", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
        + " UNION ALL " + histogram_sql("events", ["value"]) + ")")
 def histogram(spark, folder):
-    items = S.histogram(table(spark, folder, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
+    items = S.histogram(gap_lineitem(spark, folder), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
     events = S.histogram(table(spark, folder, "events"), ["value"])
     return rounded(items.unionByName(events), "lo", "hi")
 

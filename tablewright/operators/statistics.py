@@ -158,7 +158,8 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 20) -> DataFrame:
     def bin_of(c: str) -> Column:
         lo, hi = ranges[c]
         at = F.floor((F.col(c).cast("double") - lo) / (hi - lo) * bins)
-        return F.least(at, F.lit(bins - 1)).cast("int").alias(c)
+        # least() skips nulls, so a missing value needs its own test.
+        return F.when(at.isNotNull(), F.least(at, F.lit(bins - 1))).cast("int").alias(c)
 
     binned = df.select(*[bin_of(c) for c in ranges]).unpivot([], list(ranges), "column", "bin")
     counts = (binned.filter(F.col("bin").isNotNull())
