@@ -34,6 +34,14 @@ class LinearScale:
         return df.withColumns({c: scaled(c) for c in self.parameters})
 
 
+    def applied(self, c: str, value: float | None) -> float | None:
+        """One value through a column's scale, as transform computes it."""
+        shift, scale = self.parameters.get(c, (0.0, None))
+        if value is None or c not in self.parameters:
+            return value
+        return (value - shift) / scale if scale else 0.0
+
+
 def fit_standardize(df: DataFrame, cols: Sequence[str]) -> LinearScale:
     found = statistics(df, {c: ["mean", "std_pop"] for c in cols})
     return LinearScale({c: (found[c]["mean"], found[c]["std_pop"]) for c in cols})

@@ -44,7 +44,7 @@ def iqr_filter(df: DataFrame, cols: Sequence[str], k: float = 1.5, *, exact: boo
 
 def drop_values(df: DataFrame, rules: Mapping[str, Sequence]) -> DataFrame:
     """Drop rows holding any listed value; rows missing the value stay."""
-    return df.filter(reduce(Column.__and__, [none_of(c, vals) for c, vals in rules.items()]))
+    return df.filter(reduce(Column.__and__, [none_of(c, vals) for c, vals in rules.items()], F.lit(True)))
 
 
 # ---------------------------------------------------------------- isolation forest

@@ -15,6 +15,7 @@ MAX_CLASSES = 10_000
 BOUNDARY_ROWS = 100_000
 HASH_BITS = 32
 BITS_PER_PASS = 12
+COPIES_PER_ROW = 100_000
 
 
 def _classes(df: DataFrame, label: str) -> dict[object, int]:
@@ -139,5 +140,24 @@ def exact_split(df: DataFrame, label: str, key: Sequence[str] | str, *, test: fl
 
 
 def set_difference(df: DataFrame, other: DataFrame, *, distinct: bool = True) -> DataFrame:
-    """Rows of df not in other: as a set, or keeping duplicates by count."""
-    return df.subtract(other) if distinct else df.exceptAll(other)
+    """Rows of df not in other, matched over all columns by position; nulls match nulls.
+
+    As a set, or with ``distinct=False`` keeping duplicates by count. Both sides
+    go through one grouped count, so repeated rows are combined before the only
+    shuffle however many copies there are.
+    """
+    cols = df.columns
+    ours = df.withColumn("_n", F.lit(1).cast("long"))
+    theirs = other.toDF(*cols).withColumn("_n", F.lit(-1).cast("long"))
+    grouped = ours.union(theirs).groupBy(*cols)
+    if distinct:
+        return grouped.agg(F.min("_n").alias("_n")).filter(F.col("_n") > 0).select(*cols)
+    left = grouped.agg(F.sum("_n").alias("_n")).filter(F.col("_n") > 0)
+    few = left.filter(F.col("_n") <= COPIES_PER_ROW)
+    # A row with very many copies is cut into pieces that different tasks write out.
+    pieces = F.transform(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / COPIES_PER_ROW)),
+                         lambda i: F.least(F.lit(COPIES_PER_ROW).cast("long"), F.col("_n") - i * COPIES_PER_ROW))
+    many = (left.filter(F.col("_n") > COPIES_PER_ROW)
+            .select(*cols, F.posexplode(pieces).alias("_piece", "_n")).repartition("_piece", *cols).drop("_piece"))
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))
+    return few.unionByName(many).select(*cols, copies.alias("_copy")).drop("_copy")

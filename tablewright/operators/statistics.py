@@ -136,15 +136,19 @@ def class_balance(df: DataFrame, label: str, split: str | None = None) -> DataFr
             .select(split, label, "n", (F.col("n") / F.col("_total")).alias("proportion")))
 
 
-def histogram(df: DataFrame, cols: Sequence[str], bins: int = 20) -> DataFrame:
+def histogram(df: DataFrame, cols: Sequence[str], bins: int = 20,
+              extremes: Mapping[str, tuple] | None = None) -> DataFrame:
     """(column, bin, lo, hi, n): equal-width bins, empty ones included.
 
     The last bin is closed; a constant column gets a unit range around its value.
+    ``extremes`` are the columns' (min, max) where they are already known.
     """
-    extremes = statistics(df, {c: ["min", "max"] for c in cols})
+    if extremes is None:
+        found = statistics(df, {c: ["min", "max"] for c in cols})
+        extremes = {c: (found[c]["min"], found[c]["max"]) for c in cols}
     ranges: dict[str, tuple[float, float]] = {}
     for c in cols:
-        lo, hi = extremes[c]["min"], extremes[c]["max"]
+        lo, hi = extremes[c]
         if lo is not None:
             ranges[c] = (lo - 0.5, hi + 0.5) if lo == hi else (float(lo), float(hi))
     spark = df.sparkSession

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from tablewright.operators.columns import interaction, keep_columns
-from tablewright.operators.features import min_max, one_hot, standardize
+from tablewright.operators.features import LinearScale, min_max, one_hot
 from tablewright.operators.impute import (
     DomainRepair,
     Surrogates,
@@ -67,9 +67,8 @@ def prepare_statistical(df: DataFrame, cfg: StatisticalConfig) -> Prepared:
     rules = {c: values for c, values in cfg.rules.items() if c in df.columns}
     if rules:
         df = drop_values(df, rules)
-    if cfg.standardize_first:
-        df = standardize(df, numeric)
-    cleaned = histogram(df, [*numeric, *_numeric_only(df, categorical)], cfg.bins)
+    df, cleaned = _scaled_with_histogram(df, numeric, [*numeric, *_numeric_only(df, categorical)],
+                                         cfg.standardize_first, cfg.bins)
     if cfg.outliers == "forest":
         df = drop_isolated(df, numeric, cfg.key, contamination=cfg.contamination, trees=cfg.trees,
                            sample=cfg.sample, seed=cfg.seed)
@@ -82,10 +81,25 @@ def prepare_statistical(df: DataFrame, cfg: StatisticalConfig) -> Prepared:
         df = min_max(df, rescale)
     if cfg.encode:
         df = one_hot(df, [c for c in categorical if c != cfg.label])
-    if cfg.standardize_last:
-        df = standardize(df, numeric)
-    shown = [c for c in df.columns if c not in cfg.key]
-    return Prepared(df, cleaned, histogram(df, _numeric_only(df, shown), cfg.bins))
+    shown = _numeric_only(df, [c for c in df.columns if c not in cfg.key])
+    df, features = _scaled_with_histogram(df, numeric, shown, cfg.standardize_last, cfg.bins)
+    return Prepared(df, cleaned, features)
+
+
+def _scaled_with_histogram(df: DataFrame, numeric: Sequence[str], shown: Sequence[str], scale: bool,
+                           bins: int) -> tuple[DataFrame, DataFrame]:
+    """Standardise and count bins after one statistics pass.
+
+    Scaling keeps order, so the scaled extremes are the extremes scaled.
+    """
+    wanted = {c: ["min", "max"] for c in shown}
+    if scale:
+        wanted.update({c: ["mean", "std_pop", "min", "max"] for c in numeric})
+    found = statistics(df, wanted)
+    fitted = LinearScale({c: (found[c]["mean"], found[c]["std_pop"]) for c in numeric} if scale else {})
+    scaled = fitted.transform(df)
+    ends = {c: tuple(fitted.applied(c, found[c][end]) for end in ("min", "max")) for c in shown}
+    return scaled, histogram(scaled, shown, bins, ends)
 
 
 def _numeric_only(df: DataFrame, cols: Sequence[str]) -> list[str]:

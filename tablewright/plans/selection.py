@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.columns import drop_columns, feature_names
 from tablewright.operators.evaluate import auc_exact, best_model, leaderboard, score_table
+from tablewright.operators.features import binarize_label
 from tablewright.operators.models import cross_validate, refit_scaler, score
 from tablewright.operators.split import exact_split, stratified_split
 from tablewright.sources.models import save_model
@@ -42,8 +43,8 @@ def select_model(df: DataFrame, candidates: Sequence[Candidate], *, label: str,
                  parallelism: int = 4, seed: int = 42, model_dir: str | None = None) -> Selection:
     """Split by key, search every candidate on the train part and rank by exact area on the test part.
 
-    All candidates see the same rows on each side, because the split is a
-    function of the key. ``scale_scope="each"`` fits the scaler on the test part
+    A text label becomes 1.0 for the second class in sorted order. All candidates
+    see the same rows on each side, because the split is a function of the key. ``scale_scope="each"`` fits the scaler on the test part
     as well; the default applies the training scale.
     """
     if scale_scope not in ("train", "each"):
@@ -55,6 +56,8 @@ def select_model(df: DataFrame, candidates: Sequence[Candidate], *, label: str,
     for cand in candidates:
         table = require_columns(cand.table if cand.table is not None else df, [label, *keys])
         table = drop_columns(table, [*drop, *cand.drop])
+        if table.schema[label].dataType.typeName() == "string":
+            table = binarize_label(table, label)
         features = feature_names(table, label, keys)
         if exact:
             parts = exact_split(table, label, keys, test=1 - train, seed=seed)

@@ -16,7 +16,7 @@ def _format_of(path: str, fmt: str | None) -> str:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
-               fmt: str | None = None, *, strict: bool = False) -> DataFrame:
+               fmt: str | None = None, *, strict: bool = False, **options) -> DataFrame:
     """Scan a headed CSV or a parquet table and bind it to a schema by name.
 
     CSV columns are read as text under their header names, so a file whose
@@ -26,8 +26,8 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     fmt = _format_of(path, fmt)
     reader = spark.read
     if fmt == "csv":
-        reader = reader.option("header", True).option("escape", '"').option("multiLine", False)
-    df = reader.format(fmt).load(path)
+        reader = reader.option("header", True).option("escape", '"')
+    df = reader.format(fmt).options(**options).load(path)
     return df if schema is None else bind_schema(df, schema, strict=strict)
 
 

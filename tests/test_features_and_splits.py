@@ -75,6 +75,18 @@ def test_duplicates_survive_the_split(spark):
     assert P.stratified_split(df, "y", "id").count() == 8
 
 
+def test_set_difference_with_nulls_and_many_copies(spark, monkeypatch):
+    rows = [(1, None)] * 7 + [(2, "a")] * 3 + [(3, "b")]
+    df = spark.createDataFrame(rows, "x int, y string")
+    other = spark.createDataFrame([(1, None)] * 2 + [(3, "b"), (4, "c")], "u int, v string")
+    assert [tuple(r) for r in P.set_difference(df, other).collect()] == [(2, "a")]
+    for size in (100_000, 2):
+        monkeypatch.setattr(P, "COPIES_PER_ROW", size)
+        left = P.set_difference(df, other, distinct=False)
+        assert sorted(map(tuple, left.collect()), key=str) == sorted([(1, None)] * 5 + [(2, "a")] * 3, key=str)
+        assert left.columns == ["x", "y"]
+
+
 def test_stratified_sample_share(spark):
     n = P.stratified_sample(people(spark, 10_000), "y", train=0.9, seed=1).count()
     assert abs(n - 9000) < 200
