@@ -36,6 +36,7 @@ class _Slot:
     hi_open: bool = False
     value: float | None = None
     cuts: tuple[float, float] | None = None
+    stuck: bool = False
 
     def holds(self) -> Column:
         c = F.col(self.col)
@@ -49,7 +50,7 @@ class _Slot:
     def settle(self, under: int, upto: int) -> None:
         """Keep the part of the bracket that holds the rank."""
         a, b = self.cuts
-        k = self.rank - self.below
+        k, before = self.rank - self.below, self.inside
         if k < under:
             self.inside, self.hi, self.hi_open = under, a, True
         elif k < upto:
@@ -60,6 +61,8 @@ class _Slot:
         else:
             self.below, self.inside = self.below + upto, self.inside - upto
             self.lo, self.lo_open = b, True
+        # Both cuts on the bracket's ends: the next round cuts at one value, which always gains.
+        self.stuck = self.value is None and self.inside == before
 
 
 def exact_quantiles(df: DataFrame, probs: Mapping[str, Sequence[float]], *,
@@ -134,7 +137,8 @@ def _propose(df: DataFrame, slots: list[_Slot]) -> None:
 
     row = df.agg(*[cut(s) for s in slots]).first()
     for s in slots:
-        s.cuts = tuple(row[str(s.id)])
+        a, b = row[str(s.id)]
+        s.cuts = (a, a) if s.stuck else (a, b)
 
 
 def _count(df: DataFrame, slots: list[_Slot]) -> None:

@@ -99,6 +99,12 @@ def test_quantiles_are_exact_on_every_path(spark, small, ranked):
             assert got == pytest.approx(lower + (upper - lower) * (at - math.floor(at)), abs=1e-9)
 
 
+def test_quantile_between_two_hot_values(spark):
+    """The wanted ranks sit on either side of two values that fill every bracket."""
+    df = spark.createDataFrame([(1.0,)] * 500 + [(2.0,)] * 500 + [(0.0,)] * 3 + [(9.0,)] * 3, "a double").repartition(4)
+    assert exact_quantiles(df, {"a": [0.5, 0.4, 0.999]}, small=0, ranked=1) == {"a": [1.5, 1.0, 9.0]}
+
+
 def test_quantiles_of_mixed_lengths_and_one_value(spark):
     df = spark.createDataFrame([(7.0, None, None)] * 500 + [(7.0, 1.0, None)], "a double, b double, c double")
     assert exact_quantiles(df, {"a": [0.5], "b": [0.5], "c": [0.5]}, small=0, ranked=1) == {
