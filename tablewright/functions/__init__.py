@@ -14,6 +14,7 @@ from tablewright.functions.values import (
     differs,
     fold_of,
     hash32,
+    hash_hex,
     hash_unit,
     in_range,
     is_missing,
@@ -23,7 +24,7 @@ from tablewright.functions.values import (
 )
 
 __all__ = [
-    "blank_to_null", "differs", "elements", "fold_of", "has_open_end", "hash32", "hash_unit",
-    "in_range", "is_missing", "nan_to_null", "none_of", "nth_text", "parse_band", "parse_percent",
+    "blank_to_null", "differs", "elements", "fold_of", "has_open_end", "hash32", "hash_hex",
+    "hash_unit", "in_range", "is_missing", "nan_to_null", "none_of", "nth_text", "parse_band", "parse_percent",
     "percent_to_fraction", "text_of", "without_scripts",
 ]

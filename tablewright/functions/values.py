@@ -52,15 +52,21 @@ def percent_to_fraction(c: Column | str) -> Column:
     return as_column(c) / 100
 
 
-def hash32(key: Sequence[str] | str, seed: int) -> Column:
-    """The first 32 bits of md5("seed|key|...") as a non-negative long.
+def hash_hex(key: Sequence[str] | str, seed: int) -> Column:
+    """The first 32 bits of md5("seed|key|...") as eight hexadecimal digits.
 
     It depends on the row's key alone, so it survives repartitioning, retries
-    and other engines, unlike a seeded random column.
+    and other engines, unlike a seeded random column. The digits sort as the
+    number does, which spares comparisons the conversion.
     """
     key = [key] if isinstance(key, str) else list(key)
     text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    return F.substring(F.md5(text), 1, 8)
+
+
+def hash32(key: Sequence[str] | str, seed: int) -> Column:
+    """`hash_hex` as a non-negative long."""
+    return F.conv(hash_hex(key, seed), 16, 10).cast("long")
 
 
 def hash_unit(key: Sequence[str] | str, seed: int) -> Column:

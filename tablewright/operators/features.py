@@ -89,7 +89,7 @@ def fit_one_hot(df: DataFrame, cols: Sequence[str], max_levels: int = 100) -> On
     """Levels per column, sorted; more than ``max_levels`` in a column is an error.
 
     One result column per level only makes sense for few levels. A column with
-    many levels belongs in `one_hot_vector`, which has no such bound.
+    many levels belongs in `one_hot_vector`, whose rows stay one value wide.
     """
     levels: dict[str, list] = {c: [] for c in cols}
     groups: dict[object, list[str]] = {}
@@ -115,7 +115,7 @@ def one_hot(df: DataFrame, cols: Sequence[str], max_levels: int = 100) -> DataFr
 
 
 def one_hot_vector(df: DataFrame, cols: Sequence[str], suffix: str = "_vec") -> DataFrame:
-    """Sparse vectors instead of columns, for any number of levels."""
+    """Sparse vectors instead of columns, for as many levels as one index in memory holds."""
     index = StringIndexer(inputCols=list(cols), outputCols=[f"{c}_index" for c in cols],
                           handleInvalid="keep")
     encode = OneHotEncoder(inputCols=[f"{c}_index" for c in cols],

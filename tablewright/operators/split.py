@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.functions.values import hash32, hash_unit
+from tablewright.functions.values import hash_hex
 from tablewright.operators.statistics import label_counts
 
 MAX_CLASSES = 10_000
 BOUNDARY_ROWS = 100_000
-HASH_BITS = 32
-BITS_PER_PASS = 12
+HASH_DIGITS = 8
+DIGITS_PER_PASS = 3
 COPIES_PER_ROW = 100_000
 
 
@@ -57,10 +58,16 @@ def stratified_split(df: DataFrame, label: str, key: Sequence[str] | str, *, tra
 
     No shuffle; rows with equal keys fall on the same side.
     """
-    shares = {value: (share,) for value, share in train_fractions(_classes(df, label), train).items()}
-    side = F.when(hash_unit(key, seed) < F.col("_share"), "train").otherwise("test")
-    return (_with_class_values(df, label, shares, "_share double")
-            .withColumn("split", side).drop("_share"))
+    cuts = {value: (_cut(share),) for value, share in train_fractions(_classes(df, label), train).items()}
+    side = F.when(hash_hex(key, seed) < F.col("_cut"), "train").otherwise("test")
+    return (_with_class_values(df, label, cuts, "_cut string")
+            .withColumn("split", side).drop("_cut"))
+
+
+def _cut(share: float) -> str:
+    """Hash digits such that a hash lies below them exactly if hash / 2^32 < share."""
+    first = math.ceil(share * 16 ** HASH_DIGITS)
+    return f"{first:0{HASH_DIGITS}x}" if first < 16 ** HASH_DIGITS else "g"
 
 
 @dataclass(frozen=True)
@@ -75,15 +82,13 @@ class ExactSplit:
     def transform(self, df: DataFrame) -> DataFrame:
         names = [f"_last{i}" for i in range(len(self.key))]
         types = [df.schema[k].dataType.simpleString() for k in self.key]
-        schema = ", ".join(["_last_hash long", *[f"{n} {t}" for n, t in zip(names, types)]])
-        place = F.struct(hash32(self.key, self.seed).alias("h"),
-                         *[F.col(k).alias(f"k{i}") for i, k in enumerate(self.key)])
-        last = F.struct(F.col("_last_hash").alias("h"),
-                        *[F.col(n).alias(f"k{i}") for i, n in enumerate(names)])
-        test = F.col("_last_hash").isNotNull() & (place <= last)
-        return (_with_class_values(df, self.label, self.last, schema)
+        schema = ", ".join(["_last_hash string", *[f"{n} {t}" for n, t in zip(names, types)]])
+        ours, theirs = F.struct(*self.key), F.struct(*[F.col(n).alias(k) for n, k in zip(names, self.key)])
+        test = ((F.col("_hash") < F.col("_last_hash"))
+                | ((F.col("_hash") == F.col("_last_hash")) & (ours <= theirs)))
+        return (_with_class_values(df.withColumn("_hash", hash_hex(self.key, self.seed)), self.label, self.last, schema)
                 .withColumn("split", F.when(test, "test").otherwise("train"))
-                .drop("_last_hash", *names))
+                .drop("_hash", "_last_hash", *names))
 
 
 def fit_exact_split(df: DataFrame, label: str, key: Sequence[str] | str, *, test: float = 0.1,
@@ -98,38 +103,43 @@ def fit_exact_split(df: DataFrame, label: str, key: Sequence[str] | str, *, test
     counts = _classes(df, label)
     quota = {value: int(n * test + 0.5) for value, n in counts.items()}
     # Per class: hash prefix known so far, and how many of its rows are still wanted.
-    state = {value: (0, want) for value, want in quota.items() if want > 0}
+    state = {value: ("", want) for value, want in quota.items() if want > 0}
     if not state:
         return ExactSplit(label, key, seed, {})
-    rows = df.select(F.col(label), *key, hash32(key, seed).alias("_hash"))
-    bits = 0
+    rows = df.select(F.col(label), *key, hash_hex(key, seed).alias("_hash"))
+    digits = 0
     largest = max(counts.values())
-    while largest > boundary_rows and bits < HASH_BITS:
-        step = min(BITS_PER_PASS, HASH_BITS - bits)
-        inside = _inside(rows, label, state, bits)
-        bits += step
-        bucket = F.shiftright("_hash", HASH_BITS - bits).alias("_bucket")
-        sizes = inside.groupBy(label, "_want", bucket).agg(F.count(F.lit(1)).alias("n"))
-        order = Window.partitionBy(label).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-        upto = sizes.withColumn("_upto", F.sum("n").over(order))
-        edge = upto.filter((F.col("_upto") >= F.col("_want"))
-                           & (F.col("_upto") - F.col("n") < F.col("_want"))).collect()
-        state = {r[label]: (r["_bucket"], r["_want"] - (r["_upto"] - r["n"])) for r in edge}
-        largest = max(r["n"] for r in edge)
-    order = Window.partitionBy(label).orderBy("_hash", *key)
-    ranked = (_inside(rows, label, state, bits)
-              .withColumn("_rank", F.row_number().over(order))
-              .filter(F.col("_rank") == F.col("_want")))
-    last = {r[label]: (r["_hash"], *[r[k] for k in key]) for r in ranked.collect()}
-    return ExactSplit(label, key, seed, last)
-
-
-def _inside(rows: DataFrame, label: str, state: Mapping[object, Sequence], bits: int) -> DataFrame:
+    while largest > boundary_rows and digits < HASH_DIGITS:
+        inside = _inside(rows, label, state, digits)
+        digits = min(digits + DIGITS_PER_PASS, HASH_DIGITS)
+        prefix = F.substring("_hash", 1, digits).alias("_bucket")
+        edge = _edges(inside, label, [prefix], ["_bucket"])
+        state = {r[label]: (r["_bucket"], r["_want"] - (r["_upto"] - r["_n"])) for r in edge}
+        largest = max(r["_n"] for r in edge)
+    place = ["_hash", *key]
+    edge = _edges(_inside(rows, label, state, digits), label, place, place)
+    return ExactSplit(label, key, seed, {r[label]: tuple(r[c] for c in place) for r in edge})
+
+
+def _edges(rows: DataFrame, label: str, by: Sequence, order: Sequence[str]) -> list:
+    """Per class, the group in which the running count reaches the wanted one.
+
+    Rows are counted per group first, so a group of many rows is one row when it
+    is ordered.
+    """
+    running = Window.partitionBy(label).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    sizes = rows.groupBy(label, "_want", *by).agg(F.count(F.lit(1)).alias("_n"))
+    upto = sizes.withColumn("_upto", F.sum("_n").over(running))
+    reached = (F.col("_upto") >= F.col("_want")) & (F.col("_upto") - F.col("_n") < F.col("_want"))
+    return upto.filter(reached).collect()
+
+
+def _inside(rows: DataFrame, label: str, state: Mapping[object, Sequence], digits: int) -> DataFrame:
     """Rows whose hash starts with their class's prefix."""
-    joined = _with_class_values(rows, label, state, "_prefix long, _want long")
-    if not bits:
+    joined = _with_class_values(rows, label, state, "_prefix string, _want long")
+    if not digits:
         return joined.filter(F.col("_want").isNotNull())
-    return joined.filter(F.shiftright("_hash", HASH_BITS - bits) == F.col("_prefix"))
+    return joined.filter(F.substring("_hash", 1, digits) == F.col("_prefix"))
 
 
 def exact_split(df: DataFrame, label: str, key: Sequence[str] | str, *, test: float = 0.1,
