@@ -29,6 +29,11 @@ def blank_to_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def drop_all_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Drop rows with every column missing.
+
+    Apply it before columns are computed: over many computed columns the
+    predicate is pushed through their expressions and takes long to plan.
+    """
     return df.na.drop("all", subset=list(cols) if cols else None)
 
 

@@ -96,12 +96,14 @@ class IsolationForest:
     """Isolation forest after Liu, Ting and Zhou (2008).
 
     Each tree sees ``sample`` rows chosen by a hash of the row key, so the forest
-    depends on the data and the seed only. The rows that reach a Python task per
-    tree, and the trees that reach the driver, are bounded by ``trees * sample``.
+    depends on the data and the seed only. Without a key, rows are told apart by a
+    seeded random number, which changes with the partitioning. The rows that reach
+    a Python task per tree, and the trees that reach the driver, are bounded by
+    ``trees * sample``.
     """
 
     cols: Sequence[str]
-    key: Sequence[str] | str
+    key: Sequence[str] | str = ()
     trees: int = 100
     sample: int = 256
     seed: int = 42
@@ -115,6 +117,8 @@ class IsolationForest:
         ``sample`` rows are drawn per tree and the rank cuts the surplus.
         """
         key = [self.key] if isinstance(self.key, str) else list(self.key)
+        if not key:
+            df, key = df.withColumn("_row", F.rand(self.seed)), ["_row"]
         total = df.count()
         if total == 0:
             raise ValueError("cannot fit a forest on an empty table")
@@ -209,7 +213,7 @@ class IsolationForestModel:
         return scores.agg(F.percentile_approx("anomaly_score", 1 - contamination, 100_000)).first()[0]
 
 
-def isolation_forest(df: DataFrame, cols: Sequence[str], key: Sequence[str] | str, *,
+def isolation_forest(df: DataFrame, cols: Sequence[str], key: Sequence[str] | str = (), *,
                      contamination: float = 0.05, trees: int = 100, sample: int = 256,
                      seed: int, exact: bool = False) -> DataFrame:
     """Add ``anomaly_score`` and ``is_outlier``; columns must be without gaps.
@@ -223,7 +227,7 @@ def isolation_forest(df: DataFrame, cols: Sequence[str], key: Sequence[str] | st
     return model.score(df).withColumn("is_outlier", F.col("anomaly_score") > F.lit(cut))
 
 
-def drop_isolated(df: DataFrame, cols: Sequence[str], key: Sequence[str] | str, *,
+def drop_isolated(df: DataFrame, cols: Sequence[str], key: Sequence[str] | str = (), *,
                   contamination: float = 0.05, trees: int = 100, sample: int = 256,
                   seed: int) -> DataFrame:
     flagged = isolation_forest(df, cols, key, contamination=contamination, trees=trees,

@@ -19,6 +19,11 @@ DIGITS_PER_PASS = 3
 COPIES_PER_ROW = 100_000
 
 
+def with_row_key(df: DataFrame, out: str = "row_key") -> DataFrame:
+    """Add a hash of all columns, for tables without an id; equal rows get equal keys."""
+    return df.withColumn(out, F.xxhash64(*df.columns))
+
+
 def _classes(df: DataFrame, label: str) -> dict[object, int]:
     """Row count per class, refusing a label that is no class label."""
     rows = label_counts(df, label).limit(MAX_CLASSES + 1).collect()

@@ -138,13 +138,16 @@ def prepare_rules(df: DataFrame, cfg: RulesConfig) -> DataFrame:
     found = statistics(df, {c: ["mode"] for c in (*cfg.modes, *cfg.domain)})
     mode = {c: s["mode"] for c, s in found.items()}
     ranges = {**cfg.ranges, **{c: (None, None) for c in cfg.means}}
-    if ranges:
-        df_repaired = fit_range_repair(df, ranges, cfg.surrogate, fill_missing=True).transform(df)
-    else:
-        df_repaired = df
-    df = DomainRepair({c: mode[c] for c in cfg.domain}, cfg.max_valid).transform(df_repaired)
+    repair = fit_range_repair(df, ranges, cfg.surrogate, fill_missing=True) if ranges else None
+    fills = [*mode.values(), *(repair.means.values() if repair else ())]
+    if all(value is None for value in fills):
+        # With any fill value no row is empty afterwards. The test is left out then, because a
+        # predicate over all computed columns is very expensive to plan.
+        df = drop_all_null(df)
+    if repair:
+        df = repair.transform(df)
+    df = DomainRepair({c: mode[c] for c in cfg.domain}, cfg.max_valid).transform(df)
     df = Surrogates({c: mode[c] for c in cfg.modes}).transform(df)
-    df = drop_all_null(df)
     return interaction(df, *cfg.product, out=cfg.product_name) if cfg.product else df
 
 

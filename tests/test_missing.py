@@ -124,3 +124,9 @@ def test_matrix_and_pairwise_correlations_agree(spark, monkeypatch):
     monkeypatch.setattr(S, "PAIRWISE_COLUMNS", 2)
     matrix = {(r["a"], r["b"]): r["corr"] for r in S.correlation_pairs(df, ["a", "b", "c"]).collect()}
     assert pairwise == pytest.approx(matrix) and pairwise["a", "c"] == pytest.approx(-1)
+
+
+def test_empty_rows_go_unless_something_fills_them(spark):
+    df = spark.createDataFrame([(None, None), (1.0, None)], "a double, b double")
+    assert prepare_rules(df, RulesConfig(["a", "b"], means=["b"])).count() == 1
+    assert prepare_rules(df, RulesConfig(["a", "b"], means=["a"])).count() == 2
