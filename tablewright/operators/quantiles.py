@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SKETCH_ACCURACY = 10_000
-SMALL_COLUMN = 20_000
+SMALL_COLUMN = 200_000
 RANKED_ROWS = 200_000
 
 
