@@ -29,6 +29,13 @@ from tablewright.operators.extract import (
     tail_mean,
 )
 
+# The markup of the three pages.
+AGE_ROW_CLASS = "even"
+GROUP_CLASS = "row"
+YOUTH_TABLE_CLASS = "ds-data-table-container"
+YOUTH_POINT_CLASS = "ds-data-point ds-2017"
+YOUTH_ESTIMATE_CLASS = "dp-data-estimate"
+
 
 @dataclass(frozen=True)
 class PageSources:
@@ -58,7 +65,7 @@ def age_bands(pages: DataFrame, *, rows: int = 7, id_col: str = "page_id",
 
     The band is in the head cell, its rate in the first other cell.
     """
-    found = extract_elements(pages, "tr", "even", id_col=id_col).filter(F.col("pos") < rows)
+    found = extract_elements(pages, "tr", AGE_ROW_CLASS, id_col=id_col).filter(F.col("pos") < rows)
     rows = child_text(found, "th", 0, "band")
     rows = child_text(rows, "td", 0, "value")
     return (parse_band(rows, "band", top)
@@ -74,7 +81,7 @@ def group_bands(pages: DataFrame, *, container: int = 7, bands: int = 4, id_col:
     The list sits in the n-th (from 0) division of class "row": two groups come first,
     then the age bands; what follows them is of no interest.
     """
-    rows = extract_elements(pages, "div", "row", id_col=id_col).filter(F.col("pos") == container)
+    rows = extract_elements(pages, "div", GROUP_CLASS, id_col=id_col).filter(F.col("pos") == container)
     items = own_text(nested_elements(rows, "li", id_col=id_col)).select(id_col, "pos", "inner", "text")
     ages = parse_percent(parse_band(items.filter(F.col("pos").between(2, bands + 1)), top=top))
     ages = ages.filter(F.col("lo").isNotNull() & F.col("rate").isNotNull())
@@ -85,11 +92,11 @@ def group_bands(pages: DataFrame, *, container: int = 7, bands: int = 4, id_col:
 def youth_band(pages: DataFrame, *, span: tuple[float, float] = (14, 17), n: int = 4,
                id_col: str = "page_id") -> DataFrame:
     """(id, lo, hi, rate): the mean of the last n estimates in the first data table."""
-    tables = extract_elements(pages, "div", "ds-data-table-container", id_col=id_col)
-    points = nested_elements(tables.filter(F.col("pos") == 0), "span", "ds-data-point ds-2017",
+    tables = extract_elements(pages, "div", YOUTH_TABLE_CLASS, id_col=id_col)
+    points = nested_elements(tables.filter(F.col("pos") == 0), "span", YOUTH_POINT_CLASS,
                              id_col=id_col)
     points = points.select(id_col, "pos", "inner")
-    values = nested_elements(points, "span", "dp-data-estimate", id_col=id_col)
+    values = nested_elements(points, "span", YOUTH_ESTIMATE_CLASS, id_col=id_col)
     values = values.withColumn("text", H.text_of("inner"))
     mean = tail_mean(values, n, id_col=id_col, order=("outer_pos", "pos"))
     return mean.select(id_col, F.lit(float(span[0])).alias("lo"), F.lit(float(span[1])).alias("hi"),

@@ -44,7 +44,7 @@ def raw(spark, tmp_path_factory):
                 r[c] = 22.0 if c == "prop" else None
         return tuple(r[c] for c in RAW.names)
 
-    path = str(tmp_path_factory.mktemp("clinical") / "heart.csv")
+    path = str(tmp_path_factory.mktemp("clinical") / "clinical.csv")
     shuffled = RAW.names[::-1]
     write_table(spark.createDataFrame([row() for _ in range(700)], RAW).select(*shuffled), path)
     return read_table(spark, path, RAW)
