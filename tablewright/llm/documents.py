@@ -19,11 +19,11 @@ def whole_text(column: str) -> Column:
 
 
 def document_key(id_col: str, text: Column) -> Column:
-    """A number that orders documents by id (null last), then by a hash of the text.
+    """A number that orders documents by their whole-number id (null last), then by a hash of the text.
 
     It names a document: rows equal in id and text are one document listed twice.
     Being of fixed length, it can be a minimum in a hash aggregate.
     """
-    number = F.coalesce(F.col(id_col).cast("decimal(38,0)"), F.lit(2**63).cast("decimal(38,0)"))
+    number = F.coalesce(F.col(id_col).cast("decimal(38,0)"), F.lit(str(2**63)).cast("decimal(38,0)"))
     tail = F.shiftrightunsigned(F.xxhash64(text), 4)
     return (number * F.lit(2**60).cast("decimal(19,0)") + tail.cast("decimal(38,0)")).cast("decimal(38,0)")

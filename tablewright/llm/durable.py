@@ -69,30 +69,21 @@ def shuffle_partitions(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def rank_of_keys(keys: DataFrame, order: Sequence[Column], weight: Column, out: str) -> DataFrame:
-    """Adds ``out``: the total weight of the rows before each row in the given order.
+def rank_of_keys(keys: DataFrame, order: Sequence[str], weight: Column, out: str) -> DataFrame:
+    """Adds ``out``: the total weight of the rows before each row, ordered by ``order`` (null last).
 
-    With distinct rows and weight 1 that is a dense rank from 0. The rows are dealt
-    by range, so no task holds more than its share; only one total per
-    partition meets in one place.
+    With distinct rows and weight 1 that is a rank from 0. Rows are dealt by
+    range, so no task holds more than its share, and one total per partition
+    meets in one place.
     """
-    n = shuffle_partitions(keys)
-    rows, part = F.struct(*keys.columns).alias("row"), F.spark_partition_id().alias("part")
-    dealt = durable(keys.repartitionByRange(n, *order).select(rows, *[o.alias(f"k{i}") for i, o in enumerate(_plain(order))],
-                                                              weight.alias("weight"), part))
-    totals = dealt.groupBy("part").agg(F.sum("weight").alias("total"))
+    by = [F.col(c).asc_nulls_last() for c in order]
+    dealt = durable(keys.repartitionByRange(shuffle_partitions(keys), *by).select(
+        F.struct(*keys.columns).alias("row"), weight.alias("weight"), F.spark_partition_id().alias("part")))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    local = (Window.partitionBy("part").orderBy(*_sorted(order))
+    totals = dealt.groupBy("part").agg(F.sum("weight").alias("total")).select(
+        "part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
+    local = (Window.partitionBy("part").orderBy(*[F.col(f"row.{c}").asc_nulls_last() for c in order])
              .rowsBetween(Window.unboundedPreceding, -1))
     return (dealt.withColumn("own", F.coalesce(F.sum("weight").over(local), F.lit(0)))
             .join(F.broadcast(totals), "part")  # one row per partition
             .select("row.*", (F.col("base") + F.col("own")).alias(out)))
-
-
-def _plain(order: Sequence[Column]) -> list[Column]:
-    return list(order)
-
-
-def _sorted(order: Sequence[Column]) -> list[Column]:
-    return [F.col(f"k{i}").asc_nulls_last() for i in range(len(order))]
