@@ -29,4 +29,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 def load_all() -> None:
     from tablewright.llm import (  # noqa: F401
         exact_dedup,
+        host_rules,
+        line_runs,
+        simhash_index,
+        unit_dedup,
     )
