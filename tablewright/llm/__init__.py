@@ -31,6 +31,7 @@ def load_all() -> None:
         exact_dedup,
         host_rules,
         line_runs,
+        mixing_tree,
         simhash_index,
         unit_dedup,
     )
