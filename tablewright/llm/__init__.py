@@ -32,6 +32,7 @@ def load_all() -> None:
         host_rules,
         line_runs,
         mixing_tree,
+        packing,
         simhash_index,
         unit_dedup,
     )
