@@ -33,6 +33,7 @@ def load_all() -> None:
         line_runs,
         mixing_tree,
         packing,
+        pu_quality,
         simhash_index,
         unit_dedup,
     )
