@@ -35,5 +35,6 @@ def load_all() -> None:
         packing,
         pu_quality,
         simhash_index,
+        text_density,
         unit_dedup,
     )
