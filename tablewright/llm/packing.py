@@ -44,7 +44,9 @@ class TextTokens:
     ``most_words`` words are remembered.
     """
 
-    def __init__(self, path: str, most_words: int = 500_000):
+    LEARN = 16384
+
+    def __init__(self, path: str, most_words: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -60,12 +62,16 @@ class TextTokens:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
         self.most, self.words = most_words, {}
+        if self.by_word:  # words come normalized and split, so a tokenizer that only merges will do
+            setup |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+                {"type": "WhitespaceSplit"}, setup["pre_tokenizer"]["pretokenizers"][1]]}}
+            self.merger = Tokenizer.from_str(json.dumps(setup))
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
-        ids = self._whole([" ".join(words)])[0]
+        ids = np.array(self.merger.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.kind)
         ends, packed, width = (np.flatnonzero(self.ends[ids]) + 1).tolist(), ids.tobytes(), self.kind.itemsize
         if len(ends) != len(words):
             raise ValueError("the tokenizer does not mark the end of each word")
@@ -79,11 +85,10 @@ class TextTokens:
             self.words.clear()
         plain = [_PLAIN.fullmatch(t) is not None and not any(s in t for s in self.specials) for t in texts]
         split = [_PARTS.findall(t.lower()) if p else None for t, p in zip(texts, plain)]
-        known = self.words
-        new = list({w for words in split if words for w in words if w not in known})
-        for at in range(0, len(new), 4096):
-            self._learn(new[at:at + 4096])
-        get, other = known.__getitem__, iter(self._whole([t for t, p in zip(texts, plain) if not p]))
+        new = list(set().union(*filter(None, split)) - self.words.keys())
+        for at in range(0, len(new), self.LEARN):
+            self._learn(new[at:at + self.LEARN])
+        get, other = self.words.__getitem__, iter(self._whole([t for t, p in zip(texts, plain) if not p]))
         return [next(other).tobytes() if words is None else b"".join(map(get, words)) for words in split]
 
 
