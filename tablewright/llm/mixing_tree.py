@@ -107,7 +107,7 @@ def _before(of: str, *partition: str) -> Column:
 
 def mix_sources(
     rows: DataFrame, sources: DataFrame, block_words: int = 256, shard_words: int = 1 << 24, seed: int = 42,
-    max_sources: int = 1_000_000,
+    max_sources: int = 100_000,
 ) -> DataFrame:
     """Draws from (row, name, size, key) that bring sources (name, source_size, target) to their targets.
 
@@ -120,8 +120,9 @@ def mix_sources(
 
     Permutations are ranked by hash bucket: bucket totals are summed over buckets,
     and only blocks of one bucket are sorted together, so a source with most of the
-    blocks is many small sorts. The driver holds one number per source and shard;
-    ``max_sources`` refuses tables whose sources are no mixture components.
+    blocks is many small sorts. Tables of one row per source are broadcast, and the driver
+    holds one number per source and shard; ``max_sources`` is their proven bound and
+    refuses tables whose sources are no mixture components.
     """
     size, longest = F.col("size"), F.lit(block_words)
     plans = durable(sources.select("name", "source_size", "target").withColumn(
@@ -138,7 +139,7 @@ def mix_sources(
         return F.xxhash64(F.lit(seed), "key", "block", turn)
 
     bucket = F.shiftrightunsigned("order", 64 - bits)
-    blocks = (rows.filter(size > 0).join(plans, "name")
+    blocks = (rows.filter(size > 0).join(F.broadcast(plans), "name")
               .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((size - 1) / longest))))
               .withColumn("start", F.col("block") * longest).withColumn("length", F.least(longest.cast("long"), size - F.col("start")))
               .select("row", "name", "key", "block", "start", "length", "passes", "rest"))
@@ -147,7 +148,7 @@ def mix_sources(
     totals = part.groupBy("name", "bucket").agg(F.sum("length").alias("words"), F.first("rest").alias("rest"))
     cuts = (totals.withColumn("filled", _before("words", "name"))
             .filter("filled < rest AND filled + words >= rest").select("name", F.col("bucket").alias("cut"), "filled"))
-    part = part.join(cuts, "name").filter("bucket <= cut")
+    part = part.join(F.broadcast(cuts), "name").filter("bucket <= cut")
     within = Window.partitionBy("name").orderBy("order", "row", "block").rowsBetween(Window.unboundedPreceding, -1)
     last = part.filter("bucket = cut").withColumn("filled", F.col("filled") + F.coalesce(F.sum("length").over(within), F.lit(0)))
     last = last.withColumn("length", F.least("length", F.col("rest") - F.col("filled"))).filter("length > 0")
@@ -226,6 +227,7 @@ def mixed_documents(
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mix = mix_to_weights(documents(spark, folder))
     taken = mix.draws.groupBy("row").agg(F.sum("length").alias("taken"), F.min("shard").alias("first_shard"))
-    return (mix.rows.join(taken, "row", "left").join(mix.sources.select("name", "source_size", "target"), "name")
+    targets = F.broadcast(mix.sources.select("name", "source_size", "target"))  # at most max_sources rows
+    return (mix.rows.join(taken, "row", "left").join(targets, "name")
             .select(F.col("id").alias("doc_id"), "size", "source_size", "target",
                     F.coalesce("taken", F.lit(0)).alias("taken"), "first_shard"))
