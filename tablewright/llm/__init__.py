@@ -35,6 +35,7 @@ def load_all() -> None:
         packing,
         pu_quality,
         simhash_index,
+        surrogates,
         text_density,
         unit_dedup,
     )
