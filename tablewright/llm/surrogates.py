@@ -185,9 +185,10 @@ def later_attempts(named: DataFrame, key: str) -> DataFrame:
                              (unit["kind"] == F.col("kind")) & (unit["scope"] == F.col("scope")) & (F.col("new") == F.col("taken")), "left")
                   .withColumn("lost", F.coalesce(F.struct("attempt", "unit.name") != F.col("owner"), F.lit(False))
                               | (F.col("new") == unit["body"])))
-        attempt = F.col("attempt") + F.col("lost").cast("int")
-        following = durable(marked.select("unit", attempt.alias("attempt"), F.when(
-            F.col("lost"), surrogate(key, unit, attempt)).otherwise(F.col("new")).alias("new"), "lost"))
+        # Step by step: inside a lambda, Spark would take "attempt" for an alias of the same select.
+        following = marked.select("unit", "new", "lost", (F.col("attempt") + F.col("lost").cast("int")).alias("attempt"))
+        following = durable(following.withColumn(
+            "new", F.when(F.col("lost"), surrogate(key, F.col("unit"), F.col("attempt"))).otherwise(F.col("new"))))
         if following.filter("lost").isEmpty():
             return state.filter("attempt > 0").select(_identity(unit).alias("identity"), "attempt")
         state = following.drop("lost")
