@@ -25,8 +25,11 @@ def split_units(text: str) -> list[tuple[int, int]]:
     """Spans of the lines and sentences of a text, without the white space between them."""
     spans, at = [], len(text) - len(text.lstrip())
     for gap in _BREAK.finditer(text, at):
-        if gap.start() > at:
-            spans.append((at, gap.start()))
+        end = gap.start()
+        while end > at and text[end - 1].isspace():
+            end -= 1
+        if end > at:
+            spans.append((at, end))
         at = gap.end()
     end = len(text.rstrip())
     if end > at:
