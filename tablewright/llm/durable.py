@@ -23,7 +23,7 @@ def durable(df: DataFrame) -> DataFrame:
 _paths: list[tuple[SparkSession, str]] = []
 
 
-def stored(df: DataFrame, stem: str, codec: str = "zstd") -> DataFrame:
+def stored(df: DataFrame, stem: str, codec: str = "snappy") -> DataFrame:
     """The same rows read from a Parquet table in the shared folder; for wide tables.
 
     The table stays until ``discard`` or the end of the driver, as lazy results read it.

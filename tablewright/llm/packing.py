@@ -309,7 +309,7 @@ def pack_documents(
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     tokens = stored(rows.mapInArrow(_token_batches(tokenizer_path, end_id, size),
-                                    f"id {kind}, ids binary, doc_tokens long, rest long, part long, own long, blocks long"), "tokens")
+                                    f"id {kind}, ids binary, doc_tokens long, rest long, part long, own long, blocks long"), "tokens", "zstd")
     width = TextTokens(tokenizer_path).kind.itemsize
     counts = tokens.groupBy("part", "rest").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("rest").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
