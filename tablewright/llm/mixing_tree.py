@@ -217,8 +217,9 @@ def mixed_documents(
     passes = draws.groupBy(F.col("row").alias(row), "pass").agg(
         F.sum("length").alias(words), F.sort_array(F.collect_list(F.struct("start", "length"))).alias(spans)).drop("pass")
     pieces = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
-    cut = F.array_join(F.flatten(F.transform(
-        F.col(spans), lambda s: F.slice(pieces, (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
+    # The outer array binds the split text, so it is split once however many blocks are cut from it.
+    cut = F.transform(F.array(pieces), lambda p: F.array_join(F.flatten(F.transform(
+        F.col(spans), lambda s: F.slice(p, (s["start"] + 1).cast("int"), s["length"].cast("int")))), ""))[0]
     whole = F.when(F.col(words) == F.col(size), text).otherwise(cut)
     return docs.join(passes, row).select(*[whole.alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns])
 
