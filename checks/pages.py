@@ -32,6 +32,14 @@ def child_text(spark, folder):
     return X.child_text(items, "a", 0).select("page_id", "pos", "text")
 
 
+# A paragraph without an end tag ends at the next one or with the article around it.
+@query("""SELECT page_id, generate_subscripts(parts, 1)::INT - 1 AS pos,
+  regexp_extract(unnest(parts), '(?s)^(.*?)(?:</p>|</article>|$)', 1) AS "inner" FROM (
+  SELECT page_id, string_split(regexp_replace(html, '(?s)<script.*?</script>', '', 'g'), '<p>')[2:] AS parts FROM pages)""")
+def extract_unclosed_paragraphs(spark, folder):
+    return X.extract_elements(table(spark, folder, "pages"), "p")
+
+
 DECODED = """replace(replace(replace(replace(regexp_replace(inner_html, '<[^>]*>', '', 'g'),
   '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&')"""
 

@@ -1,30 +1,37 @@
 """Expressions that read elements, bands and percentages out of HTML text.
 
-All of them are row-local built-in expressions: a page is never split over
-rows or shuffled to find its elements, and no Python runs per row.
+All of them are row-local: a page is never split over rows or shuffled to find its
+elements. Elements need a stack of what is open, so they are found by one scan per page in
+Arrow batches; the rest are built-in expressions.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from html import unescape
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tablewright.functions.values import as_column
 
-# Named character references and what they stand for.
-NAMED_CHARACTERS = {
-    "lt": "<",
-    "gt": ">",
-    "quot": '"',
-    "apos": "'",
-    "nbsp": " ",
-    "copy": "©",
-    "middot": "·",
-    "ndash": "–",
-    "mdash": "—",
+# Which elements a start tag ends where their end tag is left out, up to what encloses them.
+_BLOCKS = frozenset("""address article aside blockquote center details dialog dd dir div dl dt fieldset figcaption figure footer
+form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table td th tr ul""".split())
+_ENDED_BY = {
+    "li": ("li", "ul ol menu dir"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "option": ("option", "select optgroup"),
+    "optgroup": ("option optgroup", "select"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"),
+    "tbody": ("tbody thead tfoot tr td th", "table"), "thead": ("tbody thead tfoot tr td th", "table"),
+    "tfoot": ("tbody thead tfoot tr td th", "table"),
 }
+_ENDED_BY = {tag: (frozenset(ends.split()), frozenset(within.split())) for tag, (ends, within) in _ENDED_BY.items()}
+_P, _AROUND_P = frozenset({"p"}), frozenset("table td th div section article li blockquote button form".split())
+_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 EN_DASH = "–"
 
+
 def without_scripts(html: str) -> Column:
     """Drop comments, scripts and styles, whose text may look like tags."""
     clean = F.regexp_replace(F.col(html), r"(?s)<!--.*?-->", "")
@@ -32,91 +39,105 @@ def without_scripts(html: str) -> Column:
     return F.regexp_replace(clean, r"(?is)<style\b.*?</style\s*>", "")
 
 
-def _once(value: str, name: str, body: str) -> str:
-    """SQL that evaluates a value once and uses it under a name in a body.
-
-    An expression mentioned twice is otherwise evaluated twice, which for a
-    regular expression over a page is most of the cost.
-    """
-    return f"element_at(transform(array({value}), {name} -> ({body})), 1)"
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)[^>]*>")
+_CLASS = re.compile(r"""\sclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def _has_class(mark: str, wanted: str) -> bool:
+    if wanted not in mark:  # spares most tags the regular expression
+        return False
+    found = _CLASS.search(mark)
+    value = next((g for g in found.groups() if g is not None), "") if found else ""
+    return value == wanted or wanted in value.split()
 
 
-def _class_test(mark: str, wanted: str) -> str:
-    pattern = r"""r'(?is)\sclass\s*=\s*(?:"([^"]*)"|\x27([^\x27]*)\x27|([^\s"\x27>]+))'"""
-    value = "concat(" + ", ".join(f"regexp_extract({mark}, {pattern}, {k})" for k in (1, 2, 3)) + ")"
-    wanted = _quoted(wanted)
-    test = rf"cls = {wanted} OR array_contains(split(cls, r'\s+'), {wanted})"
-    # The plain search first: it spares most tags the regular expressions.
-    return f"contains({mark}, {wanted}) AND {_once(value, 'cls', test)}"
+def scan_elements(page: str, tag: str, class_: str | None = None) -> list[tuple[int, str, str]]:
+    """(open, inner, mark) of all elements of a tag, in document order; see `elements`.
 
+    One pass with a stack of the open elements. An end tag also ends what was opened
+    inside and left open; one that nothing open matches is ignored.
+    """
+    tag, stack, count, found = tag.lower(), [], Counter(), []
+
+    def end_at(depth: int, stop: int) -> None:
+        while len(stack) > depth:
+            name, opened, start, mark = stack.pop()
+            count[name] -= 1
+            if name == tag and (class_ is None or _has_class(mark, class_)):
+                found.append((opened, page[start:stop], mark))
+
+    def end_nearest(names: frozenset, within: frozenset, stop: int) -> bool:
+        if not any(count[n] for n in names):
+            return False
+        for depth in range(len(stack) - 1, -1, -1):
+            if stack[depth][0] in names:
+                end_at(depth, stop)
+                return True
+            if stack[depth][0] in within:
+                return False
+        return False
+
+    for m in _TAG.finditer(page):
+        name = m[2].lower()
+        if m[1]:
+            if count[name]:
+                end_nearest(frozenset((name,)), frozenset(), m.start())
+            continue
+        if name in _BLOCKS:
+            end_nearest(_P, _AROUND_P, m.start())
+        if name in _ENDED_BY:
+            while end_nearest(*_ENDED_BY[name], m.start()):
+                pass
+        if name in _VOID:
+            if name == tag and (class_ is None or _has_class(m[0], class_)):
+                found.append((m.start(), "", m[0]))
+        else:
+            stack.append((name, m.start(), m.end(), m[0]))
+            count[name] += 1
+    end_at(0, len(page))
+    return sorted(found)
+
+
+def elements(html: Column | str, tag: str, class_: str | None = None) -> Column:
+    """All elements of a tag in a column, as array<struct<open, inner, mark>> in document order.
 
-def _elements_sql(html: str, tag: str, class_: str | None) -> str:
+    Elements may be nested. An element without an end tag ends where HTML lets it: at the
+    next sibling that cannot be inside it (list items, paragraphs, cells, rows), at its
+    parent's end, or at the page's end. ``class_`` is matched as one token of the class
+    attribute or as the whole attribute. Each page is read once from start to end.
+    """
     if not tag.isalnum():
         raise ValueError(f"not a tag name: {tag!r}")
-    marks = rf"r'(?is)</?{tag}(?=[\s>/])[^>]*>'"
-    place = "open:int, start:int"
-    top = "get(s.stack, size(s.stack) - 1)"
-    wanted = "" if class_ is None else f"AND {_class_test(f'{top}.mark', class_)}"
-    walk = f"""aggregate(
-      zip_with(split(page, {marks}, -1), regexp_extract_all(page, {marks}, 0), (text, mark) -> struct(
-        coalesce(length(text), 0) AS skip, coalesce(length(mark), 0) AS width,
-        coalesce(mark, '') AS mark, coalesce(startswith(mark, '</'), false) AS closes)),
-      struct(0 AS here, CAST(array() AS array<struct<{place}, mark:string>>) AS stack,
-             CAST(array() AS array<struct<{place}, stop:int, mark:string>>) AS found),
-      (s, x) -> struct(
-        s.here + x.skip + x.width AS here,
-        CASE WHEN x.width = 0 THEN s.stack
-             WHEN NOT x.closes THEN concat(s.stack, array(struct(
-               s.here + x.skip AS open, s.here + x.skip + x.width AS start, x.mark AS mark)))
-             WHEN size(s.stack) > 0 THEN slice(s.stack, 1, size(s.stack) - 1)
-             ELSE s.stack END AS stack,
-        CASE WHEN x.closes AND size(s.stack) > 0 {wanted} THEN concat(s.found, array(struct(
-               {top}.open AS open, {top}.start AS start, s.here + x.skip AS stop, {top}.mark AS mark)))
-             ELSE s.found END AS found),
-      s -> transform(array_sort(s.found), f -> struct(
-        f.open AS open, substring(page, f.start + 1, f.stop - f.start) AS inner, f.mark AS mark)))"""
-    return _once(html, "page", walk)
-
-
-def elements(html: str, tag: str, class_: str | None = None) -> Column:
-    """All elements of a tag in a column, as array<struct<open, inner, mark>> in document order.
 
-    Elements of the same tag may be nested: opening and closing tags are paired
-    like brackets by folding over the page's tags with a stack of the positions
-    still open. An element that is never closed is left out. ``class_`` is
-    matched as one token of the class attribute or as the whole attribute.
-    """
-    return F.expr(_elements_sql(f"`{html}`", tag, class_))
+    @F.pandas_udf("array<struct<open: int, inner: string, mark: string>>")
+    def found(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda page: [] if page is None else [
+            {"open": o, "inner": inner, "mark": mark} for o, inner, mark in scan_elements(page, tag, class_)])
+
+    return found(as_column(html))
+
+
+_COMMENT, _ANY_TAG = re.compile(r"<!--.*?-->", re.S), re.compile(r"<[^>]*>")
+
 
+def plain_text(fragment: str) -> str:
+    """Tags dropped, character references decoded; a no-break space reference becomes a space."""
+    bare = _ANY_TAG.sub("", _COMMENT.sub("", fragment))
+    return unescape(bare.replace("&nbsp;", " ")) if "&" in bare else bare
 
-def _text_sql(html: str) -> str:
-    bare = rf"regexp_replace(regexp_replace({html}, r'(?s)<!--.*?-->', ''), '<[^>]*>', '')"
-    named = "t"
-    for name, char in NAMED_CHARACTERS.items():
-        named = f"replace({named}, '&{name};', {_quoted(char)})"
-    number = (r"CASE WHEN rlike(piece, r'^\d{1,5};') THEN conv(regexp_extract(piece, r'^(\d+)', 1), 10, 16) "
-              r"ELSE regexp_extract(piece, r'^[xX]([0-9a-fA-F]{1,4});', 1) END")
-    spelled = ("CASE WHEN length(code) BETWEEN 1 AND 4 "
-               "THEN concat(decode(unhex(lpad(code, 4, '0')), 'UTF-16BE'), substring(piece, locate(';', piece) + 1)) "
-               "ELSE concat('&#', piece) END")
-    joined = ("concat(pieces[0], array_join(transform(slice(pieces, 2, size(pieces)), "
-              f"piece -> {_once(number, 'code', spelled)}), ''))")
-    numbered = _once(f"split({named}, '&#', -1)", "pieces", joined)
-    return _once(bare, "t", f"CASE WHEN contains(t, '&') THEN replace({numbered}, '&amp;', '&') ELSE t END")
 
+def text_of(html: Column | str) -> Column:
+    """Text of an HTML column: tags dropped, all character references decoded."""
+    @F.pandas_udf("string")
+    def texts(fragments: pd.Series) -> pd.Series:
+        return fragments.map(lambda f: None if f is None else plain_text(f))
 
-def text_of(html: str) -> Column:
-    """Text of an HTML column: tags dropped, character references decoded."""
-    return F.expr(_text_sql(f"`{html}`"))
+    return texts(as_column(html))
 
 
-def nth_text(html: str, tag: str, n: int) -> Column:
+def nth_text(html: Column | str, tag: str, n: int) -> Column:
     """Text of the n-th (from 0) element of a tag; null when there are fewer."""
-    return F.expr(_text_sql(f"get({_elements_sql(f'`{html}`', tag, None)}, {int(n)}).inner"))
+    return text_of(F.get(elements(html, tag), F.lit(int(n)))["inner"])
 
 
 def parse_band(text: Column | str, bound: str, top: float = 200.0) -> Column:

@@ -64,15 +64,16 @@ def category_rates(elements: DataFrame, text: str = "text") -> DataFrame:
 
 def tail_mean(elements: DataFrame, n: int = 4, *, id_col: str = "page_id", text: str = "text",
               order: Sequence[str] = ("pos",)) -> DataFrame:
-    """(id, mean) of the last n non-empty numeric texts per page.
+    """(id, mean) of the last n texts per page that are numbers.
 
     The rank limit is applied before the shuffle, so at most n rows per page and
     task move.
     """
     ranked = Window.partitionBy(id_col).orderBy(*[F.col(c).desc() for c in order])
-    last = (elements.filter(F.trim(text) != "")
-            .withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") <= n))
-    return last.groupBy(id_col).agg(F.avg(F.col(text).try_cast("double")).alias("mean"))
+    numbers = elements.withColumn("_number", F.trim(text).try_cast("double")).filter(
+        F.col("_number").isNotNull() & ~F.isnan("_number"))
+    last = numbers.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") <= n)
+    return last.groupBy(id_col).agg(F.avg("_number").alias("mean"))
 
 
 def prepend_band(bands: DataFrame, row: DataFrame | Sequence[float]) -> DataFrame:
