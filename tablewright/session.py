@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +28,24 @@ def local_session(cores: int | str = 8, name: str = "tablewright", **conf: str)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per context, so its functions can be unpickled there."""
+    context = spark.sparkContext
+    if getattr(context, "_tablewright_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    # The driver's own file; Spark hands it to every executor.
+    archive = os.path.join(tempfile.mkdtemp(prefix="tablewright-"), "tablewright.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    context._tablewright_shipped = True
+
+
 def scratch_path(spark: SparkSession, stem: str) -> str:
     """A fresh path for an intermediate table.
 
