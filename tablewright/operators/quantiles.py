@@ -70,12 +70,12 @@ def exact_quantiles(df: DataFrame, probs: Mapping[str, Sequence[float]], *,
                     ) -> dict[str, list[float | None]]:
     """Quantiles with linear interpolation, as ``{column: [value per probability]}``.
 
-    Missing values are ignored; a column without values gives None. ``small`` is
-    the row count up to which Spark's own percentile is used, ``ranked`` the
-    number of bracket rows that may be ranked directly.
+    Missing values, null or NaN, are ignored; a column without values gives None.
+    ``small`` is the row count up to which Spark's own percentile is used, ``ranked`` the
+    number of bracket rows that may be ranked directly; neither changes a result.
     """
     cols = list(probs)
-    df = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols])
     # The first pass counts every column and proposes the first brackets at once.
     first = [[F.count(c).alias(f"n:{c}"),
               F.percentile_approx(c, _literals([x for p in probs[c] for x in _around(p)]),
@@ -106,6 +106,8 @@ def exact_quantiles(df: DataFrame, probs: Mapping[str, Sequence[float]], *,
         if not counts[c]:
             return None
         lower, upper = _ranks(p, counts[c])
+        if found[c, lower] == found[c, upper]:
+            return found[c, lower]  # also where both are infinite
         part = p * (counts[c] - 1) - lower
         return found[c, lower] * (1 - part) + found[c, upper] * part
 
