@@ -16,7 +16,8 @@ from tablewright.functions.values import none_of
 from tablewright.operators.quantiles import exact_quantiles
 
 EULER_GAMMA = 0.5772156649015329
-SMALL_SAMPLES = 40
+DRAWS_PER_TREE = 8
+CUT_ROWS = 200_000
 
 
 def iqr_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5, *,
@@ -111,17 +112,20 @@ class IsolationForest:
     def sampled(self, df: DataFrame) -> DataFrame:
         """(tree, columns...): for each tree the ``sample`` rows of lowest hash.
 
-        On a small table every tree draws from all rows. On a larger one a row
-        draws a few trees, and on a large one a hash filter inside the scan first
-        leaves about as many rows as the trees need together. Slightly more than
-        ``sample`` rows are drawn per tree and the rank cuts the surplus.
+        A row draws as many trees as all of them need from it together; of a large
+        table a hash filter inside the scan first leaves about as many rows as the trees need.
+        Slightly more than ``sample`` rows are drawn per tree and the rank cuts the
+        surplus. A gap in a feature is an error: a tree cannot split on it.
         """
         key = [self.key] if isinstance(self.key, str) else list(self.key)
         if not key:
             df, key = df.withColumn("_row", F.rand(self.seed)), ["_row"]
-        total = df.count()
+        gap = reduce(Column.__or__, [F.col(c).isNull() | F.isnan(F.col(c).cast("double")) for c in self.cols])
+        total, gaps = df.agg(F.count(F.lit(1)), F.count_if(gap)).first()
         if total == 0:
             raise ValueError("cannot fit a forest on an empty table")
+        if gaps:
+            raise ValueError(f"{gaps} rows have gaps in {', '.join(self.cols)}; impute before fitting a forest")
 
         def draw(*salt: Column) -> Column:
             return F.pmod(F.xxhash64(F.lit(self.seed), *salt, *key), F.lit(1 << 32))
@@ -129,14 +133,11 @@ class IsolationForest:
         wanted = self.sample + 8 * math.sqrt(self.sample) + 8
         rate = self.trees * wanted / total
         pool = min(1.0, rate)
-        if total <= SMALL_SAMPLES * self.sample:
-            pool, chance = 1.0, min(1.0, wanted / total)
-            trees = F.sequence(F.lit(0), F.lit(self.trees - 1))
-        else:
-            draws = math.ceil(rate / pool)
-            chance = rate / pool / draws
-            trees = F.array_distinct(F.transform(
-                F.sequence(F.lit(1), F.lit(draws)), lambda j: F.pmod(draw(F.lit("tree"), j), F.lit(self.trees))))
+        # So many draws of one row reach nearly every tree; more could only repeat them.
+        draws = min(math.ceil(rate / pool), DRAWS_PER_TREE * self.trees)
+        chance = min(1.0, rate / pool / draws)
+        trees = F.array_distinct(F.transform(
+            F.sequence(F.lit(1), F.lit(draws)), lambda j: F.pmod(draw(F.lit("tree"), j), F.lit(self.trees))))
         picks = F.transform(trees, lambda t: F.struct(
             t.cast("int").alias("tree"), draw(F.lit("rank"), t.cast("int")).alias("draw")))
         picks = F.filter(picks, lambda p: p["draw"] < int(chance * (1 << 32)))
@@ -205,8 +206,16 @@ class IsolationForestModel:
 
         return df.withColumn(out, anomaly(*[F.col(c).cast("double") for c in self.cols]))
 
-    def cutoff(self, df: DataFrame, contamination: float, *, exact: bool = False) -> float:
-        """Score above which the given share of rows lies."""
+    def cutoff(self, df: DataFrame, contamination: float, *, exact: bool = False, rows: int = CUT_ROWS) -> float:
+        """Score above which the given share of rows lies.
+
+        Not exact, it is read off about ``rows`` rows drawn by hash of all columns, so the whole
+        table is scored once, by whoever asks for its scores; at 200,000 rows the share is
+        off by 0.05 % of the rows (one standard deviation).
+        """
+        if not exact:
+            share = min(1.0, rows / max(1, df.count()))
+            df = df.filter(F.pmod(F.xxhash64(F.lit("cut"), *df.columns), F.lit(1 << 32)) <= int(share * (1 << 32)))
         scores = self.score(df.select(*self.cols)).select("anomaly_score")
         if exact:
             return exact_quantiles(scores, {"anomaly_score": [1 - contamination]})["anomaly_score"][0]
@@ -218,9 +227,8 @@ def isolation_forest(df: DataFrame, cols: Sequence[str], key: Sequence[str] | st
                      seed: int, exact: bool = False) -> DataFrame:
     """Add ``anomaly_score`` and ``is_outlier``; columns must be without gaps.
 
-    Scoring is a pure function of the row and the fitted trees. The cut-off pass
-    reads the feature columns only, and recomputing the score afterwards is
-    cheaper at scale than storing the whole table in between.
+    Scoring is a pure function of the row and the fitted trees. The cut-off comes from a
+    bounded sample of rows unless ``exact``, so a large table is scored once.
     """
     model = IsolationForest(cols, key, trees, sample, seed).fit(df)
     cut = model.cutoff(df, contamination, exact=exact)
