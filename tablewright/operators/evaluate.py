@@ -14,6 +14,7 @@ from tablewright.operators.models import score
 from tablewright.sources.models import load_model
 
 MIN_BUCKETS = 64
+ROWS_PER_BUCKET = 1_000_000
 
 
 def auc_binned(scored: DataFrame, label: str, raw: str = "rawPrediction") -> float:
@@ -57,7 +58,7 @@ def auc_exact(df: DataFrame, score_col: str, label: str) -> DataFrame:
 
 def _bucketed(rows: DataFrame, counts: DataFrame) -> DataFrame:
     """Number the value ranges that hold about equally many rows each."""
-    wanted = max(MIN_BUCKETS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    wanted = max(MIN_BUCKETS, -(-rows.count() // ROWS_PER_BUCKET))
     shares = [i / wanted for i in range(1, wanted)]
     found = rows.agg(F.percentile_approx("score", shares, 10 * wanted).alias("cuts")).first()["cuts"]
     cuts = sorted({c for c in found or [] if abs(c) != float("inf")})
@@ -72,21 +73,23 @@ def accuracy(df: DataFrame, prediction: str, label: str) -> DataFrame:
     return df.agg(F.avg((F.col(prediction) == F.col(label)).cast("double")).alias("accuracy"))
 
 
-def score_table(spark: SparkSession, scores: Iterable[tuple[str, float | None]]) -> DataFrame:
-    """(pos, model, rocauc) in candidate order."""
-    rows = [(i, name, value) for i, (name, value) in enumerate(scores)]
-    return spark.createDataFrame(rows, "pos int, model string, rocauc double")
+def score_table(spark: SparkSession, scores: Iterable[tuple]) -> DataFrame:
+    """(pos, model, rocauc), with accuracy where scores are (model, rocauc, accuracy), in candidate order."""
+    rows = [(i, *score) for i, score in enumerate(scores)]
+    further = ", accuracy double" if rows and len(rows[0]) > 3 else ""
+    return spark.createDataFrame(rows, f"pos int, model string, rocauc double{further}")
 
 
 def leaderboard(scores: DataFrame) -> DataFrame:
     """(model, rocauc, is_best) from (pos, model, rocauc); the first of equal scores wins.
 
-    Candidates without a score are listed and never best.
+    Candidates without a score are listed and never best. Further columns are kept.
     """
     scored = F.col("rocauc").isNotNull() & ~F.isnan("rocauc")
     ranking = F.when(scored, F.struct(F.col("rocauc"), -F.col("pos")))
     best = scores.agg(F.max_by("model", ranking)).scalar()
-    return scores.select("model", "rocauc", F.coalesce(F.col("model") == best, F.lit(False)).alias("is_best"))
+    further = [c for c in scores.columns if c not in ("pos", "model", "rocauc")]
+    return scores.select("model", "rocauc", *further, F.coalesce(F.col("model") == best, F.lit(False)).alias("is_best"))
 
 
 def best_model(board: DataFrame) -> str | None:
@@ -96,7 +99,7 @@ def best_model(board: DataFrame) -> str | None:
 
 def evaluate_best(models: Mapping[str, PipelineModel | str], board: DataFrame, test: DataFrame,
                   label: str, measure: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
-    """(model, n_pos, n_neg, auc) of the winning model on a test table, without refitting.
+    """(model, accuracy, n_pos, n_neg, auc) of the winning model on a test table, without refitting.
 
     Models are fitted pipelines or paths of stored ones.
     """
@@ -107,5 +110,6 @@ def evaluate_best(models: Mapping[str, PipelineModel | str], board: DataFrame, t
     if isinstance(model, str):
         model = load_model(model)
     measure = measure or (lambda scored, y: auc_exact(scored, "decision", y))
-    result = measure(score(model, test), label)
-    return result.select(F.lit(winner).alias("model"), "*")
+    scored = score(model, test)
+    right = accuracy(scored, "prediction", label).first()["accuracy"]
+    return measure(scored, label).select(F.lit(winner).alias("model"), F.lit(right).cast("double").alias("accuracy"), "*")

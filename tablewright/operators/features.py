@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.statistics import _long, statistics
 
+#: Levels of an index that the driver holds and ships to every task.
+MAX_INDEXED = 1_000_000
+
 
 @dataclass(frozen=True)
 class LinearScale:
@@ -114,8 +117,10 @@ def one_hot(df: DataFrame, cols: Sequence[str], max_levels: int = 100) -> DataFr
     return fit_one_hot(df, cols, max_levels).transform(df)
 
 
-def one_hot_vector(df: DataFrame, cols: Sequence[str], suffix: str = "_vec") -> DataFrame:
-    """Sparse vectors instead of columns, for as many levels as one index in memory holds."""
+def one_hot_vector(df: DataFrame, cols: Sequence[str], suffix: str = "_vec",
+                   max_levels: int = MAX_INDEXED) -> DataFrame:
+    """Sparse vectors instead of columns; the index of at most ``max_levels`` levels a column is held in memory."""
+    _bounded(df, cols, max_levels)
     index = StringIndexer(inputCols=list(cols), outputCols=[f"{c}_index" for c in cols],
                           handleInvalid="keep")
     encode = OneHotEncoder(inputCols=[f"{c}_index" for c in cols],
@@ -134,8 +139,18 @@ def min_max_vector(input_col: str, output_col: str) -> MinMaxScaler:
     return MinMaxScaler(inputCol=input_col, outputCol=output_col)
 
 
-def index_labels(df: DataFrame, col: str, out: str = "label") -> DataFrame:
+def _bounded(df: DataFrame, cols: Sequence[str], most: int) -> None:
+    """Refuse columns whose index would not fit the driver; a sketch counts first, exactly where it is near."""
+    about = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in cols]).first()
+    for c in cols:
+        n = about[c] if abs(about[c] - most) > 0.1 * most else df.select(c).distinct().count()
+        if n > most:
+            raise ValueError(f"{c!r} has more than {most} levels, too many for an index in memory")
+
+
+def index_labels(df: DataFrame, col: str, out: str = "label", max_levels: int = MAX_INDEXED) -> DataFrame:
     """Label index by falling frequency, ties in the order of the label's text."""
+    _bounded(df, [col], max_levels)
     indexer = StringIndexer(inputCol=col, outputCol=out, stringOrderType="frequencyDesc")
     return indexer.fit(df).transform(df)
 
@@ -144,8 +159,8 @@ def binarize_label(df: DataFrame, col: str, classes: Sequence | None = None,
                    out: str | None = None) -> DataFrame:
     """1.0 for the second of two classes, else 0.0; by default the classes in sorted order."""
     if classes is None:
-        row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-        classes = (row["lo"], row["hi"])
+        seen = df.filter(F.col(col).isNotNull()).select(col).distinct().limit(3).collect()
+        classes = sorted(r[0] for r in seen)
     if len(classes) != 2:
-        raise ValueError("two classes are needed")
+        raise ValueError(f"{col!r} needs two classes, not {'three or more' if len(classes) > 2 else len(classes)}")
     return df.withColumn(out or col, (F.col(col) == F.lit(classes[1])).cast("double"))

@@ -11,9 +11,11 @@ from pyspark.sql import types as T
 from tablewright.functions import values as V
 
 
-def normalize_missing(df: DataFrame) -> DataFrame:
-    """NaN in float columns and blank text become null, the only marker afterwards."""
+def normalize_missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """NaN in float columns and blank text become null, the only marker afterwards; in all columns or ``cols``."""
     def clean(field: T.StructField):
+        if cols is not None and field.name not in cols:
+            return F.col(field.name)
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             return V.nan_to_null(field.name).alias(field.name)
         if isinstance(field.dataType, T.StringType):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tablewright.functions.values import hash_hex
 from tablewright.operators.statistics import label_counts
 
-MAX_CLASSES = 10_000
+MAX_CLASSES = 10_000  # default of the argument max_classes
 BOUNDARY_ROWS = 100_000
 HASH_DIGITS = 8
 DIGITS_PER_PASS = 3
@@ -24,11 +24,11 @@ def with_row_key(df: DataFrame, out: str = "row_key") -> DataFrame:
     return df.withColumn(out, F.xxhash64(*df.columns))
 
 
-def _classes(df: DataFrame, label: str) -> dict[object, int]:
+def _classes(df: DataFrame, label: str, most: int = MAX_CLASSES) -> dict[object, int]:
     """Row count per class, refusing a label that is no class label."""
-    rows = label_counts(df, label).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label!r} has more than {MAX_CLASSES} classes; stratify on a class label")
+    rows = label_counts(df, label).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{label!r} has more than {most} classes; stratify on a class label")
     return {r[label]: r["n"] for r in rows}
 
 

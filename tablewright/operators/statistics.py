@@ -6,17 +6,16 @@ Results in long form have one row per column (or per column and value).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from itertools import combinations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.quantiles import exact_quantiles
 
-PAIRWISE_COLUMNS = 30
+PAIRS_PER_PASS = 60
 
 _SIMPLE = {
     "n": F.count,
@@ -191,21 +190,20 @@ def describe_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(a, b, corr) for every pair, over rows where both are present.
+    """(a, b, corr) for every pair, over rows where both are present, however many columns there are.
 
-    Beyond PAIRWISE_COLUMNS columns the pairs come from one correlation matrix,
-    over rows where all columns are present.
+    Up to PAIRS_PER_PASS pairs are summed in one pass over the table.
     """
     pairs = list(combinations(cols, 2))
-    if len(cols) <= PAIRWISE_COLUMNS:
-        wide = df.agg(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                                         F.corr(a, b).alias("corr")) for a, b in pairs]).alias("rows"))
-        return wide.select(F.inline("rows"))
-    features = VectorAssembler(inputCols=list(cols), outputCol="v", handleInvalid="skip")
-    matrix = Correlation.corr(features.transform(df.select(*cols)), "v").first()[0].toArray()
-    at = {c: i for i, c in enumerate(cols)}
-    return df.sparkSession.createDataFrame(
-        [(a, b, float(matrix[at[a], at[b]])) for a, b in pairs], "a string, b string, corr double")
+
+    def one_pass(some: Sequence[tuple[str, str]]) -> DataFrame:
+        rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(a, b).alias("corr")) for a, b in some])
+        return df.agg(rows.alias("rows")).select(F.inline("rows"))
+
+    passes = [one_pass(pairs[at:at + PAIRS_PER_PASS]) for at in range(0, len(pairs), PAIRS_PER_PASS)]
+    if not passes:
+        return df.sparkSession.createDataFrame([], "a string, b string, corr double")
+    return reduce(DataFrame.unionByName, passes)
 
 
 def box_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:

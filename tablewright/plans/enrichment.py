@@ -39,13 +39,15 @@ YOUTH_ESTIMATE_CLASS = "dp-data-estimate"
 
 @dataclass(frozen=True)
 class PageSources:
-    """Which stored pages hold which rates, by url."""
+    """Which stored pages hold which rates, by url; ``age_rows`` and ``group_rows`` stop after so many bands."""
 
     age_url: str
     group_url: str
     youth_url: str
     id_col: str = "page_id"
     group_container: int = 7
+    age_rows: int | None = None
+    group_rows: int | None = None
     youth_span: tuple[float, float] = (14, 17)
     top: float = 200.0
 
@@ -59,13 +61,15 @@ class PageRates:
     groups: Mapping[int, float]
 
 
-def age_bands(pages: DataFrame, *, rows: int = 7, id_col: str = "page_id",
+def age_bands(pages: DataFrame, *, rows: int | None = None, id_col: str = "page_id",
               top: float = 200.0) -> DataFrame:
-    """(id, idx, lo, hi, rate) from the first table rows of class "even".
+    """(id, idx, lo, hi, rate) from the table rows of class "even", all or the first ``rows``.
 
     The band is in the head cell, its rate in the first other cell.
     """
-    found = extract_elements(pages, "tr", AGE_ROW_CLASS, id_col=id_col).filter(F.col("pos") < rows)
+    found = extract_elements(pages, "tr", AGE_ROW_CLASS, id_col=id_col)
+    if rows is not None:
+        found = found.filter(F.col("pos") < rows)
     rows = child_text(found, "th", 0, "band")
     rows = child_text(rows, "td", 0, "value")
     return (parse_band(rows, "band", top)
@@ -74,16 +78,17 @@ def age_bands(pages: DataFrame, *, rows: int = 7, id_col: str = "page_id",
             .filter(F.col("lo").isNotNull() & F.col("rate").isNotNull()))
 
 
-def group_bands(pages: DataFrame, *, container: int = 7, bands: int = 4, id_col: str = "page_id",
+def group_bands(pages: DataFrame, *, container: int = 7, bands: int | None = None, id_col: str = "page_id",
                 top: float = 200.0) -> tuple[DataFrame, DataFrame]:
     """Group rates (id, key, rate) and bands (id, idx, lo, hi, rate) from one list.
 
     The list sits in the n-th (from 0) division of class "row": two groups come first,
-    then the age bands; what follows them is of no interest.
+    then the age bands, all or the first ``bands``.
     """
     rows = extract_elements(pages, "div", GROUP_CLASS, id_col=id_col).filter(F.col("pos") == container)
     items = own_text(nested_elements(rows, "li", id_col=id_col)).select(id_col, "pos", "inner", "text")
-    ages = parse_percent(parse_band(items.filter(F.col("pos").between(2, bands + 1)), top=top))
+    listed = F.col("pos") >= 2 if bands is None else F.col("pos").between(2, bands + 1)
+    ages = parse_percent(parse_band(items.filter(listed), top=top))
     ages = ages.filter(F.col("lo").isNotNull() & F.col("rate").isNotNull())
     return (category_rates(items),
             ages.select(id_col, (F.col("pos") - 2).alias("idx"), "lo", "hi", "rate"))
@@ -104,15 +109,18 @@ def youth_band(pages: DataFrame, *, span: tuple[float, float] = (14, 17), n: int
 
 
 def rates_from_pages(pages: DataFrame, src: PageSources) -> PageRates:
-    """Read all rates; what reaches the driver is one row per band and group."""
+    """Read all rates; what reaches the driver is one row per band and group.
+
+    Of a url stored several times, the page with the largest id counts.
+    """
     def of(url: str) -> DataFrame:
-        return pages.filter(F.col("url") == url)
+        return pages.filter(F.col("url") == url).orderBy(F.col(src.id_col).desc_nulls_last()).limit(1)
 
-    first = age_bands(of(src.age_url), id_col=src.id_col, top=src.top)
-    groups, second = group_bands(of(src.group_url), container=src.group_container,
+    first = age_bands(of(src.age_url), rows=src.age_rows, id_col=src.id_col, top=src.top)
+    groups, second = group_bands(of(src.group_url), container=src.group_container, bands=src.group_rows,
                                  id_col=src.id_col, top=src.top)
     youth = youth_band(of(src.youth_url), span=src.youth_span, id_col=src.id_col)
-    rates = {r["key"]: r["rate"] for r in groups.limit(2).collect()}
+    rates = {r["key"]: r["rate"] for r in groups.collect()}  # two positions of one page
     return PageRates(band_list(first), band_list(prepend_band(second, youth)), rates)
 
 

@@ -58,7 +58,8 @@ class Prepared:
 
 def prepare_statistical(df: DataFrame, cfg: StatisticalConfig) -> Prepared:
     """Drop sparse columns, impute, apply rules, scale, drop outliers, encode, scale again."""
-    df = normalize_missing(keep_columns(df, [*cfg.key, *cfg.numeric, *cfg.categorical]))
+    df = keep_columns(df, [*cfg.key, *cfg.numeric, *cfg.categorical])
+    df = normalize_missing(df, [c for c in df.columns if c not in cfg.key])
     sparse = set(sparse_columns(df, cfg.threshold, [cfg.label, *cfg.key]))
     numeric = [c for c in cfg.numeric if c not in sparse]
     categorical = [c for c in cfg.categorical if c not in sparse]

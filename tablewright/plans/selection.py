@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.columns import drop_columns, feature_names
-from tablewright.operators.evaluate import auc_exact, best_model, leaderboard, score_table
+from tablewright.operators.evaluate import accuracy, auc_exact, best_model, leaderboard, score_table
 from tablewright.operators.features import binarize_label
 from tablewright.operators.models import cross_validate, refit_scaler, score
 from tablewright.operators.split import exact_split, stratified_split
@@ -44,8 +44,9 @@ def select_model(df: DataFrame, candidates: Sequence[Candidate], *, label: str,
     """Split by key, search every candidate on the train part and rank by exact area on the test part.
 
     A text label becomes 1.0 for the second class in sorted order. All candidates
-    see the same rows on each side, because the split is a function of the key. ``scale_scope="each"`` fits the scaler on the test part
-    as well; the default applies the training scale.
+    see the same rows on each side, because the split is a function of the key.
+    ``scale_scope="each"`` fits the scaler on the test part as well; the default applies the training
+    scale. The models returned and stored are those that were scored.
     """
     if scale_scope not in ("train", "each"):
         raise ValueError(f"unknown scale scope {scale_scope!r}")
@@ -66,14 +67,16 @@ def select_model(df: DataFrame, candidates: Sequence[Candidate], *, label: str,
         searched = cross_validate(cand.estimator, cand.grid, parts.filter(F.col("split") == "train"),
                                   features=features, key=keys, folds=folds,
                                   parallelism=parallelism, seed=seed)
-        models[cand.name] = searched.bestModel
         tests[cand.name] = parts.filter(F.col("split") == "test").drop("split")
         used = searched.bestModel
         if scale_scope == "each":
             used = refit_scaler(used, tests[cand.name])
-        area = auc_exact(score(used, tests[cand.name]), "decision", label).first()["auc"]
-        scores.append((cand.name, area))
+        models[cand.name] = used
+        scored = score(used, tests[cand.name]).select("decision", "prediction", label).persist()
+        area = auc_exact(scored, "decision", label).first()["auc"]
+        scores.append((cand.name, area, accuracy(scored, "prediction", label).first()["accuracy"]))
+        scored.unpersist()
         if model_dir:
-            save_model(searched.bestModel, f"{model_dir.rstrip('/')}/{cand.name}")
+            save_model(used, f"{model_dir.rstrip('/')}/{cand.name}")
     board = leaderboard(score_table(df.sparkSession, scores))
     return Selection(board, models, best_model(board), tests)

@@ -16,7 +16,7 @@ def _format_of(path: str, fmt: str | None) -> str:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
-               fmt: str | None = None, *, strict: bool = False, **options) -> DataFrame:
+               fmt: str | None = None, *, strict: bool = True, **options) -> DataFrame:
     """Scan a headed CSV or a parquet table and bind it to a schema by name.
 
     CSV columns are read as text under their header names, so a file whose
@@ -31,10 +31,10 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return df if schema is None else bind_schema(df, schema, strict=strict)
 
 
-def bind_schema(df: DataFrame, schema: T.StructType, *, strict: bool = False) -> DataFrame:
+def bind_schema(df: DataFrame, schema: T.StructType, *, strict: bool = True) -> DataFrame:
     """Select and cast the schema's columns by name.
 
-    Text that is no value of the type becomes null, or fails when ``strict``.
+    Text that is no value of the type fails, or becomes null when not ``strict``.
     """
     require_columns(df, schema.names)
 
