@@ -81,10 +81,17 @@ def binarize_label(spark, folder):
 HASHED = "('0x' || substr(md5('42|' || o_orderkey), 1, 8))::BIGINT"
 
 
-@query()
+@query("SELECT DISTINCT o_orderstatus, true AS near_share, true AS distinct_rows_of_the_table FROM orders")
 def stratified_sample(spark, folder):
+    """Per class: within four deviations of the share drawn, and each row drawn is one of the table's, once."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
-    return P.stratified_sample(orders, "o_orderstatus", train=0.9, seed=42)
+    drawn = P.stratified_sample(orders, "o_orderstatus", train=0.9, seed=42).withColumn("times", F.lit(1))
+    both = orders.join(drawn.groupBy("o_orderkey", "o_orderstatus").agg(F.sum("times").alias("times")),
+                       ["o_orderkey", "o_orderstatus"], "full")
+    n, k = F.count(F.lit(1)), F.count("times")
+    return both.groupBy("o_orderstatus").agg(
+        (F.abs(k - 0.9 * n) <= 4 * F.sqrt(0.09 * n) + 1).alias("near_share"),
+        (F.max(F.coalesce("times", F.lit(1))) == 1).alias("distinct_rows_of_the_table"))
 
 
 @query(f"""WITH {FLAG_ORDERS}, c AS (SELECT flag, count(*) AS n FROM od GROUP BY flag)

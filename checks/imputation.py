@@ -102,15 +102,27 @@ def iqr_filter(spark, folder):
     return O.iqr_filter(table(spark, folder, "events").select("event_id", "value"), ["value"])
 
 
-@query("SELECT event_id, true AS in_unit FROM events")
+@query("""SELECT event_id, true AS as_wanted FROM events WHERE event_id % 997 = 0
+UNION ALL SELECT -1, true""")
 def isolation_forest(spark, folder):
-    events = table(spark, folder, "events").select("event_id", "value", "user_id")
+    """Rows planted far away are all flagged, and the share of flagged rows (as row -1) is the one asked for."""
+    planted = F.col("event_id") % 997 == 0
+    events = table(spark, folder, "events").select(
+        "event_id", F.when(planted, 1e6).otherwise(F.col("value")).alias("value"),
+        F.when(planted, -1e6).otherwise(F.col("user_id")).alias("user_id"))
     flagged = O.isolation_forest(events, ["value", "user_id"], "event_id", seed=42)
-    return flagged.select("event_id", F.col("anomaly_score").between(0, 1).alias("in_unit"))
+    share = flagged.agg(F.avg(F.col("is_outlier").cast("double")).alias("share"))
+    return (flagged.filter(planted).select("event_id", F.col("is_outlier").alias("as_wanted"))
+            .unionByName(share.select(F.lit(-1).cast("long").alias("event_id"), (F.abs(F.col("share") - 0.05) < 0.001).alias("as_wanted"))))
 
 
-@query()
+@query("SELECT o_orderkey, true AS above_all_others FROM orders WHERE o_orderkey % 4999 = 0")
 def isolation_forest_outliers(spark, folder):
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    flagged = O.isolation_forest(orders, ["o_totalprice", "o_custkey"], "o_orderkey", seed=7)
-    return flagged.filter("is_outlier").select("o_orderkey", "o_totalprice", "anomaly_score")
+    """The few planted rows score above every other row."""
+    planted = F.col("o_orderkey") % 4999 == 0
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", F.when(planted, -1e6).otherwise(F.col("o_custkey")).alias("o_custkey"),
+        F.when(planted, 1e9).otherwise(F.col("o_totalprice")).alias("o_totalprice"))
+    scored = O.isolation_forest(orders, ["o_totalprice", "o_custkey"], "o_orderkey", seed=7)
+    best = scored.filter(~planted).agg(F.max("anomaly_score")).scalar()
+    return scored.filter(planted).select("o_orderkey", (F.col("anomaly_score") > best).alias("above_all_others"))

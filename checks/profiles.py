@@ -136,6 +136,26 @@ def correlation_pairs(spark, folder):
     return rounded(out, "corr").withColumn("corr", F.col("corr") + 0.0)
 
 
+WIDE = 32
+
+
+def wide_sql(i: int) -> str:
+    return f"CASE WHEN (l_orderkey + {i}) % 7 <> 0 THEN l_quantity * {i % 5 - 2} + l_extendedprice / {1000 * (i + 1)} + l_linenumber * {i % 3} END"
+
+
+_WIDE_PAIRS = [(i, j) for i in range(WIDE) for j in range(i + 1, WIDE)]
+
+
+@query(f"""WITH w AS (SELECT {", ".join(f"({wide_sql(i)})::DOUBLE AS x{i}" for i in range(WIDE))} FROM lineitem),
+r AS (SELECT {", ".join(f"round(corr(x{i}, x{j}), 6) + 0.0 AS c{i}_{j}" for i, j in _WIDE_PAIRS)} FROM w)
+{" UNION ALL ".join(f"SELECT 'x{i}' AS a, 'x{j}' AS b, c{i}_{j} AS corr FROM r" for i, j in _WIDE_PAIRS)}""")
+def correlation_pairs_of_many_columns(spark, folder):
+    """Gaps fall on other rows in every column, and stay pair-wise however many columns there are."""
+    wide = table(spark, folder, "lineitem").select(*[F.expr(wide_sql(i)).cast("double").alias(f"x{i}") for i in range(WIDE)])
+    out = S.correlation_pairs(wide, wide.columns)
+    return rounded(out, "corr").withColumn("corr", F.col("corr") + 0.0)
+
+
 @query("""SELECT "column", min + 0.0 AS min, round(q1, 6) AS q1, round(median, 6) AS median,
        round(q3, 6) AS q3, max FROM (
   SELECT 'value' AS "column", min(value) AS min, quantile_cont(value, 0.25) AS q1, median(value) AS median,
