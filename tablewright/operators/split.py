@@ -24,8 +24,9 @@ def with_row_key(df: DataFrame, out: str = "row_key") -> DataFrame:
     return df.withColumn(out, F.xxhash64(*df.columns))
 
 
-def _classes(df: DataFrame, label: str, most: int = MAX_CLASSES) -> dict[object, int]:
+def _classes(df: DataFrame, label: str, most: int | None = None) -> dict[object, int]:
     """Row count per class, refusing a label that is no class label."""
+    most = MAX_CLASSES if most is None else most
     rows = label_counts(df, label).limit(most + 1).collect()
     if len(rows) > most:
         raise ValueError(f"{label!r} has more than {most} classes; stratify on a class label")
@@ -47,23 +48,23 @@ def _with_class_values(df: DataFrame, label: str, table: Mapping[object, Sequenc
 
 
 def stratified_sample(df: DataFrame, label: str, fractions: Mapping | None = None, *,
-                      train: float = 0.9, seed: int = 42) -> DataFrame:
+                      train: float = 0.9, seed: int = 42, max_classes: int | None = None) -> DataFrame:
     """Bernoulli sample per class; the rows drawn change with the partitioning.
 
     Use `stratified_split` where a repeatable choice is wanted.
     """
     if fractions is None:
-        fractions = train_fractions(_classes(df.filter(F.col(label).isNotNull()), label), train)
+        fractions = train_fractions(_classes(df.filter(F.col(label).isNotNull()), label, max_classes), train)
     return df.sampleBy(label, fractions=dict(fractions), seed=seed)
 
 
 def stratified_split(df: DataFrame, label: str, key: Sequence[str] | str, *, train: float = 0.9,
-                     seed: int = 42) -> DataFrame:
+                     seed: int = 42, max_classes: int | None = None) -> DataFrame:
     """Add ``split`` ("train" or "test") by comparing the key's hash to its class's share.
 
     No shuffle; rows with equal keys fall on the same side.
     """
-    cuts = {value: (_cut(share),) for value, share in train_fractions(_classes(df, label), train).items()}
+    cuts = {value: (_cut(share),) for value, share in train_fractions(_classes(df, label, max_classes), train).items()}
     side = F.when(hash_hex(key, seed) < F.col("_cut"), "train").otherwise("test")
     return (_with_class_values(df, label, cuts, "_cut string")
             .withColumn("split", side).drop("_cut"))
@@ -97,7 +98,8 @@ class ExactSplit:
 
 
 def fit_exact_split(df: DataFrame, label: str, key: Sequence[str] | str, *, test: float = 0.1,
-                    seed: int = 42, boundary_rows: int = BOUNDARY_ROWS) -> ExactSplit:
+                    seed: int = 42, boundary_rows: int = BOUNDARY_ROWS,
+                    max_classes: int | None = None) -> ExactSplit:
     """Find the test boundary per class without ordering a class in one task.
 
     Hash prefixes are counted, which map-side combine reduces to a few thousand
@@ -105,7 +107,7 @@ def fit_exact_split(df: DataFrame, label: str, key: Sequence[str] | str, *, test
     hash bits until it is small, and only its rows are ranked.
     """
     key = [key] if isinstance(key, str) else list(key)
-    counts = _classes(df, label)
+    counts = _classes(df, label, max_classes)
     quota = {value: int(n * test + 0.5) for value, n in counts.items()}
     # Per class: hash prefix known so far, and how many of its rows are still wanted.
     state = {value: ("", want) for value, want in quota.items() if want > 0}
@@ -148,9 +150,13 @@ def _inside(rows: DataFrame, label: str, state: Mapping[object, Sequence], digit
 
 
 def exact_split(df: DataFrame, label: str, key: Sequence[str] | str, *, test: float = 0.1,
-                seed: int = 42, boundary_rows: int = BOUNDARY_ROWS) -> DataFrame:
-    """Add ``split`` with exactly round(test * n) test rows per class; the key must be unique."""
-    fitted = fit_exact_split(df, label, key, test=test, seed=seed, boundary_rows=boundary_rows)
+                seed: int = 42, boundary_rows: int = BOUNDARY_ROWS,
+                max_classes: int | None = None) -> DataFrame:
+    """Add ``split`` with exactly round(test * n) test rows per class; the key must be unique.
+
+    Class totals are held on the driver: ``max_classes`` (10,000 by default) is their bound.
+    """
+    fitted = fit_exact_split(df, label, key, test=test, seed=seed, boundary_rows=boundary_rows, max_classes=max_classes)
     return fitted.transform(df)
 
 
