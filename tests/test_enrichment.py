@@ -71,7 +71,7 @@ def found(spark, html, tag, class_=None):
     ("<div class='x row'>a<div class=row>b</div></div><div class='rows'>c</div>", "div", "row",
      ["a<div class=row>b</div>", "b"]),
     ('<span class="p y17">a</span><span class="y17 p">b</span>', "span", "p y17", ["a"]),
-    ("<p>a<p>b</p>", "p", None, ["b"]),
+    ("<p>a<p>b</p>", "p", None, ["a", "b"]),  # unclosed elements are kept
     ("</p><p>a</p></p>", "p", None, ["a"]),
     ("<script>'<p>no</p>'</script><!-- <p>no</p> --><style>p{}</style><p>yes</p>", "p", None, ["yes"]),
     ("<pre>a</pre><p>b</p>", "p", None, ["b"]),
@@ -131,7 +131,9 @@ def stored_pages(spark):
 
 
 def test_rates_are_read_from_pages(spark):
-    rates = rates_from_pages(stored_pages(spark), PageSources("a", "b", "c"))
+    whole = rates_from_pages(stored_pages(spark), PageSources("a", "b", "c"))
+    rates = rates_from_pages(stored_pages(spark), PageSources("a", "b", "c", group_rows=4))
+    assert whole.second[:5] == rates.second and len(whole.second) == 6
     assert rates.first == [(18.0, 24.0, 8.3), (25.0, 34.0, 10.6), (75.0, 200.0, 3.4)]
     assert rates.second == [(14.0, 17.0, 13.0), (18.0, 24.0, 5.3), (25.0, 44.0, 12.6), (45.0, 66.0, 14.9), (65.0, 200.0, 8.3)]
     assert rates.groups == {1: 13.1, 0: 10.1}

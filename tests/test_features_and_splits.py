@@ -68,6 +68,8 @@ def test_split_refuses_an_id_as_label(spark, monkeypatch):
     monkeypatch.setattr(P, "MAX_CLASSES", 10)
     with pytest.raises(ValueError, match="class label"):
         P.stratified_split(people(spark), "id", "id")
+    n = people(spark).count()
+    assert P.stratified_split(people(spark), "id", "id", max_classes=n).count() == n
 
 
 def test_duplicates_survive_the_split(spark):
@@ -118,10 +120,9 @@ def test_forest_does_not_depend_on_partitions(spark):
     assert first == second
 
 
-def test_forest_draws_full_samples_without_repeats(spark, monkeypatch):
-    df = spark.range(3000).select("id", F.col("id").cast("double").alias("a"))
-    for small in (1000, 0):
-        monkeypatch.setattr(O, "SMALL_SAMPLES", small)
+def test_forest_draws_full_samples_without_repeats(spark):
+    for rows in (3000, 300):
+        df = spark.range(rows).select("id", F.col("id").cast("double").alias("a"))
         drawn = O.IsolationForest(["a"], "id", trees=20, sample=64).sampled(df)
         per_tree = drawn.groupBy("tree").agg(F.count("_x0").alias("n"), F.countDistinct("_x0").alias("d")).collect()
         assert len(per_tree) == 20 and all(r["n"] == r["d"] == 64 for r in per_tree)

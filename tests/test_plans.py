@@ -84,12 +84,12 @@ def test_csv_binds_by_name(spark, tmp_path):
     path = str(tmp_path / "t.csv")
     write_table(spark.createDataFrame([("1", "x,\"y\"\\"), ("zz", None)], "b string, a string"), path)
     schema = spark.createDataFrame([], "a string, b double").schema
-    assert sorted(map(tuple, read_table(spark, path, schema).collect()), key=str) == sorted(
+    assert sorted(map(tuple, read_table(spark, path, schema, strict=False).collect()), key=str) == sorted(
         [("x,\"y\"\\", 1.0), (None, None)], key=str)
     with pytest.raises(ValueError):
         bind_schema(spark.range(1), schema)
     with pytest.raises(Exception, match="zz"):
-        read_table(spark, path, schema, strict=True).collect()
+        read_table(spark, path, schema).collect()
 
 
 def test_fitted_models_work_on_a_stream(spark, folder, tmp_path):
