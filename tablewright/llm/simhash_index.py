@@ -117,7 +117,8 @@ def near_duplicate_classes(
     roots = linked.join(firsts, linked["node"] == firsts["fp"]).groupBy("root").agg(F.min("first").alias("component"))
     members = linked.join(roots, "root").select(F.col("node").alias("fp"), "component")
     # A class whose smallest member has no id still has the others' smallest.
-    classes = firsts.join(members, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id"))
+    # Stored, so that the join below meets two plain exchanges, of which Spark splits a hot fingerprint's side.
+    classes = durable(firsts.join(members, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id")))
     return prints.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
