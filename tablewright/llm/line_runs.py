@@ -58,7 +58,8 @@ def suffix_ranks(lines: DataFrame, depth: int) -> DataFrame:
 
 def later_copies(ranks: DataFrame) -> DataFrame:
     """(key, at): all members of each interval but the earliest, by document and then position."""
-    first = ranks.groupBy("rank").agg(F.min(F.struct("key", "at")).alias("first"))
+    # Stored, so that the join meets two plain exchanges, of which Spark splits a hot interval's side.
+    first = durable(ranks.groupBy("rank").agg(F.min(F.struct("key", "at")).alias("first")))
     return ranks.join(first, "rank").filter(F.struct("key", "at") > F.col("first")).select("key", "at")
 
 
