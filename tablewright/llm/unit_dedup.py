@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm import query
 from tablewright.llm.documents import document_key, documents, whole_text
-from tablewright.llm.durable import unused
+from tablewright.llm.durable import durable, unused
 
 #: A unit ends at a line's end, after a full stop, and where a capital follows a small letter: a
 #: passage put into the middle of a sentence begins there.
@@ -141,8 +141,9 @@ def drop_repeated_passages(
     keyed = df.select(document_key(id_col, text).alias("key"), text.alias("text"))
     units = keyed.mapInArrow(_unit_batches(min_unit_words), "key decimal(38,0), unit int, digest binary, again boolean")
     repeated = units.groupBy("digest").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    repeated = durable(repeated.select("digest", "first"))  # a plain side, so Spark splits the other where one digest is hot
     key, copies = unused(df, "key"), unused(df, "copies")
-    later = (units.join(repeated.select("digest", "first"), "digest").filter("again OR key > first")
+    later = (units.join(repeated, "digest").filter("again OR key > first")
              .groupBy(F.col("key").alias(key)).agg(F.collect_set("unit").alias(copies)))
     at = df.columns.index(text_col)
     fields = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns]
