@@ -98,8 +98,8 @@ def host_verdicts(failed: DataFrame, limit: float) -> DataFrame:
     what chance explains. Hosts with few documents are drawn to the mean. Sums of
     hosts, not hosts, reach the driver. Rows without a host have no verdict.
     """
-    hosts = failed.filter("host IS NOT NULL").groupBy("host").agg(
-        F.count(F.lit(1)).alias("host_docs"), F.count_if("failed").alias("host_failed"))
+    hosts = durable(failed.filter("host IS NOT NULL").groupBy("host").agg(
+        F.count(F.lit(1)).alias("host_docs"), F.count_if("failed").alias("host_failed")))
     n, f = F.col("host_docs").cast("double"), F.col("host_failed").cast("double")
     h, docs, bad, squares, spread = hosts.agg(
         F.count(F.lit(1)), F.sum(n), F.sum(f), F.sum(n * n), F.sum(f * f / n)).first()
