@@ -15,7 +15,7 @@ from tablewright.operators import enrich, extract, features, outliers, statistic
 from tablewright.operators.evaluate import auc_exact
 from tablewright.operators.models import logistic, score
 from tablewright.operators.quantiles import exact_quantiles
-from tablewright.plans import Candidate, PageSources, select_model
+from tablewright.plans import Candidate, PageSources, prepare_statistical, select_model
 from tablewright.plans.enrichment import rates_from_pages
 from tablewright.sources import bind_schema
 
@@ -100,6 +100,14 @@ def test_a_forest_refuses_gaps(spark):
         outliers.isolation_forest(df, ["x"], "k", seed=1)
 
 
+def test_later_passes_do_not_score_a_table_again(spark, folder):
+    from checks.flows import clinical_orders, statistical_config
+
+    flow = prepare_statistical(clinical_orders(spark, folder), statistical_config("forest"))
+    for df in (flow.table, flow.feature_histogram):
+        assert "EvalPython" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("n", [30, 2000, 10241, 30000])
 def test_trees_get_their_samples_at_any_size(spark, n):
     forest = outliers.IsolationForest(["x"], "k", trees=20, sample=64)
