@@ -7,7 +7,7 @@ Suffixes that agree on their first n lines form a longest-common-prefix interval
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,11 +20,12 @@ from tablewright.llm.durable import durable, rank_of_keys, unused
 
 
 def line_ids(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(key, at, line): lines that hold a word, numbered within the document, as 128-bit hashes."""
+    """(key, at, line, words): lines that hold a word, numbered within the document, as 128-bit hashes."""
     text = whole_text(text_col)
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD))
     return (df.select(document_key(id_col, text).alias("key"), F.posexplode(lines).alias("at", "line"))
-            .select("key", "at", F.unhex(F.md5("line")).alias("line")))
+            .select("key", "at", F.unhex(F.md5("line")).alias("line"),
+                    F.size(F.regexp_extract_all("line", F.lit(WORD), F.lit(0))).alias("words")))
 
 
 def _ranked(positions: DataFrame, by: list[str], out: str) -> DataFrame:
@@ -37,23 +38,53 @@ def _ranked(positions: DataFrame, by: list[str], out: str) -> DataFrame:
     return positions.join(rank_of_keys(groups, by, F.col("n"), out).select(*by, out), by)
 
 
+def _first_ranks(lines: DataFrame) -> DataFrame:
+    """(key, at, rank, words): lines that occur twice or more."""
+    return durable(_ranked(lines, ["line"], "rank").select("key", "at", "rank", "words"))
+
+
+def _deeper(ranks: DataFrame, reach: int, depth: int) -> DataFrame:
+    """Ranks of ``depth`` lines from those of ``reach``, by doubling."""
+    while reach < depth:
+        step = min(reach, depth - reach)
+        ahead = Window.partitionBy("key").orderBy("at").rangeBetween(step, step)
+        pairs = ranks.withColumn("next", F.max("rank").over(ahead)).filter("next IS NOT NULL")
+        ranks = durable(_ranked(pairs.withColumnRenamed("rank", "head"), ["head", "next"], "rank").select("key", "at", "rank"))
+        reach += step
+    return ranks.select("key", "at", "rank")
+
+
 def suffix_ranks(lines: DataFrame, depth: int) -> DataFrame:
     """(key, at, rank): suffixes that share their first ``depth`` lines with another, ranked by them.
 
-    ``lines`` has (key, at, line). Ranks of h lines double to 2h by pairing a position's rank
+    ``lines`` has (key, at, line, words). Ranks of h lines double to 2h by pairing a position's rank
     with that of the position h further on; the last step overlaps where ``depth`` is no
     power of two. Positions without a partner fall out in each round.
     """
     if depth < 1:
         raise ValueError("depth must be at least 1")
-    ranks, reach = durable(_ranked(lines, ["line"], "rank").select("key", "at", "rank")), 1
-    while reach < depth:
-        step = min(reach, depth - reach)
-        ahead = Window.partitionBy("key").orderBy("at").rangeBetween(step, step)
-        pairs = ranks.withColumn("next", F.max("rank").over(ahead)).filter("next IS NOT NULL")
-        ranks = durable(_ranked(pairs.withColumnRenamed("rank", "head"), ["head", "next"], "rank").select("key", "at", "rank"))
-        reach += step
-    return ranks
+    return _deeper(_first_ranks(lines), 1, depth)
+
+
+def run_copies(lines: DataFrame, min_lines: int, min_words: int) -> DataFrame:
+    """(key, at, lines): later copies of runs of ``min_lines`` lines, and of fewer that hold ``min_words`` words."""
+    if min_lines < 1:
+        raise ValueError("min_lines must be at least 1")
+    first = _first_ranks(lines)
+    out, reach, ranks = None, 1, first
+    for depth in range(1, min_lines + 1):
+        deep = _deeper(ranks, reach, depth)
+        if depth == 2 * reach:  # powers of two are what later depths start from
+            ranks, reach = deep, depth
+        if depth < min_lines:
+            # All lines of a repeated run are repeated, so they are all in the first round.
+            ahead = Window.partitionBy("key").orderBy("at").rangeBetween(0, depth - 1)
+            wordy = first.select("key", "at", F.sum("words").over(ahead).alias("n")) if depth > 1 else first.withColumnRenamed("words", "n")
+            wordy = wordy.filter(F.col("n") >= min_words)
+            deep = durable(deep.join(wordy.select("key", "at"), ["key", "at"])) if depth > 1 else wordy.select("key", "at", "rank")
+        found = later_copies(deep).withColumn("lines", F.lit(depth))
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def later_copies(ranks: DataFrame) -> DataFrame:
@@ -63,22 +94,27 @@ def later_copies(ranks: DataFrame) -> DataFrame:
     return ranks.join(first, "rank").filter(F.struct("key", "at") > F.col("first")).select("key", "at")
 
 
-def delete_runs(text: str, starts: list[int], depth: int) -> tuple[str, list[tuple[int, int]]]:
+def delete_runs(
+    text: str, starts: list[int], depth: int, shorter: Sequence[tuple[int, int]] = (),
+) -> tuple[str, list[tuple[int, int]]]:
     """The text without the runs of ``depth`` lines at these positions, and the runs joined up.
 
-    Positions count lines that hold a word. A line without one goes with the line before it.
+    ``shorter`` has (position, lines) of further runs. Positions count lines that hold a word. A
+    line without one goes with the line before it.
     """
-    begin, kept, runs = set(starts), [], []
+    begin, kept, runs = {}, [], []
+    for start, lines in [*((start, depth) for start in starts), *shorter]:
+        begin[start] = max(lines, begin.get(start, 0))
     at, until = -1, 0
     for line in text.split("\n"):
         if line.strip(" \t\n\x0b\x0c\r"):
             at += 1
             if at in begin:
+                until = max(until, at + begin[at])
                 if runs and sum(runs[-1]) >= at:
-                    runs[-1] = (runs[-1][0], at + depth - runs[-1][0])
+                    runs[-1] = (runs[-1][0], until - runs[-1][0])
                 else:
-                    runs.append((at, depth))
-                until = at + depth
+                    runs.append((at, until - at))
         if at < 0 or at >= until:
             kept.append(line)
     return "\n".join(kept), runs
@@ -92,7 +128,7 @@ def _delete_batches(text_at: int, depth: int, out: str):
         for batch in batches:
             texts, removed = [], []
             for text, starts in zip(batch.column(text_at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
-                text, runs = delete_runs(text, starts, depth) if starts else (text, [])
+                text, runs = delete_runs(text, [], depth, starts) if starts else (text, [])
                 texts.append(text)
                 removed.append([{"line": a, "lines": n} for a, n in runs])
             columns = list(batch.columns)
@@ -104,11 +140,13 @@ def _delete_batches(text_at: int, depth: int, out: str):
 
 def drop_repeated_runs(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 2, runs_col: str = "removed_runs",
+    min_words: int = 10,
 ) -> DataFrame:
-    """``df`` without later copies of runs of at least ``min_lines`` lines, plus ``runs_col``.
+    """``df`` without later copies of runs of at least ``min_lines`` lines or ``min_words`` words, plus ``runs_col``.
 
-    Any run that occurs twice is a union of intervals of depth ``min_lines``, so doubling
-    stops at that depth and overlapping deletions join up to the maximal repeated runs,
+    Any run of ``min_lines`` lines that occurs twice is a union of intervals of that depth, so doubling
+    stops there; runs of fewer lines, down to one, are intervals of the rounds before and go if
+    they hold ``min_words`` words. So overlapping deletions join up to the maximal repeated runs,
     listed in ``runs_col`` as (first line, lines), counting lines that hold a word. The
     earliest occurrence stays, by id (null last), hash of the text and position; a run may
     repeat inside one document. Lines are equal when their bytes are.
@@ -124,8 +162,8 @@ def drop_repeated_runs(
     """
     text = whole_text(text_col)
     key, starts = unused(df, "key"), unused(df, "starts")
-    copies = later_copies(suffix_ranks(line_ids(df, id_col, text_col), min_lines))
-    per_document = copies.groupBy(F.col("key").alias(key)).agg(F.collect_list("at").alias(starts))
+    copies = run_copies(line_ids(df, id_col, text_col), min_lines, min_words)
+    per_document = copies.groupBy(F.col("key").alias(key)).agg(F.collect_list(F.array("at", "lines")).alias(starts))
     fields = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns]
     rows = df.withColumn(key, document_key(id_col, text)).join(per_document, key, "left").select(*fields, starts)
     out = runs_col if runs_col not in df.columns else unused(df, runs_col)

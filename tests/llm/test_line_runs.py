@@ -62,3 +62,15 @@ def test_awkward_rows(awkward, nothing):
     assert rows[7].text == "and an end" and rows[7]._key[0]["lines"] == 3000
     assert rows[9].text == "Before it.\nAfter it." and rows[3].text == "" and rows[5].text == " \n\t "
     assert drop_repeated_runs(nothing).count() == 0
+
+
+def test_runs_of_few_lines_go_when_they_hold_enough_words(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    six, more = "one two three four five six", "seven eight nine ten"
+    texts = [f"{long}\nb", f"x\n{long}\ny", long, "a b", "z\na b", f"{six}\n{more}\nc", f"{more}\nd\n{six}\n{more}"]
+    out = drop_repeated_runs(text_table(spark, texts)).orderBy("doc_id").collect()
+    assert [r.text for r in out] == [texts[0], "x\ny", "", "a b", "z\na b", texts[5], f"{more}\nd"]
+    assert [(r.line, r.lines) for r in out[1].removed_runs] == [(1, 1)]
+    # Below a depth of three, two lines of ten words together go as well.
+    deep = drop_repeated_runs(text_table(spark, texts), min_lines=4).orderBy("doc_id").collect()
+    assert [r.text for r in deep] == [r.text for r in out]
