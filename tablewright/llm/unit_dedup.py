@@ -20,11 +20,34 @@ _CAPITAL = "A-ZÀ-ÖØ-ÞΑ-ΩА-Я"
 _SMALL = "a-zß-öø-ÿα-ωа-я"
 _BREAK = re.compile(rf"\n\s*|[ \t]+(?:(?<=[.!?…][ \t])|(?<=[{_SMALL},;:][ \t])(?=[{_CAPITAL}]))\s*")
 
+_STOPS = "。！？"
+_CLOSERS = "」』”’）"
+#: The same where a full stop needs no space behind it.
+_BREAK_WIDE = re.compile(rf"{_BREAK.pattern}|(?:(?<=[{_STOPS}])(?![{_STOPS}{_CLOSERS}])|(?<=[{_STOPS}][{_CLOSERS}]))\s*")
+#: Letters of scripts written without spaces: Thai, Lao, Myanmar, Khmer, kana, bopomofo and Han.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u312f\u31a0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+                       "\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+#: So many code points count as a word in these scripts, and in a word longer than _LONG (an address, data).
+_PER_WORD = 5
+_LONG = 30
+
+
+def extent(words: list[str]) -> int:
+    """The length of words, in fifths of a word, so that text without spaces has one too."""
+    if all(w.isascii() for w in words):
+        return sum(_PER_WORD if len(w) <= _LONG else len(w) for w in words)
+    out = 0
+    for w in words:
+        unspaced = len(_UNSPACED.findall(w))
+        out += len(w) if unspaced or len(w) > _LONG else _PER_WORD
+    return out
+
 
 def split_units(text: str) -> list[tuple[int, int]]:
     """Spans of the lines and sentences of a text, without the white space between them."""
     spans, at = [], len(text) - len(text.lstrip())
-    for gap in _BREAK.finditer(text, at):
+    breaks = _BREAK_WIDE if any(c in text for c in _STOPS) else _BREAK
+    for gap in breaks.finditer(text, at):
         end = gap.start()
         while end > at and text[end - 1].isspace():
             end -= 1
@@ -50,7 +73,7 @@ def _unit_batches(least: int):
                 seen: set[bytes] = set()
                 for i, (a, b) in enumerate(split_units(text)):
                     words = text[a:b].lower().split()
-                    if len(words) >= least:
+                    if extent(words) >= _PER_WORD * least:
                         digest = _digest(words)
                         owner.append(row)
                         unit.append(i)
@@ -70,17 +93,17 @@ def removable(text: str, copies: set[int], least_unit: int, least_run: int) -> l
     A unit too short to be hashed goes along between two copied ones.
     """
     spans, runs = split_units(text), []
-    words = [len(text[a:b].split()) for a, b in spans]
+    words = [extent(text[a:b].split()) for a, b in spans]
     first, last, count, between = None, None, 0, 0
     for i in range(len(spans) + 1):
         if i < len(spans) and i in copies:
             if first is None:
                 first, count, between = i, 0, 0
             count, last, between = count + between + words[i], i, 0
-        elif i < len(spans) and words[i] < least_unit and first is not None:
+        elif i < len(spans) and words[i] < _PER_WORD * least_unit and first is not None:
             between += words[i]
         else:
-            if first is not None and count >= least_run:
+            if first is not None and count >= _PER_WORD * least_run:
                 runs.append((spans[first][0], spans[last][1]))
             first = None
     return runs
@@ -128,7 +151,8 @@ def drop_repeated_passages(
     (small letters, single spaces) is hashed to 128 bits, and digests are grouped over all
     documents. The earliest occurrence, by id (null last), then hash of the text, then
     offset, stays; a run of later copies with at least ``min_run_words`` words is
-    removed. ``spans_col`` lists start and length, in the original text, of what is kept.
+    removed. In scripts written without spaces, and in words of over 30 characters, five
+    characters count as a word. ``spans_col`` lists start and length, in the original text, of what is kept.
 
     Units shrink to one row per digest and task before they are grouped, and only
     repeated digests are joined back, so a unit found in a third of all documents is one

@@ -49,3 +49,13 @@ def test_awkward_rows(awkward, nothing):
     assert rows[8].text.startswith("This is one passage") and rows[9].text == "Before it.\nAfter it."
     assert rows[3].text == rows[4].text == "" and rows[1].text == rows[2].text == "plain text with a few words"
     assert drop_repeated_passages(nothing).count() == 0
+
+
+def test_text_without_spaces(spark):
+    rng = random.Random(5)
+    chinese = ["".join(chr(rng.randrange(0x4e00, 0x9fa5)) for _ in range(n)) + "。" for n in (30, 25, 40, 20, 8)]
+    thai = "".join(chr(rng.randrange(0x0e01, 0x0e2e)) for _ in range(80))
+    passage = "".join(chinese[:3])
+    texts = [passage + chinese[3], passage + chinese[3], "前言在此。" + passage + "后记在此。", thai, thai, chinese[4], chinese[4]]
+    out = drop_repeated_passages(text_table(spark, texts)).orderBy("doc_id").collect()
+    assert [r.text for r in out] == [texts[0], "", "前言在此。后记在此。", thai, "", chinese[4], chinese[4]]
