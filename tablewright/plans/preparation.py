@@ -27,7 +27,7 @@ class StatisticalConfig:
     """Columns and options of the statistical flow.
 
     ``key`` columns identify a row; they are carried along untouched. ``outliers``
-    is "forest", "iqr" or "none". ``rescale`` names numeric columns scaled to
+    is "forest", "iqr" or "none"; ``exact`` takes the forest's cut-off from all rows. ``rescale`` names numeric columns scaled to
     [0, 1] before the last standardisation.
     """
 
@@ -42,6 +42,7 @@ class StatisticalConfig:
     trees: int = 100
     sample: int = 256
     seed: int = 42
+    exact: bool = True
     iqr: float = 1.5
     rescale: Sequence[str] = ()
     standardize_first: bool = True
@@ -72,8 +73,9 @@ def prepare_statistical(df: DataFrame, cfg: StatisticalConfig) -> Prepared:
     df, cleaned = _scaled_with_histogram(df, numeric, [*numeric, *_numeric_only(df, categorical)],
                                          cfg.standardize_first, cfg.bins)
     if cfg.outliers == "forest":
-        df = _stored(drop_isolated(df, numeric, cfg.key, contamination=cfg.contamination, trees=cfg.trees,
-                                   sample=cfg.sample, seed=cfg.seed))
+        df = drop_isolated(df, numeric, cfg.key, contamination=cfg.contamination, trees=cfg.trees,
+                           sample=cfg.sample, seed=cfg.seed, exact=cfg.exact)
+        df = df if cfg.exact else _stored(df)  # exact, the scores are stored
     elif cfg.outliers == "iqr":
         df = iqr_filter(df, numeric, cfg.iqr)
     elif cfg.outliers != "none":

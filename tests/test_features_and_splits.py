@@ -151,3 +151,12 @@ def test_all_equal_rows_are_scored_alike(spark):
     df = spark.range(100).select("id", F.lit(1.0).alias("a"))
     scores = {r[0] for r in O.isolation_forest(df, ["a"], "id", trees=5, seed=1).select("anomaly_score").collect()}
     assert len(scores) == 1
+
+
+def test_forest_flags_the_asked_share_of_a_large_table_with_copies(spark):
+    """A third of the rows are copies of one row and the table is larger than a sample for the cut-off."""
+    n = 450_000
+    value = F.when(F.col("i") % 3 == 0, 0.0).otherwise(F.randn(3))
+    df = spark.range(n).withColumnRenamed("id", "i").select(value.alias("a")).repartition(4)
+    flagged = O.isolation_forest(df, ["a"], trees=10, seed=1).filter("is_outlier").count()
+    assert abs(flagged / n - 0.05) < 0.004
