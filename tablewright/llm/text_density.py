@@ -52,8 +52,9 @@ class Node:
         self.density = self.total = 0.0
 
 
-def _dropped(tag: str, attributes: str, parents: set[str]) -> bool:
-    if tag in _NEVER or (tag == "header" and "article" not in parents and "main" not in parents):
+def _dropped(tag: str, attributes: str, within: bool) -> bool:
+    """``within``: an article or main element is open."""
+    if tag in _NEVER or (tag == "header" and not within):
         return True
     if not attributes or tag in ("html", "body", "main", "article"):
         return False
@@ -70,18 +71,17 @@ def parse(page: str) -> Node:
     """The element tree of a page in one pass; unclosed elements end where HTML lets them."""
     root = Node("html", None, False)
     stack, at, size, quotes = [root], 0, len(page), True
+    places: dict[str, list[int]] = {}  # of the open elements of each tag in the stack
 
     def text(piece: str) -> None:
         if piece and not stack[-1].drop:
             stack[-1].parts.append(html.unescape(piece))
 
     def close(tags: frozenset | set, scope: frozenset | set) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in tags:
-                del stack[k:]
-                return
-            if stack[k].tag in scope:
-                return
+        last = max((places[t][-1] for t in tags if places.get(t)), default=0)
+        if last and all(last >= places[t][-1] for t in scope if places.get(t)):
+            while len(stack) > last:
+                places[stack.pop().tag].pop()
 
     while at < size:
         found = _OPEN.search(page, at)
@@ -124,7 +124,7 @@ def parse(page: str) -> Node:
                 if len(stack) == before:
                     break
         parent = stack[-1]
-        node = Node(tag, parent, parent.drop or _dropped(tag, attributes, {n.tag for n in stack[1:]} if tag == "header" else set()))
+        node = Node(tag, parent, parent.drop or _dropped(tag, attributes, bool(places.get("article") or places.get("main"))))
         if not node.drop:
             parent.parts.append(node)
         if tag in _RAW:
@@ -133,8 +133,8 @@ def parse(page: str) -> Node:
             if end:
                 at = page.find(">", at) + 1 or size
         elif tag not in _VOID:
-            if len(stack) < 512:
-                stack.append(node)
+            places.setdefault(tag, []).append(len(stack))
+            stack.append(node)
     return root
 
 
@@ -201,17 +201,15 @@ def select(order: list[Node]) -> list[Node]:
         return [root]
     on_path, kept = set(map(id, path)), []
 
-    def visit(node: Node) -> None:
-        for child in node.parts:
-            if isinstance(child, Node):
-                if child is core:
-                    kept.append(child)
-                elif id(child) in on_path:
-                    visit(child)
-                elif child.density >= threshold and child.chars:
-                    kept.append(child)
-
-    visit(root)
+    todo: list[Node] = [root]
+    while todo:
+        node = todo.pop()
+        if node is core:
+            kept.append(node)
+        elif id(node) in on_path:
+            todo.extend(p for p in reversed(node.parts) if isinstance(p, Node))
+        elif node.density >= threshold and node.chars:
+            kept.append(node)
     return kept
 
 

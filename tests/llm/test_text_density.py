@@ -63,3 +63,21 @@ def test_every_article_of_the_pages(spark, folder):
         inside = re.sub(r"<[^>]*$", "", re.sub("<br>", " ", re.sub("</?b>", "", inside)))
         parts = [" ".join(html.unescape(p).split()) for p in re.split("</?(?:p|h1)>", inside)]
         assert main_text(row.html) == "\n\n".join(p for p in parts if p)
+
+
+def test_elements_count_at_any_depth():
+    words = "The article itself goes on with many plain words for its readers. " * 20
+    deep = "<span>" * 3000
+    page = f"<body><div>{deep}<p>{words}</p><nav>Menu of the site</nav><div class='comments'>A comment <div>in a thread</div> here</div></body>"
+    assert main_text(page) == " ".join(words.split())
+    # The end of a deep element closes that element, not an outer one of its tag.
+    page = f"<body><div class='sidebar'>Side {'<i>' * 600}<div>inner</div> side text again</div><p>{words}</p></body>"
+    assert main_text(page) == " ".join(words.split())
+
+
+def test_deep_pages_take_linear_time():
+    began = time.perf_counter()
+    main_text("<body><p><button>" + "<font>x<hr>" * 50_000)
+    main_text("<body>" + "<span>a<header>b</i>" * 30_000)
+    main_text("<body><div>" + "<b>word " * 100_000 + "</div>")
+    assert time.perf_counter() - began < 12
