@@ -1,8 +1,10 @@
 """The corpus pipeline: from raw documents to packed sequences.
 
 Each stage takes all documents its predecessor kept, and every stage but the last returns the
-columns of documents. Null text counts as empty throughout; repeated rows, null ids and
-clashing extra columns are treated as each stage's operator states.
+columns of documents. ``run`` writes what a stage returns as Parquet under
+``spark.checkpoint.dir`` and the next stage reads that table. Null text counts as empty
+throughout; repeated rows, null ids and clashing extra columns are treated as each stage's
+operator states, and an empty table gives an empty result in every stage.
 """
 
 from __future__ import annotations
@@ -10,11 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.llm.durable import stored
 from tablewright.llm.line_runs import drop_repeated_runs
 from tablewright.llm.mixing_tree import mixed_documents
 from tablewright.llm.packing import packed_digests
 from tablewright.llm.pu_quality import learn_quality, text_score
-from tablewright.llm.similar_texts import drop_similar
+from tablewright.llm.simhash_index import drop_near_duplicates
 
 
 def _sized(docs: DataFrame) -> DataFrame:
@@ -34,8 +37,13 @@ def drop_line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares four fifths of its runs of five words."""
-    return drop_similar(docs)
+    """One document, that with the smallest id, of each class of close SimHash fingerprints.
+
+    The operator's own measures: shingles of four words, links at four or fewer differing
+    bits of 64. Texts without a word share one fingerprint and so are one class. Of rows that
+    share the smallest id (or have none) one stays.
+    """
+    return drop_near_duplicates(docs, words=4, distance=4)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,6 +70,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
