@@ -33,9 +33,12 @@ def load_all() -> None:
         line_runs,
         mixing_tree,
         packing,
+        phrases,
         pu_quality,
         simhash_index,
+        spelling_variants,
         surrogates,
         text_density,
+        toxicity,
         unit_dedup,
     )
