@@ -1,8 +1,9 @@
 """Toxicity: a linear classifier over character n-grams, scaled by naive Bayes log-count ratios.
 
-A text is the set of its character n-grams. Each n-gram has the logarithm of the ratio of
-its shares among toxic and other labelled texts; a feature is that number where the n-gram
-occurs, else 0. A logistic regression over these features gives the score.
+What a text says is which character n-grams it holds at least once, twice, four times. Each
+such fact has the logarithm of the ratio of its shares among toxic and other labelled
+texts; a feature is that number where the fact holds, else 0. A logistic regression over
+these features gives the score.
 """
 
 from __future__ import annotations
@@ -25,10 +26,12 @@ from tablewright.llm.durable import shuffle_partitions, stored
 #: n-grams are of 3 to 6 code points, in 2**20 hash buckets.
 LENGTHS = (3, 4, 5, 6)
 BUCKETS = 1 << 20
+#: A bucket's facts: it occurs at least that often.
+TIMES = (1, 2, 4)
 #: The classifier is fitted on about this many labelled texts at most, drawn by the hash of their id.
 MAX_LABELLED = 20_000
-#: Buckets that the classifier looks at: those that tell most about the label.
-MAX_FEATURES = 4096
+#: Facts that the classifier looks at: those that tell most about the label.
+MAX_FEATURES = 1024
 _AT_ONCE = 1 << 16
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -53,9 +56,14 @@ def buckets(text: str, lengths: Sequence[int] = LENGTHS, n_buckets: int = BUCKET
                 yield ((hashes[:own] + np.uint64(n)) % np.uint64(n_buckets)).astype(np.int64)
 
 
-def present(text: str) -> np.ndarray:
-    """The distinct buckets of a text, ascending."""
-    return np.unique(np.concatenate([*buckets(text), np.empty(0, np.int64)]))
+def _facts(found: list[np.ndarray]) -> np.ndarray:
+    at, n = np.unique(np.concatenate([*found, np.empty(0, np.int64)]), return_counts=True)
+    return np.concatenate([at[n >= times] + k * BUCKETS for k, times in enumerate(TIMES)])
+
+
+def facts(text: str) -> np.ndarray:
+    """The numbers bucket + k * BUCKETS of the buckets that the text holds TIMES[k] times or more, ascending."""
+    return _facts(list(buckets(text)))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most: int) -> DataFrame:
@@ -73,36 +81,36 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts, rows = np.zeros((2, BUCKETS), np.int64), np.zeros(2, np.int64)
+    counts, rows = np.zeros((2, BUCKETS * len(TIMES)), np.int64), np.zeros(2, np.int64)
     for batch in batches:
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            counts[toxic, present(text)] += 1
+            counts[toxic, facts(text)] += 1
             rows[toxic] += 1
     at = np.flatnonzero(counts.any(0))
     if rows.any():
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(at, -1)), pa.array(np.append(counts[1, at], rows[1])), pa.array(np.append(counts[0, at], rows[0]))],
-            ["bucket", "toxic", "other"])
+            ["fact", "toxic", "other"])
 
 
 @dataclass(frozen=True)
 class Ratios:
-    """Per chosen bucket the log-count ratio."""
+    """Per chosen fact the log-count ratio."""
 
-    bucket: np.ndarray  # ascending
+    fact: np.ndarray  # ascending
     ratio: np.ndarray
 
 
 def log_count_ratios(sample: DataFrame, most: int = MAX_FEATURES, smoothing: float = 1.0) -> Ratios:
-    """The ``most`` buckets by their likelihood ratio with the label, and log((p / |p|) / (q / |q|)) of each.
+    """The ``most`` facts by their likelihood ratio with the label, and log((p / |p|) / (q / |q|)) of each.
 
-    p and q are the numbers of toxic and other texts that hold the bucket, plus ``smoothing``;
-    |p| and |q| their sums over all buckets.
+    p and q are the numbers of toxic and other texts that have the fact, plus ``smoothing``;
+    |p| and |q| their sums over all facts.
     """
-    sums = stored(sample.mapInArrow(_count_batches, "bucket long, toxic long, other long")
-                  .groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")), "ratios")
-    total = sums.agg(*[F.sum(F.when(F.col("bucket") < 0, F.col(c))).alias(f"texts_{c}") for c in ("toxic", "other")],
-                     *[F.sum(F.when(F.col("bucket") >= 0, F.col(c))).alias(c) for c in ("toxic", "other")]).first()
+    sums = stored(sample.mapInArrow(_count_batches, "fact long, toxic long, other long")
+                  .groupBy("fact").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")), "ratios")
+    total = sums.agg(*[F.sum(F.when(F.col("fact") < 0, F.col(c))).alias(f"texts_{c}") for c in ("toxic", "other")],
+                     *[F.sum(F.when(F.col("fact") >= 0, F.col(c))).alias(c) for c in ("toxic", "other")]).first()
     if not total["texts_toxic"] or not total["texts_other"]:
         return Ratios(np.empty(0, np.int64), np.empty(0))
     p, q = total["texts_toxic"], total["texts_other"]
@@ -113,39 +121,37 @@ def log_count_ratios(sample: DataFrame, most: int = MAX_FEATURES, smoothing: flo
 
     evidence = (part(F.col("toxic"), with_it, p / (p + q)) + part(F.col("other"), with_it, q / (p + q))
                 + part(p - F.col("toxic"), without, p / (p + q)) + part(q - F.col("other"), without, q / (p + q)))
-    best = sums.filter("bucket >= 0").withColumn("evidence", evidence).orderBy(F.desc("evidence"), "bucket").limit(most).collect()
-    best = sorted(best, key=lambda r: r["bucket"])
-    norm = np.log((total["toxic"] + smoothing * BUCKETS) / (total["other"] + smoothing * BUCKETS))
+    best = sums.filter("fact >= 0").withColumn("evidence", evidence).orderBy(F.desc("evidence"), "fact").limit(most).collect()
+    best = sorted(best, key=lambda r: r["fact"])
+    norm = np.log((total["toxic"] + smoothing * BUCKETS * len(TIMES)) / (total["other"] + smoothing * BUCKETS * len(TIMES)))
     ratio = np.log([(r["toxic"] + smoothing) / (r["other"] + smoothing) for r in best]) - norm
-    return Ratios(np.array([r["bucket"] for r in best], np.int64), ratio)
+    return Ratios(np.array([r["fact"] for r in best], np.int64), ratio)
 
 
 @dataclass(frozen=True)
 class Toxicity:
-    """The weight of each chosen bucket that occurs in a text, and the intercept."""
+    """The weight of each chosen fact, and the intercept."""
 
-    bucket: np.ndarray
+    fact: np.ndarray
     weight: np.ndarray
     intercept: float
 
     def scores(self, texts: Sequence[str]) -> np.ndarray:
-        table = np.zeros(BUCKETS)
-        table[self.bucket] = self.weight
+        table = np.zeros(BUCKETS * len(TIMES))
+        table[self.fact] = self.weight
         known = np.zeros(BUCKETS, bool)
-        known[self.bucket] = True
+        known[self.fact % BUCKETS] = True
         out = np.full(len(texts), self.intercept)
         for i, text in enumerate(texts):
-            # Few n-grams are in chosen buckets; only these are made distinct.
-            found = [at[known[at]] for at in buckets(text)]
-            if found:
-                out[i] += table[np.unique(np.concatenate(found))].sum()
+            # Few n-grams are in chosen buckets; only these are counted.
+            out[i] += table[_facts([at[known[at]] for at in buckets(text)])].sum()
         return 1.0 / (1.0 + np.exp(-np.clip(out, -40.0, 40.0)))
 
 
 def _chosen_batches(chosen: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [[str(b) for b in np.intersect1d(present(t), chosen, assume_unique=True)] for t in batch.column(0).to_pylist()]
+            found = [[str(b) for b in np.intersect1d(facts(t), chosen, assume_unique=True)] for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.string()))], ["toxic", "found"])
 
     return run
@@ -154,21 +160,21 @@ def _chosen_batches(chosen: np.ndarray):
 def train(sample: DataFrame, most: int = MAX_FEATURES, ridge: float = 1e-3, rounds: int = 60) -> Toxicity:
     """Learn from a table (text, toxic); without texts of both kinds every score is the share of toxic ones.
 
-    Spark's logistic regression sees the buckets found in a text, each scaled by its
+    Spark's logistic regression sees the facts found in a text, each scaled by its
     ratio and by nothing else.
     """
     ratios = log_count_ratios(sample, most)
-    if not len(ratios.bucket):
+    if not len(ratios.fact):
         n, share = sample.agg(F.count(F.lit(1)), F.avg("toxic")).first()
         share = share if n else 0.0
-        return Toxicity(ratios.bucket, ratios.ratio, float(np.log((share + 1e-6) / (1 - share + 1e-6))))
-    found = stored(sample.mapInArrow(_chosen_batches(ratios.bucket), "toxic int, found array<string>"), "found")
-    words = [str(b) for b in ratios.bucket.tolist()]
+        return Toxicity(ratios.fact, ratios.ratio, float(np.log((share + 1e-6) / (1 - share + 1e-6))))
+    found = stored(sample.mapInArrow(_chosen_batches(ratios.fact), "toxic int, found array<string>"), "found")
+    words = [str(b) for b in ratios.fact.tolist()]
     presence = CountVectorizerModel.from_vocabulary(words, "found", "presence", binary=True)
     scale = ElementwiseProduct(scalingVec=Vectors.dense(ratios.ratio), inputCol="presence", outputCol="features")
     regression = LogisticRegression(labelCol="toxic", regParam=ridge, maxIter=rounds, standardization=False)
     fitted = regression.fit(scale.transform(presence.transform(found)).select("features", "toxic"))
-    return Toxicity(ratios.bucket, fitted.coefficients.toArray() * ratios.ratio, float(fitted.intercept))
+    return Toxicity(ratios.fact, fitted.coefficients.toArray() * ratios.ratio, float(fitted.intercept))
 
 
 def _score_batches(model: Toxicity):

@@ -8,13 +8,14 @@ import pytest
 from tablewright.llm.toxicity import (
     BUCKETS,
     LENGTHS,
+    TIMES,
     Toxicity,
     buckets,
+    facts,
     held_out,
     labelled_sample,
     log_count_ratios,
     op12_toxicity,
-    present,
     scored,
     toxicity_scores,
     train,
@@ -23,10 +24,10 @@ from tablewright.llm.toxicity import (
 
 def grams(text):
     text = f" {' '.join(text.lower().split())} "
-    return {text[i:i + n] for n in LENGTHS for i in range(len(text) - n + 1)}
+    return Counter(text[i:i + n] for n in LENGTHS for i in range(len(text) - n + 1))
 
 
-def test_buckets_are_those_of_the_ngrams_in_whole_texts():
+def test_facts_are_those_of_the_ngrams_in_whole_texts():
     def bucket(gram):
         """The bucket of one n-gram, found in a text that is nothing else."""
         n = len(gram)
@@ -36,23 +37,28 @@ def test_buckets_are_those_of_the_ngrams_in_whole_texts():
             h ^= h >> 32
         return (h + n & mask) % BUCKETS
 
-    for text in ["", "a", "Ab  c\n\tÄÖ ☃", "\U0001F600 end", "x" * 10]:
-        assert present(text).tolist() == sorted({bucket(g) for g in grams(text)}), text
+    def by_hand(text):
+        counts = Counter()
+        for gram, n in grams(text).items():
+            counts[bucket(gram)] += n
+        return sorted(b + k * BUCKETS for b, n in counts.items() for k, times in enumerate(TIMES) if n >= times)
+
     long = " ".join(f"word{i}" for i in range(30_000))  # several parts
-    assert present(long).tolist() == sorted({bucket(g) for g in grams(long)})
+    for text in ["", "a", "Ab  c\n\tÄÖ ☃", "\U0001F600 end", "x" * 10, "haha haha", long]:
+        assert facts(text).tolist() == by_hand(text), text[:20]
 
 
 def test_ratios_by_hand(spark):
     rows = [("you scum", 1), ("scum again", 1), ("a fine day", 0), ("fine again", 0), ("again", 0)]
     found = log_count_ratios(spark.createDataFrame(rows, "text string, toxic int"), most=10**6)
-    p, q = (Counter(b for t, y in rows if y == kind for b in present(t).tolist()) for kind in (1, 0))
-    norm = math.log((sum(p.values()) + BUCKETS) / (sum(q.values()) + BUCKETS))
+    p, q = (Counter(b for t, y in rows if y == kind for b in facts(t).tolist()) for kind in (1, 0))
+    norm = math.log((sum(p.values()) + BUCKETS * len(TIMES)) / (sum(q.values()) + BUCKETS * len(TIMES)))
     expected = {b: math.log((p[b] + 1) / (q[b] + 1)) - norm for b in p | q}
-    assert found.bucket.tolist() == sorted(expected)
-    assert np.allclose(found.ratio, [expected[b] for b in found.bucket.tolist()])
+    assert found.fact.tolist() == sorted(expected)
+    assert np.allclose(found.ratio, [expected[b] for b in found.fact.tolist()])
     few = log_count_ratios(spark.createDataFrame(rows, "text string, toxic int"), most=8)
-    # Buckets that both toxic texts and no other hold tell most.
-    assert set(few.bucket.tolist()) <= {b for b in p if p[b] == 2 and not q[b]}
+    # What both toxic texts and no other hold tell most.
+    assert set(few.fact.tolist()) <= {b for b in p if p[b] == 2 and not q[b]}
 
 
 def planted(spark, n=600, seed=4):
@@ -111,10 +117,10 @@ def test_scores_equal_the_linear_model_by_hand(spark):
     docs, labels = planted(spark, 120)
     sample = docs.join(labels, "doc_id").select("text", "toxic")
     model = train(sample, most=300)
-    assert isinstance(model, Toxicity) and len(model.bucket) == 300
-    weight = dict(zip(model.bucket.tolist(), model.weight.tolist()))
+    assert isinstance(model, Toxicity) and len(model.fact) == 300
+    weight = dict(zip(model.fact.tolist(), model.weight.tolist()))
     for r in scored(docs, model).join(docs.withColumnRenamed("doc_id", "id"), "id").limit(20).collect():
-        f = model.intercept + sum(weight.get(b, 0.0) for b in present(r.text).tolist())
+        f = model.intercept + sum(weight.get(b, 0.0) for b in facts(r.text).tolist())
         assert r.score == pytest.approx(1 / (1 + math.exp(-f)))
     assert [len(list(buckets("")))] == [0]
 
