@@ -6,13 +6,13 @@ Results in long form have one row per column (or per column and value).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.operators.comoments import correlation_blocks
 from tablewright.operators.quantiles import exact_quantiles
 
 PAIRS_PER_PASS = 60
@@ -192,18 +192,16 @@ def describe_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(a, b, corr) for every pair, over rows where both are present, however many columns there are.
 
-    Up to PAIRS_PER_PASS pairs are summed in one pass over the table.
+    Up to PAIRS_PER_PASS pairs are one aggregate; more are added up by blocks of columns
+    in two scans.
     """
     pairs = list(combinations(cols, 2))
-
-    def one_pass(some: Sequence[tuple[str, str]]) -> DataFrame:
-        rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(a, b).alias("corr")) for a, b in some])
-        return df.agg(rows.alias("rows")).select(F.inline("rows"))
-
-    passes = [one_pass(pairs[at:at + PAIRS_PER_PASS]) for at in range(0, len(pairs), PAIRS_PER_PASS)]
-    if not passes:
+    if not pairs:
         return df.sparkSession.createDataFrame([], "a string, b string, corr double")
-    return reduce(DataFrame.unionByName, passes)
+    if len(pairs) > PAIRS_PER_PASS:
+        return correlation_blocks(df, cols)
+    rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(a, b).alias("corr")) for a, b in pairs])
+    return df.agg(rows.alias("rows")).select(F.inline("rows"))
 
 
 def box_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
