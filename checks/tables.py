@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from checks import query
 from checks.inputs import table
-from tablewright.session import scratch_path
+from tablewright.session import own, scratch_path
 from tablewright.sources import as_view, bind_schema, head_rows, read_table, require_columns, write_table
 
 CUSTOMER = T.StructType([
@@ -27,14 +27,14 @@ def read_table_parquet(spark, folder):
 
 @query("SELECT o_totalprice, o_orderkey, o_orderstatus FROM orders")
 def write_and_read_csv(spark, folder):
-    path = scratch_path(spark, "orders.csv")
+    path = own(spark, scratch_path(spark, "orders.csv"))
     write_table(table(spark, folder, "orders"), path, fmt="csv")
     return read_table(spark, path, ORDERS, fmt="csv")
 
 
 @query("SELECT l_orderkey, l_quantity, l_returnflag FROM lineitem")
 def write_and_read_parquet(spark, folder):
-    path = scratch_path(spark, "lineitem")
+    path = own(spark, scratch_path(spark, "lineitem"))
     write_table(table(spark, folder, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag"), path)
     return read_table(spark, path)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.values import none_of
 from tablewright.operators.quantiles import exact_quantiles
-from tablewright.session import scratch_path
+from tablewright.session import stored_table
 
 EULER_GAMMA = 0.5772156649015329
 DRAWS_PER_TREE = 8
@@ -235,9 +235,7 @@ def isolation_forest(df: DataFrame, cols: Sequence[str], key: Sequence[str] | st
     model = IsolationForest(cols, key, trees, sample, seed).fit(df)
     scored = model.score(df)
     if exact:
-        path = scratch_path(df.sparkSession, "scores")
-        scored.write.parquet(path)
-        scored = df.sparkSession.read.schema(scored.schema).parquet(path)
+        scored = stored_table(scored, "scores")
         cut = exact_quantiles(scored, {"anomaly_score": [1 - contamination]})["anomaly_score"][0]
     else:
         cut = model.cutoff(df, contamination)

@@ -18,7 +18,7 @@ from tablewright.operators.impute import (
 from tablewright.operators.missing import drop_all_null, normalize_missing, sparse_columns
 from tablewright.operators.outliers import drop_isolated, drop_values, iqr_filter
 from tablewright.operators.statistics import histogram, statistics
-from tablewright.session import scratch_path
+from tablewright.session import stored_table
 from tablewright.sources.schemas import CLEANED, STATISTICAL_CATEGORICAL, STATISTICAL_NUMERICAL
 
 
@@ -75,7 +75,7 @@ def prepare_statistical(df: DataFrame, cfg: StatisticalConfig) -> Prepared:
     if cfg.outliers == "forest":
         df = drop_isolated(df, numeric, cfg.key, contamination=cfg.contamination, trees=cfg.trees,
                            sample=cfg.sample, seed=cfg.seed, exact=cfg.exact)
-        df = df if cfg.exact else _stored(df)  # exact, the scores are stored
+        df = df if cfg.exact else stored_table(df, "kept")  # exact, the scores are stored
     elif cfg.outliers == "iqr":
         df = iqr_filter(df, numeric, cfg.iqr)
     elif cfg.outliers != "none":
@@ -90,13 +90,6 @@ def prepare_statistical(df: DataFrame, cfg: StatisticalConfig) -> Prepared:
     return Prepared(df, cleaned, features)
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    """The kept rows, written once in the shared folder: later passes do not score the table again."""
-    path = scratch_path(df.sparkSession, "kept")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _scaled_with_histogram(df: DataFrame, numeric: Sequence[str], shown: Sequence[str], scale: bool,
                            bins: int) -> tuple[DataFrame, DataFrame]:
     """Standardise and count bins after one statistics pass.

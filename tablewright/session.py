@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, name: str = "tablewright", **conf: str) -> SparkSession:
@@ -46,15 +50,81 @@ def ship_package(spark: SparkSession) -> None:
     context._tablewright_shipped = True
 
 
+_local_parents: dict[str, str] = {}
+_owned: list[tuple[object, object, str]] = []  # (jvm, Hadoop configuration, path)
+_owned_to_the_end: dict[str, tuple[object, object, str]] = {}
+
+
 def scratch_path(spark: SparkSession, stem: str) -> str:
     """A fresh path for an intermediate table.
 
     The parent is the folder named in ``spark.checkpoint.dir``, which every
-    executor can reach. A machine-local folder is used only by a local master.
+    executor can reach. Where that is unset, a local master gets one folder of its own,
+    which goes with the process; on a cluster it is an error.
     """
     parent = spark.conf.get("spark.checkpoint.dir", None)
     if not parent:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        parent = tempfile.mkdtemp(prefix="tablewright-")
+        application = spark.sparkContext.applicationId
+        if application not in _local_parents:
+            _local_parents[application] = tempfile.mkdtemp(prefix="tablewright-")
+            atexit.register(shutil.rmtree, _local_parents[application], ignore_errors=True)
+        parent = _local_parents[application]
     return f"{parent.rstrip('/')}/{stem}-{uuid.uuid4().hex}"
+
+
+def own(spark: SparkSession, path: str) -> str:
+    """Have a path deleted by `discard_scratch`, at the latest when the process ends."""
+    _owned.append((spark._jvm, spark.sparkContext._jsc.hadoopConfiguration(), path))
+    return path
+
+
+def checkpoint_folder(spark: SparkSession) -> str:
+    """This application's checkpoint folder, which is deleted when the process ends."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(scratch_path(spark, "checkpoints"))
+    path = context._jsc.sc().getCheckpointDir().get()
+    _owned_to_the_end[path] = (spark._jvm, context._jsc.hadoopConfiguration(), path)
+    return path
+
+
+def stored_table(df: DataFrame, stem: str) -> DataFrame:
+    """The same rows read from a table in the scratch folder, which lasts until it is discarded."""
+    spark = df.sparkSession
+    path = own(spark, scratch_path(spark, stem))
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete(jvm, conf, path: str) -> None:
+    try:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+    except Exception:  # noqa: BLE001  the JVM may have ended; then nothing can be done
+        pass
+
+
+def discard_scratch(since: int = 0) -> None:
+    """Delete what is owned, or what came after the first ``since``. Results that read it cannot be computed again."""
+    while len(_owned) > since:
+        _delete(*_owned.pop())
+
+
+@atexit.register
+def _discard_all() -> None:
+    discard_scratch()
+    while _owned_to_the_end:
+        _delete(*_owned_to_the_end.popitem()[1])
+
+
+@contextmanager
+def scratch_scope() -> Iterator[None]:
+    """Intermediate tables stored inside are deleted at the end; write or collect results inside as well."""
+    since = len(_owned)
+    try:
+        yield
+    finally:
+        discard_scratch(since)
+
