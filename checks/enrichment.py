@@ -64,6 +64,45 @@ def impute_by_band_and_group(spark, folder):
     return E.impute_by_band_and_group(aged_part(spark, folder), "smoke", "age", BANDS, "sex", factors)
 
 
+def table_of_bands_sql(inside: str, factor: str = "1") -> str:
+    return f"""WITH li AS (SELECT l_orderkey, l_linenumber, l_extendedprice AS price, l_linenumber % 2 AS side,
+  CASE WHEN l_linenumber <> 3 THEN l_discount END AS rate FROM lineitem),
+b AS (SELECT o_orderkey AS idx, o_totalprice / 4 AS lo, o_totalprice / 4 + (o_orderkey % 40) * 25 AS hi, (o_custkey % 100)::DOUBLE AS r FROM orders),
+hit AS (SELECT p.price, arg_min(r, idx) AS r FROM (SELECT DISTINCT price FROM li WHERE rate IS NULL) p
+        JOIN b ON {inside} GROUP BY p.price)
+SELECT l_orderkey, l_linenumber, li.price, side, coalesce(rate, r * {factor} / 100) AS rate FROM li LEFT JOIN hit ON hit.price = li.price"""
+
+
+def priced_items(spark, folder):
+    """Prices with gaps in the rate, and a band per order: too many to hold, by a bound set low."""
+    items = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("price"), (F.col("l_linenumber") % 2).alias("side"),
+        F.when(F.col("l_linenumber") != 3, F.col("l_discount")).alias("rate"))
+    low = F.col("o_totalprice") / 4
+    bands_ = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("idx"), low.alias("lo"), (low + F.col("o_orderkey") % 40 * 25).alias("hi"),
+        (F.col("o_custkey") % 100).cast("double").alias("rate"))
+    return items, bands_
+
+
+@query(table_of_bands_sql("p.price BETWEEN b.lo AND b.hi"))
+def impute_by_a_table_of_bands(spark, folder):
+    items, bands_ = priced_items(spark, folder)
+    return E.impute_by_band(items, "rate", "price", bands_, max_bands=100)
+
+
+@query(table_of_bands_sql("p.price >= b.lo AND p.price < b.hi + 1"))
+def impute_by_a_table_of_bands_half_open(spark, folder):
+    items, bands_ = priced_items(spark, folder)
+    return E.impute_by_band(items, "rate", "price", bands_, half_open=True, max_bands=100)
+
+
+@query(table_of_bands_sql("p.price BETWEEN b.lo AND b.hi", "CASE WHEN side = 0 THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END"))
+def impute_by_a_table_of_bands_and_group(spark, folder):
+    items, bands_ = priced_items(spark, folder)
+    return E.impute_by_band_and_group(items, "rate", "price", bands_, "side", {0: 1.0, 1: 0.5}, max_bands=100)
+
+
 @query("""SELECT round((SELECT avg(p_retailprice) FROM part WHERE p_partkey % 2 = 0)
                 / (SELECT avg(p_retailprice) FROM part WHERE p_partkey % 2 = 1), 9) AS ratio""")
 def rate_ratio(spark, folder):

@@ -9,6 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.operators.ranks import checkpointed, unused
+from tablewright.operators.segments import as_of, disjoint_segments
+
 CASE_BANDS = 100
 MAX_BANDS = 100_000
 
@@ -23,12 +26,12 @@ def band_list(bands: DataFrame | Iterable[Sequence[float]]) -> list[Band]:
     return rows
 
 
-def _few_bands(bands: DataFrame | Iterable[Sequence[float]]) -> list[Band] | None:
+def _few_bands(bands: DataFrame | Iterable[Sequence[float]], most: int = MAX_BANDS) -> list[Band] | None:
     """The bands as a list, or None where a table holds too many for the driver."""
     if not isinstance(bands, DataFrame):
         return [tuple(b) for b in bands]
-    rows = bands.select("idx", "lo", "hi", "rate").limit(MAX_BANDS + 1).collect()
-    if len(rows) > MAX_BANDS:
+    rows = bands.select("idx", "lo", "hi", "rate").limit(most + 1).collect()
+    if len(rows) > most:
         return None
     return [(r["lo"], r["hi"], r["rate"]) for r in sorted(rows, key=lambda r: r["idx"])]
 
@@ -105,46 +108,24 @@ def _segments(bands: Sequence[Band], half_open: bool) -> tuple[np.ndarray, np.nd
     return edges, between, points
 
 
-#: Bands are kept by the power of two above their length; anything longer or endless is one class.
-_SHORTEST, _LONGEST = -20, 40
-
-
 def first_bands(keys: DataFrame, bands: DataFrame, half_open: bool = False) -> DataFrame:
-    """(key, rate) for the keys (key) that some band (idx, lo, hi, rate) holds, without a table on the driver.
+    """(key, rate) for the distinct keys (key) that some band (idx, lo, hi, rate) holds, without a table on the driver.
 
-    A band of length up to 2^k touches at most two cells of that width, and a key one, so
-    bands and keys meet by cell, for each k that occurs. Of equal bands only the first
-    is kept, and keys are distinct before they are looked up.
+    Bands become disjoint segments, each with the rate of its first band, and meet the
+    keys in sorted order. Missing keys and bands without a beginning or an end are left out.
     """
-    hi = F.col("hi").cast("double") + (1.0 if half_open else 0.0)
-    bands = (bands.select("idx", F.col("lo").cast("double").alias("lo"), hi.alias("hi"), "rate").filter("lo <= hi")
-             .groupBy("lo", "hi").agg(F.min(F.struct("idx", "rate")).alias("first")))
-    length = F.col("hi") - F.col("lo")
-    level = F.least(F.greatest(F.ceil(F.log2(F.when(length > 0, length))), F.lit(_SHORTEST)), F.lit(_LONGEST + 1))
-    wide = F.lit(_LONGEST + 1)
-    bands = bands.withColumn("level", F.when(length > 2.0**_LONGEST, wide).otherwise(
-        F.coalesce(level, F.lit(_SHORTEST))).cast("int"))
-
-    def cell(x: Column) -> Column:
-        return F.when(F.col("level") > _LONGEST, 0).otherwise(F.floor(x / F.pow(F.lit(2.0), F.col("level"))))
-
-    cells = bands.withColumn("cell", F.explode(F.array_distinct(F.array(cell(F.col("lo")), cell(F.col("hi"))))))
-    levels = F.array(*[F.lit(r["level"]) for r in bands.select("level").distinct().collect()]).cast("array<int>")
-    finite = F.abs("key") < float("inf")
-    asked = (keys.select(F.col("key").cast("double").alias("key")).filter(F.col("key").isNotNull() & ~F.isnan("key")).distinct()
-             .withColumn("level", F.explode(levels)).filter(finite | (F.col("level") > _LONGEST))
-             .withColumn("cell", cell(F.col("key"))))
-    inside = (F.col("key") >= F.col("lo")) & ((F.col("key") < F.col("hi")) if half_open else (F.col("key") <= F.col("hi")))
-    return (asked.join(cells, ["level", "cell"]).filter(inside)
-            .groupBy("key").agg(F.min("first").alias("first")).select("key", F.col("first.rate").alias("rate")))
+    asked = keys.select(F.col("key").cast("double").alias("key")).filter(F.col("key").isNotNull() & ~F.isnan("key")).distinct()
+    return as_of(asked, disjoint_segments(bands, half_open))
 
 
 def _joined(df: DataFrame, key: str, bands: DataFrame, half_open: bool) -> tuple[DataFrame, str]:
-    """The table with the rate of each row's first band in a new column."""
-    rate = "_rate"
-    while rate in df.columns:
-        rate = f"_{rate}"
-    found = first_bands(df.select(F.col(key).alias("key")), bands, half_open)
+    """The table with the rate of each row's first band in a new column.
+
+    Distinct keys are looked up; what is found is stored, so the join back meets two plain
+    exchanges and Spark splits the rows of a hot key.
+    """
+    rate = unused(df, "_rate")
+    found = checkpointed(first_bands(df.select(F.col(key).alias("key")), bands, half_open))
     found = found.select(F.col("key").alias(f"{rate}key"), F.col("rate").alias(rate))
     return df.join(found, F.col(key).cast("double") == F.col(f"{rate}key"), "left").drop(f"{rate}key"), rate
 
@@ -155,12 +136,12 @@ def _scaled(rate: Column, factor: float, scale: float) -> Column:
 
 
 def impute_by_band(df: DataFrame, col: str, key: str, bands: DataFrame | Iterable[Sequence[float]],
-                   scale: float = 0.01, *, half_open: bool = False) -> DataFrame:
+                   scale: float = 0.01, *, half_open: bool = False, max_bands: int = MAX_BANDS) -> DataFrame:
     """Fill gaps with the scaled rate of the first band holding the key; no band leaves a gap.
 
-    A table of more than MAX_BANDS bands is joined instead of brought to the driver.
+    A table of more than ``max_bands`` bands is joined instead of brought to the driver.
     """
-    few = _few_bands(bands)
+    few = _few_bands(bands, max_bands)
     if few is None:
         joined, rate = _joined(df, key, bands, half_open)
         filled = F.coalesce(F.col(col), _scaled(F.col(rate), 1.0, scale))
@@ -172,12 +153,12 @@ def impute_by_band(df: DataFrame, col: str, key: str, bands: DataFrame | Iterabl
 def impute_by_band_and_group(df: DataFrame, col: str, key: str,
                              bands: DataFrame | Iterable[Sequence[float]], group_col: str,
                              factors: Mapping[object, float], scale: float = 0.01, *,
-                             half_open: bool = False) -> DataFrame:
+                             half_open: bool = False, max_bands: int = MAX_BANDS) -> DataFrame:
     """As `impute_by_band`, with the rate multiplied by the row's group factor.
 
     Rows of a group without a factor keep their gap.
     """
-    few = _few_bands(bands)
+    few = _few_bands(bands, max_bands)
     columns = df.columns
     if few is None:
         df, joined = _joined(df, key, bands, half_open)
