@@ -39,17 +39,30 @@ def one_hot(spark, folder):
     return X.one_hot(orders, ["o_orderstatus", "o_orderpriority"])
 
 
-@query("""SELECT c_custkey, k AS place, 1.0::DOUBLE AS total FROM customer JOIN (
+NATION_PLACES = """SELECT c_custkey, k AS place, 1.0::DOUBLE AS total FROM customer JOIN (
   SELECT c_nationkey, row_number() OVER (ORDER BY count(*) DESC, c_nationkey::VARCHAR) AS k
-  FROM customer GROUP BY c_nationkey) USING (c_nationkey)""")
-def one_hot_vector(spark, folder):
+  FROM customer GROUP BY c_nationkey) USING (c_nationkey)"""
+
+
+def nation_places(spark, folder, **options):
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     hot = vector_to_array(F.col("c_nationkey_vec"))
-    return X.one_hot_vector(customer, ["c_nationkey"]).select(
+    return X.one_hot_vector(customer, ["c_nationkey"], **options).select(
         "c_custkey", F.array_position(hot, 1.0).alias("place"),
         F.aggregate(hot, F.lit(0.0), lambda s, x: s + x).alias("total"))
 
 
+@query(NATION_PLACES)
+def one_hot_vector(spark, folder):
+    return nation_places(spark, folder)
+
+
+@query(NATION_PLACES)
+def one_hot_vector_by_an_index_table(spark, folder):
+    """The same vectors where the levels are more than may be held, by a bound set low."""
+    return nation_places(spark, folder, max_levels=5)
+
+
 @query("SELECT p_partkey, p_size::DOUBLE AS a, p_retailprice AS b FROM part")
 def assemble(spark, folder):
     part = X.assemble(table(spark, folder, "part"), ["p_size", "p_retailprice"])
@@ -73,6 +86,15 @@ def index_labels(spark, folder):
     return X.index_labels(table(spark, folder, "orders").select("o_orderkey", "o_orderpriority"), "o_orderpriority")
 
 
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, (k - 1)::DOUBLE AS label FROM lineitem JOIN (
+  SELECT l_partkey, row_number() OVER (ORDER BY count(*) DESC, l_partkey::VARCHAR) AS k
+  FROM lineitem GROUP BY l_partkey) USING (l_partkey)""")
+def index_labels_by_a_table(spark, folder):
+    """An index of all parts, which is joined, as they are more than may be held by a bound set low."""
+    items = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return X.index_labels(items, "l_partkey", max_levels=100)
+
+
 @query("SELECT doc_id, quality, (quality = 1)::INT::DOUBLE AS label FROM labels")
 def binarize_label(spark, folder):
     return X.binarize_label(table(spark, folder, "labels").select("doc_id", "quality"), "quality", out="label")
@@ -102,6 +124,23 @@ def stratified_split(spark, folder):
     return P.stratified_split(flag_orders(spark, folder).select("o_orderkey", "flag"), "flag", "o_orderkey")
 
 
+@query(f"""SELECT o_orderkey, o_custkey, CASE WHEN {HASHED} / 4294967296.0::DOUBLE < floor(0.8::DOUBLE * n) / n THEN 'train' ELSE 'test' END AS split
+FROM orders JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) USING (o_custkey)""")
+def stratified_split_by_customer(spark, folder):
+    """A class per customer: shares are a table that is joined, by a bound set low."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return P.stratified_split(orders, "o_custkey", "o_orderkey", train=0.8, max_classes=50)
+
+
+@query(f"""SELECT o_orderkey, o_custkey, CASE WHEN k <= floor(n * 0.3::DOUBLE + 0.5) THEN 'test' ELSE 'train' END AS split
+FROM (SELECT o_orderkey, o_custkey, count(*) OVER (PARTITION BY o_custkey) AS n,
+      row_number() OVER (PARTITION BY o_custkey ORDER BY {HASHED}, o_orderkey) AS k FROM orders)""")
+def exact_split_by_customer(spark, folder):
+    """A class per customer, of which some are searched by hash prefixes."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return P.exact_split(orders, "o_custkey", "o_orderkey", test=0.3, boundary_rows=8, max_classes=50)
+
+
 EXACT = f"""SELECT o_orderkey, o_orderstatus, CASE WHEN k <= floor(n * 0.1::DOUBLE + 0.5) THEN 'test' ELSE 'train' END AS split
 FROM (SELECT o_orderkey, o_orderstatus, count(*) OVER (PARTITION BY o_orderstatus) AS n,
       row_number() OVER (PARTITION BY o_orderstatus ORDER BY {HASHED}, o_orderkey) AS k FROM orders)"""

@@ -15,9 +15,10 @@ from pyspark.ml.feature import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.operators.ranks import checkpointed, unused, with_rank
 from tablewright.operators.statistics import _long, statistics
 
-#: Levels of an index that the driver holds and ships to every task.
+#: Levels of an index that the driver holds and ships to every task; beyond, the index is a table that is joined.
 MAX_INDEXED = 1_000_000
 
 
@@ -119,13 +120,25 @@ def one_hot(df: DataFrame, cols: Sequence[str], max_levels: int = 100) -> DataFr
 
 def one_hot_vector(df: DataFrame, cols: Sequence[str], suffix: str = "_vec",
                    max_levels: int = MAX_INDEXED) -> DataFrame:
-    """Sparse vectors instead of columns; the index of at most ``max_levels`` levels a column is held in memory."""
-    _bounded(df, cols, max_levels)
-    index = StringIndexer(inputCols=list(cols), outputCols=[f"{c}_index" for c in cols],
-                          handleInvalid="keep")
+    """Sparse vectors instead of columns, with a place per level by falling frequency and one for missing values.
+
+    The index of a column of at most ``max_levels`` levels is held in memory, that of a
+    column with more is a table.
+    """
+    many = _over(df, cols, max_levels)
+    few = [c for c in cols if c not in many]
+    indexed = df
+    if few:
+        index = StringIndexer(inputCols=few, outputCols=[f"{c}_index" for c in few], handleInvalid="keep")
+        indexed = index.fit(df).transform(df)
+    for c in many:
+        ranks = level_ranks(df, c)
+        n = ranks.count()
+        # What the encoder reads the length of its vectors from.
+        size = {"ml_attr": {"type": "nominal", "name": f"{c}_index", "num_vals": n + 1}}
+        indexed = _with_index(indexed, c, ranks, f"{c}_index", F.lit(float(n)), size)
     encode = OneHotEncoder(inputCols=[f"{c}_index" for c in cols],
                            outputCols=[f"{c}{suffix}" for c in cols], dropLast=False)
-    indexed = index.fit(df).transform(df)
     return encode.fit(indexed).transform(indexed).drop(*[f"{c}_index" for c in cols])
 
 
@@ -139,18 +152,41 @@ def min_max_vector(input_col: str, output_col: str) -> MinMaxScaler:
     return MinMaxScaler(inputCol=input_col, outputCol=output_col)
 
 
-def _bounded(df: DataFrame, cols: Sequence[str], most: int) -> None:
-    """Refuse columns whose index would not fit the driver; a sketch counts first, exactly where it is near."""
+def _over(df: DataFrame, cols: Sequence[str], most: int) -> list[str]:
+    """Columns with more than ``most`` levels; a sketch counts first, exactly where it is near."""
     about = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in cols]).first()
-    for c in cols:
-        n = about[c] if abs(about[c] - most) > 0.1 * most else df.select(c).distinct().count()
-        if n > most:
-            raise ValueError(f"{c!r} has more than {most} levels, too many for an index in memory")
+    return [c for c in cols
+            if (about[c] if abs(about[c] - most) > 0.1 * most else df.filter(F.col(c).isNotNull()).select(c).distinct().count()) > most]
+
+
+def level_ranks(df: DataFrame, col: str) -> DataFrame:
+    """(level, n, rank): the texts of a column's values by falling frequency, ties in the order of the text.
+
+    The table of an index of any size: counts are combined before the shuffle, and ranks
+    come from range partitions.
+    """
+    counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias("level")).agg(F.count(F.lit(1)).alias("n"))
+    return with_rank(counts, [F.col("n").desc(), F.col("level")])
+
+
+def _with_index(df: DataFrame, col: str, ranks: DataFrame, out: str, missing: Column, metadata: Mapping | None = None) -> DataFrame:
+    """The index by joining its table, which is stored: of two plain exchanges Spark splits a hot level's rows."""
+    level, rank = unused(df, "_level"), unused(df, "_rank")
+    table = checkpointed(ranks.select(F.col("level").alias(level), F.col("rank").cast("double").alias(rank)))
+    joined = df.join(table, df[col].cast("string") == table[level], "left")
+    index = F.coalesce(F.col(rank), missing)
+    fields = [F.col(f"`{c}`") for c in df.columns if c != out]
+    return joined.select(*fields, index.alias(out, metadata=dict(metadata)) if metadata else index.alias(out))
 
 
 def index_labels(df: DataFrame, col: str, out: str = "label", max_levels: int = MAX_INDEXED) -> DataFrame:
-    """Label index by falling frequency, ties in the order of the label's text."""
-    _bounded(df, [col], max_levels)
+    """Label index by falling frequency, ties in the order of the label's text; a missing label is an error.
+
+    More than ``max_levels`` labels are not brought to the driver: their index is a table
+    that is joined.
+    """
+    if _over(df, [col], max_levels):
+        return _with_index(df, col, level_ranks(df, col), out, F.raise_error(F.lit(f"{col} misses a label")).cast("double"))
     indexer = StringIndexer(inputCol=col, outputCol=out, stringOrderType="frequencyDesc")
     return indexer.fit(df).transform(df)
 

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.values import hash_hex
+from tablewright.operators.ranks import checkpointed
 from tablewright.operators.statistics import label_counts
 
-MAX_CLASSES = 10_000  # default of the argument max_classes
+MAX_CLASSES = 10_000  # default of the argument max_classes: classes that the driver holds; more are joined as a table
 BOUNDARY_ROWS = 100_000
 HASH_DIGITS = 8
 DIGITS_PER_PASS = 3
@@ -24,13 +25,16 @@ def with_row_key(df: DataFrame, out: str = "row_key") -> DataFrame:
     return df.withColumn(out, F.xxhash64(*df.columns))
 
 
-def _classes(df: DataFrame, label: str, most: int | None = None) -> dict[object, int]:
-    """Row count per class, refusing a label that is no class label."""
+def _classes(df: DataFrame, label: str, most: int | None = None) -> dict[object, int] | None:
+    """Row count per class, or None where there are more classes than the driver should hold."""
     most = MAX_CLASSES if most is None else most
     rows = label_counts(df, label).limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"{label!r} has more than {most} classes; stratify on a class label")
-    return {r[label]: r["n"] for r in rows}
+    return None if len(rows) > most else {r[label]: r["n"] for r in rows}
+
+
+def _class_counts(df: DataFrame, label: str) -> DataFrame:
+    """(_class, _n), stored: a join with it meets a plain exchange, of which Spark splits a hot class's part."""
+    return checkpointed(label_counts(df, label).select(F.col(label).alias("_class"), F.col("n").alias("_n")))
 
 
 def train_fractions(counts: Mapping[object, int], train: float) -> dict[object, float]:
@@ -38,9 +42,11 @@ def train_fractions(counts: Mapping[object, int], train: float) -> dict[object,
     return {value: int(train * n) / n for value, n in counts.items()}
 
 
-def _with_class_values(df: DataFrame, label: str, table: Mapping[object, Sequence],
-                       schema: str) -> DataFrame:
-    """Attach fixed values per class; the table is bounded by MAX_CLASSES rows, so it is broadcast."""
+def _with_class_values(df: DataFrame, label: str, table: Mapping[object, Sequence] | DataFrame,
+                       schema: str = "") -> DataFrame:
+    """Attach fixed values per class; those of a mapping are bounded by max_classes rows, so they are broadcast."""
+    if isinstance(table, DataFrame):
+        return df.join(table, df[label].eqNullSafe(table["_class"]), "left").drop("_class")
     type_ = df.schema[label].dataType.simpleString()
     small = df.sparkSession.createDataFrame(
         [(value, *rest) for value, rest in table.items()], f"_class {type_}, {schema}")
@@ -54,7 +60,13 @@ def stratified_sample(df: DataFrame, label: str, fractions: Mapping | None = Non
     Use `stratified_split` where a repeatable choice is wanted.
     """
     if fractions is None:
-        fractions = train_fractions(_classes(df.filter(F.col(label).isNotNull()), label, max_classes), train)
+        present = df.filter(F.col(label).isNotNull())
+        counts = _classes(present, label, max_classes)
+        if counts is None:
+            share = F.floor(F.lit(train) * F.col("_n")) / F.col("_n")
+            shares = _class_counts(present, label).select("_class", share.alias("_share"))
+            return _with_class_values(df, label, shares).filter(F.rand(seed) < F.col("_share")).drop("_share")
+        fractions = train_fractions(counts, train)
     return df.sampleBy(label, fractions=dict(fractions), seed=seed)
 
 
@@ -62,9 +74,17 @@ def stratified_split(df: DataFrame, label: str, key: Sequence[str] | str, *, tra
                      seed: int = 42, max_classes: int | None = None) -> DataFrame:
     """Add ``split`` ("train" or "test") by comparing the key's hash to its class's share.
 
-    No shuffle; rows with equal keys fall on the same side.
+    No shuffle for up to ``max_classes`` classes (10,000 by default), whose shares the driver
+    holds; the shares of more are a table that is joined. Rows with equal keys fall on the
+    same side.
     """
-    cuts = {value: (_cut(share),) for value, share in train_fractions(_classes(df, label, max_classes), train).items()}
+    counts = _classes(df, label, max_classes)
+    if counts is None:
+        first = F.ceil(F.floor(F.lit(train) * F.col("_n")) / F.col("_n") * 16.0 ** HASH_DIGITS).cast("long")
+        cut = F.when(first < 16 ** HASH_DIGITS, F.lower(F.lpad(F.hex(first), HASH_DIGITS, "0"))).otherwise("g")
+        cuts = _class_counts(df, label).select("_class", cut.alias("_cut"))
+    else:
+        cuts = {value: (_cut(share),) for value, share in train_fractions(counts, train).items()}
     side = F.when(hash_hex(key, seed) < F.col("_cut"), "train").otherwise("test")
     return (_with_class_values(df, label, cuts, "_cut string")
             .withColumn("split", side).drop("_cut"))
@@ -78,12 +98,12 @@ def _cut(share: float) -> str:
 
 @dataclass(frozen=True)
 class ExactSplit:
-    """Per class the last (hash, key) that still belongs to the test part."""
+    """Per class the last (hash, key) that still belongs to the test part; of many classes as a table."""
 
     label: str
     key: Sequence[str]
     seed: int
-    last: Mapping[object, Sequence]
+    last: Mapping[object, Sequence] | DataFrame
 
     def transform(self, df: DataFrame) -> DataFrame:
         names = [f"_last{i}" for i in range(len(self.key))]
@@ -108,6 +128,8 @@ def fit_exact_split(df: DataFrame, label: str, key: Sequence[str] | str, *, test
     """
     key = [key] if isinstance(key, str) else list(key)
     counts = _classes(df, label, max_classes)
+    if counts is None:
+        return ExactSplit(label, key, seed, _last_by_class(df, label, key, test, seed, boundary_rows))
     quota = {value: int(n * test + 0.5) for value, n in counts.items()}
     # Per class: hash prefix known so far, and how many of its rows are still wanted.
     state = {value: ("", want) for value, want in quota.items() if want > 0}
@@ -128,6 +150,41 @@ def fit_exact_split(df: DataFrame, label: str, key: Sequence[str] | str, *, test
     return ExactSplit(label, key, seed, {r[label]: tuple(r[c] for c in place) for r in edge})
 
 
+def _last_by_class(df: DataFrame, label: str, key: list[str], test: float, seed: int, boundary_rows: int) -> DataFrame:
+    """(_class, _last_hash, _last0, ...): the boundaries of any number of classes, as a table.
+
+    The state is a row per class: the hash prefix that holds its boundary, the rows wanted
+    of that, and the rows in it. Classes with too many there get a longer prefix from the
+    counts of the next ones; then only rows behind the prefixes are ranked, at most
+    ``boundary_rows`` a class.
+    """
+    rows = df.select(F.col(label).alias("_label"), *key, hash_hex(key, seed).alias("_hash"))
+    want = F.floor(F.col("_n") * F.lit(test) + 0.5).cast("long")
+    state = checkpointed(_class_counts(df, label).select("_class", F.lit("").alias("_prefix"), want.alias("_want"), F.col("_n").alias("_rows"))
+                         .filter("_want > 0"))
+
+    def inside(of: DataFrame) -> DataFrame:
+        return rows.join(of, rows["_label"].eqNullSafe(of["_class"]) & rows["_hash"].startswith(of["_prefix"]))
+
+    def reached(sizes: DataFrame, order: Sequence[str]) -> DataFrame:
+        running = Window.partitionBy("_class").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        upto = sizes.withColumn("_upto", F.sum("_n").over(running))
+        return upto.filter((F.col("_upto") >= F.col("_want")) & (F.col("_upto") - F.col("_n") < F.col("_want")))
+
+    for digits in range(DIGITS_PER_PASS, HASH_DIGITS + DIGITS_PER_PASS, DIGITS_PER_PASS):
+        large = state.filter(F.col("_rows") > boundary_rows)
+        if large.isEmpty():
+            break
+        prefix = F.substring("_hash", 1, min(digits, HASH_DIGITS)).alias("_bucket")
+        edge = reached(inside(large).groupBy("_class", "_want", prefix).agg(F.count(F.lit(1)).alias("_n")), ["_bucket"])
+        deeper = edge.select("_class", F.col("_bucket").alias("_prefix"), (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_want"),
+                             F.col("_n").alias("_rows"))
+        state = checkpointed(state.filter(F.col("_rows") <= boundary_rows).unionByName(deeper))
+    place = ["_hash", *key]
+    edge = reached(inside(state).groupBy("_class", "_want", *place).agg(F.count(F.lit(1)).alias("_n")), place)
+    return checkpointed(edge.select("_class", F.col("_hash").alias("_last_hash"), *[F.col(k).alias(f"_last{i}") for i, k in enumerate(key)]))
+
+
 def _edges(rows: DataFrame, label: str, by: Sequence, order: Sequence[str]) -> list:
     """Per class, the group in which the running count reaches the wanted one.
 
@@ -154,7 +211,8 @@ def exact_split(df: DataFrame, label: str, key: Sequence[str] | str, *, test: fl
                 max_classes: int | None = None) -> DataFrame:
     """Add ``split`` with exactly round(test * n) test rows per class; the key must be unique.
 
-    Class totals are held on the driver: ``max_classes`` (10,000 by default) is their bound.
+    Class totals and boundaries are held on the driver for up to ``max_classes`` classes (10,000 by
+    default), as a table for more.
     """
     fitted = fit_exact_split(df, label, key, test=test, seed=seed, boundary_rows=boundary_rows, max_classes=max_classes)
     return fitted.transform(df)

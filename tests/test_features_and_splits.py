@@ -64,14 +64,6 @@ def test_exact_split_with_null_class_and_tiny_class(spark):
     assert sizes == {(None, "test"): 5, (None, "train"): 45, ("a", "test"): 5, ("a", "train"): 45, ("rare", "train"): 1}
 
 
-def test_split_refuses_an_id_as_label(spark, monkeypatch):
-    monkeypatch.setattr(P, "MAX_CLASSES", 10)
-    with pytest.raises(ValueError, match="class label"):
-        P.stratified_split(people(spark), "id", "id")
-    n = people(spark).count()
-    assert P.stratified_split(people(spark), "id", "id", max_classes=n).count() == n
-
-
 def test_duplicates_survive_the_split(spark):
     df = spark.createDataFrame([(1, 0.0)] * 5 + [(2, 1.0)] * 3, "id long, y double")
     assert P.stratified_split(df, "y", "id").count() == 8

@@ -85,15 +85,6 @@ def test_labels_of_other_than_two_classes_are_refused(spark):
     assert {(r.y, r.z) for r in got} == {("b", 1.0), ("a", 0.0), (None, None)}
 
 
-def test_indexes_have_a_bound(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("y"))
-    assert features.index_labels(df, "y", max_levels=50).count() == 50
-    with pytest.raises(ValueError, match="more than 49"):
-        features.index_labels(df, "y", max_levels=49)
-    with pytest.raises(ValueError, match="more than 10"):
-        features.one_hot_vector(df, ["y"], max_levels=10)
-
-
 def test_a_forest_refuses_gaps(spark):
     df = spark.createDataFrame([(i, None if i % 3 == 0 else float(i)) for i in range(300)], "k long, x double")
     with pytest.raises(ValueError, match="gaps"):
