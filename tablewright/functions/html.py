@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from html import unescape
 
 import pandas as pd
@@ -39,7 +40,35 @@ def without_scripts(html: str) -> Column:
     return F.regexp_replace(clean, r"(?is)<style\b.*?</style\s*>", "")
 
 
-_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)[^>]*>")
+_OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_VALUE_OR_END = re.compile(r"""=\s*(["'])|>""")
+
+
+def _tags(page: str) -> Iterator[tuple[int, int, bool, str]]:
+    """(start, end, whether an end tag, name) of all tags; ">" inside a quoted value ends none.
+
+    A quote that is not closed before the page's end is no quote. Each character is looked
+    at a fixed number of times: what is missing up to the page's end is missing once.
+    """
+    at = 0
+    while opened := _OPEN.search(page, at):
+        at = opened.end()
+        while True:
+            stop = _VALUE_OR_END.search(page, at)
+            if stop is None:
+                return
+            at = stop.end()
+            if not stop[1]:
+                break
+            at = page.find(stop[1], at) + 1
+            if not at:
+                at = page.find(">", stop.end()) + 1
+                if not at:
+                    return
+                break
+        yield opened.start(), at, bool(opened[1]), opened[2].lower()
+
+
 _CLASS = re.compile(r"""\sclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
@@ -77,22 +106,21 @@ def scan_elements(page: str, tag: str, class_: str | None = None) -> list[tuple[
                 return False
         return False
 
-    for m in _TAG.finditer(page):
-        name = m[2].lower()
-        if m[1]:
+    for start, stop, ends, name in _tags(page):
+        if ends:
             if count[name]:
-                end_nearest(frozenset((name,)), frozenset(), m.start())
+                end_nearest(frozenset((name,)), frozenset(), start)
             continue
         if name in _BLOCKS:
-            end_nearest(_P, _AROUND_P, m.start())
+            end_nearest(_P, _AROUND_P, start)
         if name in _ENDED_BY:
-            while end_nearest(*_ENDED_BY[name], m.start()):
+            while end_nearest(*_ENDED_BY[name], start):
                 pass
         if name in _VOID:
-            if name == tag and (class_ is None or _has_class(m[0], class_)):
-                found.append((m.start(), "", m[0]))
+            if name == tag and (class_ is None or _has_class(page[start:stop], class_)):
+                found.append((start, "", page[start:stop]))
         else:
-            stack.append((name, m.start(), m.end(), m[0]))
+            stack.append((name, start, stop, page[start:stop]))
             count[name] += 1
     end_at(0, len(page))
     return sorted(found)
@@ -118,21 +146,39 @@ def elements(html: Column | str, tag: str, class_: str | None = None) -> Column:
 
 
 _COMMENT, _ANY_TAG = re.compile(r"<!--.*?-->", re.S), re.compile(r"<[^>]*>")
+_COMMENT_JVM = r"(?s)<!--.*?-->"
+#: An attribute value that holds ">", or a quote that is not closed in its tag.
+_QUOTED_END = r"""=\s*(?:"[^">]*>|'[^'>]*>)"""
+
+
+def _without_tags(fragment: str) -> str:
+    kept, at = [], 0
+    for start, stop, _, _ in _tags(fragment):
+        kept.append(fragment[at:start])
+        at = stop
+    return _ANY_TAG.sub("", "".join([*kept, fragment[at:]]))
 
 
 def plain_text(fragment: str) -> str:
     """Tags dropped, character references decoded; a no-break space reference becomes a space."""
-    bare = _ANY_TAG.sub("", _COMMENT.sub("", fragment))
+    bare = _without_tags(_COMMENT.sub("", fragment))
     return unescape(bare.replace("&nbsp;", " ")) if "&" in bare else bare
 
 
 def text_of(html: Column | str) -> Column:
-    """Text of an HTML column: tags dropped, all character references decoded."""
+    """Text of an HTML column: tags dropped, all character references decoded.
+
+    Built-in expressions do it; only fragments with a character reference or with ">" in an
+    attribute value are read in Arrow batches.
+    """
     @F.pandas_udf("string")
     def texts(fragments: pd.Series) -> pd.Series:
-        return fragments.map(lambda f: None if f is None else plain_text(f))
+        return fragments.map(plain_text, na_action="ignore")
 
-    return texts(as_column(html))
+    fragment = as_column(html)
+    bare = F.regexp_replace(F.regexp_replace(fragment, _COMMENT_JVM, ""), "<[^>]*>", "")
+    hard = fragment.contains("&") | fragment.rlike(_QUOTED_END)
+    return F.when(hard, texts(F.when(hard, fragment))).otherwise(bare)
 
 
 def nth_text(html: Column | str, tag: str, n: int) -> Column:

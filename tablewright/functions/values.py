@@ -57,11 +57,15 @@ def hash_hex(key: Sequence[str] | str, seed: int) -> Column:
 
     It depends on the row's key alone, so it survives repartitioning, retries
     and other engines, unlike a seeded random column. The digits sort as the
-    number does, which spares comparisons the conversion.
+    number does, which spares comparisons the conversion. Of several columns each part
+    has its length in front, and a missing one is marked, so different keys have
+    different texts.
     """
     key = [key] if isinstance(key, str) else list(key)
-    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key])
-    return F.substring(F.md5(text), 1, 8)
+    parts = [F.col(k).cast("string") for k in key]
+    if len(parts) > 1:
+        parts = [F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]
+    return F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *parts)), 1, 8)
 
 
 def hash32(key: Sequence[str] | str, seed: int) -> Column:

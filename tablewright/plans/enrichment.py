@@ -28,6 +28,7 @@ from tablewright.operators.extract import (
     prepend_band,
     tail_mean,
 )
+from tablewright.operators.ranks import checkpointed
 
 # The markup of the three pages.
 AGE_ROW_CLASS = "even"
@@ -111,10 +112,16 @@ def youth_band(pages: DataFrame, *, span: tuple[float, float] = (14, 17), n: int
 def rates_from_pages(pages: DataFrame, src: PageSources) -> PageRates:
     """Read all rates; what reaches the driver is one row per band and group.
 
-    Of a url stored several times, the page with the largest id counts.
+    Of a url stored several times, the page with the largest id counts. The pages are
+    found in one scan and stored, three at most, before elements are read.
     """
+    urls = [src.age_url, src.group_url, src.youth_url]
+    order = F.struct(F.col(src.id_col).isNotNull(), F.col(src.id_col))
+    latest = checkpointed(pages.filter(F.col("url").isin(urls)).groupBy("url")
+                          .agg(F.max_by(F.struct(src.id_col, "html"), order).alias("page")).select("url", "page.*"))
+
     def of(url: str) -> DataFrame:
-        return pages.filter(F.col("url") == url).orderBy(F.col(src.id_col).desc_nulls_last()).limit(1)
+        return latest.filter(F.col("url") == url).drop("url")
 
     first = age_bands(of(src.age_url), rows=src.age_rows, id_col=src.id_col, top=src.top)
     groups, second = group_bands(of(src.group_url), container=src.group_container, bands=src.group_rows,
