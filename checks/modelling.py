@@ -8,7 +8,7 @@ from checks.inputs import table
 from tablewright.operators import evaluate as E
 from tablewright.operators import models as M
 from tablewright.operators.split import stratified_split
-from tablewright.session import scratch_path
+from tablewright.session import own, scratch_path
 from tablewright.sources import load_model, save_model
 
 FEATURES = ["balance", "nation"]
@@ -63,7 +63,7 @@ def linear_svm(spark, folder):
 def save_and_load_model(spark, folder):
     train, test = split(spark, folder)
     model = fitted_logistic(train)
-    path = scratch_path(spark, "model")
+    path = own(spark, scratch_path(spark, "model"))
     save_model(model, path)
     before = M.score(model, test).select("c_custkey", F.col("decision").alias("before"))
     after = M.score(load_model(path), test).select("c_custkey", "decision")
@@ -81,6 +81,78 @@ def cross_validate(spark, folder):
     return measured.select(F.lit("lr").alias("model"), "n_pos", "n_neg", (F.col("auc") > 0.95).alias("found"))
 
 
+def noisy(spark, folder):
+    """Customers with a label that the balance explains in part."""
+    return table(spark, folder, "customer").select(
+        "c_custkey", F.col("c_acctbal").alias("balance"), F.col("c_nationkey").cast("double").alias("nation"),
+        (F.col("c_acctbal") + (F.col("c_custkey") * 7919) % 9000 + F.col("c_nationkey") * 60 > 9000).cast("double").alias("target"))
+
+
+def newton_sql(cases: str, rows: str, rounds: int = 25) -> str:
+    """Logistic regression by Newton steps in SQL: per case (id, reg) of ``rows`` (id, y, u, v) on standardized u and v.
+
+    Solves for the weights (b0, b1, b2) at which the gradient of mean loss plus
+    reg / 2 * (b1^2 + b2^2) vanishes.
+    """
+    det = "(h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02))"
+    return f"""data AS MATERIALIZED ({rows}),
+moments AS (SELECT id, avg(u) AS mu, stddev_samp(u) AS su, avg(v) AS mv, stddev_samp(v) AS sv, min(u) AS lu, max(u) - min(u) AS ru,
+  min(v) AS lv, max(v) - min(v) AS rv FROM data GROUP BY id),
+standard AS MATERIALIZED (SELECT id, reg, y, (u - mu) / su AS x1, (v - mv) / sv AS x2 FROM data JOIN moments USING (id) JOIN ({cases}) USING (id)),
+newton AS (
+  SELECT DISTINCT id, reg, 0 AS step, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2 FROM standard
+  UNION ALL
+  SELECT id, reg, step + 1,
+    b0 - (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / {det},
+    b1 - (h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / {det},
+    b2 - (h00 * (h11 * g2 - g1 * h12) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / {det}
+  FROM (SELECT id, reg, step, b0, b1, b2, avg(p - y) AS g0, avg((p - y) * x1) + reg * b1 AS g1, avg((p - y) * x2) + reg * b2 AS g2,
+          avg(p * (1 - p)) AS h00, avg(p * (1 - p) * x1) AS h01, avg(p * (1 - p) * x2) AS h02,
+          avg(p * (1 - p) * x1 * x1) + reg AS h11, avg(p * (1 - p) * x1 * x2) AS h12, avg(p * (1 - p) * x2 * x2) + reg AS h22
+        FROM (SELECT n.*, y, x1, x2, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p
+              FROM newton n JOIN standard s ON s.id = n.id AND s.reg = n.reg WHERE step < {rounds})
+        GROUP BY id, reg, step, b0, b1, b2)),
+weights AS (SELECT * FROM newton WHERE step = {rounds})"""
+
+
+NOISY = """(SELECT c_custkey, c_acctbal AS u, c_nationkey::DOUBLE AS v,
+  (c_acctbal + (c_custkey * 7919) % 9000 + c_nationkey * 60 > 9000)::INT::DOUBLE AS y FROM customer)"""
+
+
+@query(f"""WITH RECURSIVE {newton_sql("SELECT 1 AS id, 0.02::DOUBLE AS reg", f"SELECT 1 AS id, y, u, v FROM {NOISY}")}
+SELECT 'balance' AS term, round(b1 / su * ru, 4) AS weight FROM weights JOIN moments USING (id)
+UNION ALL SELECT 'nation', round(b2 / sv * rv, 4) FROM weights JOIN moments USING (id)
+UNION ALL SELECT 'intercept', round(b0 - b1 * (mu - lu) / su - b2 * (mv - lv) / sv, 4) FROM weights JOIN moments USING (id)""")
+def logistic_weights(spark, folder):
+    """The weights of the regularised optimum, which the SQL finds by its own steps."""
+    estimator = M.logistic("target", reg=0.02, max_iter=500).setTol(1e-12)
+    classifier = M.feature_pipeline(estimator, FEATURES).fit(noisy(spark, folder)).stages[-1]
+    found = [*zip(FEATURES, classifier.coefficients.toArray().tolist()), ("intercept", classifier.intercept)]
+    return spark.createDataFrame(found, "term string, weight double").withColumn("weight", F.round("weight", 4))
+
+
+FOLDS = "(('0x' || substr(md5('43|' || c_custkey), 1, 8))::BIGINT % 4)"
+
+
+@query(f"""WITH RECURSIVE folded AS (SELECT *, {FOLDS} AS fold FROM {NOISY}),
+{newton_sql("SELECT f AS id, r AS reg FROM range(4) AS a(f), (VALUES (0.01::DOUBLE), (1.0::DOUBLE), (30.0::DOUBLE)) AS b(r)",
+            "SELECT f AS id, y, u, v FROM folded, range(4) AS a(f) WHERE fold <> f")},
+ranked AS (SELECT id, reg, y, rank() OVER (PARTITION BY id, reg ORDER BY s) + (count(*) OVER (PARTITION BY id, reg, s) - 1) / 2.0::DOUBLE AS k
+  FROM (SELECT w.id, w.reg, y, b0 + b1 * (u - mu) / su + b2 * (v - mv) / sv AS s FROM weights w JOIN moments USING (id) JOIN folded ON fold = id)),
+areas AS (SELECT id, reg, (sum(k) FILTER (y = 1) - count(*) FILTER (y = 1) * (count(*) FILTER (y = 1) + 1) / 2.0::DOUBLE)
+  / (count(*) FILTER (y = 1) * count(*) FILTER (y = 0)) AS area FROM ranked GROUP BY id, reg),
+means AS (SELECT reg, avg(area) AS area FROM areas GROUP BY reg)
+SELECT reg, round(area, 3) AS area, reg = (SELECT reg FROM means ORDER BY area DESC, reg LIMIT 1) AS chosen FROM means""")
+def cross_validated_areas(spark, folder):
+    """The mean area of each strength over the folds, and which strength the refitted model has."""
+    regs = [0.01, 1.0, 30.0]
+    search = M.cross_validate(M.logistic("target", max_iter=500).setTol(1e-12), {"regParam": regs}, noisy(spark, folder),
+                              features=FEATURES, key="c_custkey", folds=4)
+    chosen = M.classifier_of(search).getRegParam()
+    found = [(reg, float(area), reg == chosen) for reg, area in zip(regs, search.avgMetrics)]
+    return spark.createDataFrame(found, "reg double, area double, chosen boolean").withColumn("area", F.round("area", 3))
+
+
 @query("SELECT * FROM (VALUES ('maxIter', true), ('regParam', true)) v(param, in_grid)")
 def best_params(spark, folder):
     train, _ = split(spark, folder)
@@ -134,7 +206,7 @@ def leaderboard(spark, folder):
            count(*) FILTER (target = 0) AS n_neg, true AS found, true AS accurate FROM te""")
 def evaluate_best(spark, folder):
     train, test = split(spark, folder)
-    path = scratch_path(spark, "best")
+    path = own(spark, scratch_path(spark, "best"))
     save_model(fitted_logistic(train), path)
     noise = M.feature_pipeline(M.logistic("target", max_iter=5), ["nation"]).fit(train)
     models = {"noise": noise, "lr": path}

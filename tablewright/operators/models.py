@@ -44,11 +44,41 @@ def param_grid(estimator: Estimator, grid: Mapping[str, Sequence]) -> list[dict]
 
 def feature_pipeline(estimator: Estimator, features: Sequence[str]) -> Pipeline:
     """Assemble, scale to [0, 1] and classify; the scaler is fitted with the classifier."""
-    return Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="_assembled"),
-        min_max_vector("_assembled", estimator.getFeaturesCol()),
-        estimator,
-    ])
+    return Pipeline(stages=[assembler(features), *_scaled(estimator)])
+
+
+def assembler(features: Sequence[str]) -> VectorAssembler:
+    return VectorAssembler(inputCols=list(features), outputCol="_assembled")
+
+
+def _scaled(estimator: Estimator) -> list[Estimator]:
+    return [min_max_vector("_assembled", estimator.getFeaturesCol()), estimator]
+
+
+def fold_table(train: DataFrame, features: Sequence[str], label: str, key: Sequence[str] | str | None = None, *,
+               folds: int = 5, seed: int = 42) -> DataFrame:
+    """The assembled features, the label and, with a key, the fold: what a search reads of its rows.
+
+    Searches over the same rows and features can share one such table, persisted.
+    """
+    rows = assembler(features).transform(train.select(*[F.col(c) for c in (*features, label)], *(
+        [] if key is None else [fold_of(key, folds, seed + 1).alias("_fold")])))
+    return rows.drop(*[c for c in features if c != label])
+
+
+def search_folds(estimator: Estimator, grid: Mapping[str, Sequence], data: DataFrame, *, features: Sequence[str],
+                 folds: int = 5, metric: str = "areaUnderROC", parallelism: int = 4, seed: int = 42) -> CrossValidatorModel:
+    """`cross_validate` over a `fold_table`; the best model takes rows with the features again."""
+    search = CrossValidator(
+        estimator=Pipeline(stages=_scaled(estimator)),
+        estimatorParamMaps=param_grid(estimator, grid),
+        evaluator=BinaryClassificationEvaluator(labelCol=estimator.getLabelCol(), metricName=metric),
+        numFolds=folds, parallelism=parallelism, seed=seed)
+    if "_fold" in data.columns:
+        search = search.setFoldCol("_fold")
+    found = search.fit(data)
+    found.bestModel = PipelineModel([assembler(features), *found.bestModel.stages])
+    return found
 
 
 def cross_validate(estimator: Estimator, grid: Mapping[str, Sequence], train: DataFrame, *,
@@ -59,19 +89,9 @@ def cross_validate(estimator: Estimator, grid: Mapping[str, Sequence], train: Da
 
     With a key, folds are fixed by its hash and do not change with partitioning.
     """
-    label = estimator.getLabelCol()
-    search = CrossValidator(
-        estimator=feature_pipeline(estimator, features),
-        estimatorParamMaps=param_grid(estimator, grid),
-        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName=metric),
-        numFolds=folds, parallelism=parallelism, seed=seed)
-    narrow = [F.col(c) for c in (*features, label)]
-    if key is not None:
-        search = search.setFoldCol("_fold")
-        narrow.append(fold_of(key, folds, seed + 1).alias("_fold"))
-    data = train.select(*narrow).persist(StorageLevel.MEMORY_AND_DISK)
+    data = fold_table(train, features, estimator.getLabelCol(), key, folds=folds, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return search.fit(data)
+        return search_folds(estimator, grid, data, features=features, folds=folds, metric=metric, parallelism=parallelism, seed=seed)
     finally:
         data.unpersist()
 
