@@ -1,19 +1,18 @@
 """Phrase collocations: counts of word sequences from an FM-index per shard, summed over shards.
 
-A shard is about a million words of whole pieces of text. Its words become numbers of the
-shard's own dictionary, and the sequence is indexed in both directions: rows of the index are
-text positions in the order of the words that follow (or precede) them, and beside each row
-stands the word on the other side, the Burrows-Wheeler transform. A phrase is an interval of
-rows in either index; extending it by each word that occurs beside it, to the right or the
-left, gives the intervals of all longer phrases with their counts.
+A shard is a few megabytes of text. Its words become numbers of the shard's own dictionary,
+and the sequence is indexed in both directions: rows of the index are text positions in the
+order of the words that follow (or precede) them, and beside each row stands the word on the
+other side, the Burrows-Wheeler transform. A phrase is an interval of rows in either index;
+extending it by each word that occurs beside it, to the right or the left, gives the intervals
+of all longer phrases with their counts.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import count
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -24,29 +23,42 @@ from pyspark.sql import functions as F
 
 from tablewright.llm import query
 from tablewright.llm.documents import documents
-from tablewright.llm.durable import durable, rank_of_keys, stored
+from tablewright.llm.durable import durable, rank_of_keys, shuffle_partitions, stored
 
-#: Words per shard. The counts do not depend on it.
-SHARD_WORDS = 1 << 20
+#: Bytes of text per shard. The counts do not depend on it.
+SHARD_BYTES = 1 << 22
 #: Bits of the filter of frequent phrases. Longer phrases that it lets through in error are counted and then leave.
 FILTER_BITS = 25
 
-#: Phrases in a batch that leaves a shard.
-_AT_ONCE = 1 << 15
+#: Phrases in a batch that leaves a shard, and texts taken from a batch that comes.
+_AT_ONCE, _TEXTS = 1 << 15, 256
 
 _BREAK = b"\xff"  # occurs in no UTF-8 text
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _BYTES = bytes.maketrans(bytes(range(65, 91)) + _BREAKS + b"\t", bytes(range(97, 123)) + _BREAK * len(_BREAKS) + b" ")
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """The words of a text in order, and a break after each piece."""
-    spaced = text.translate(_BYTES).replace(_BREAK, b" " + _BREAK + b" ")
-    return [*spaced.split(), _BREAK]
+def spaced(text: bytes) -> bytes:
+    """The words of a text and the breaks between its pieces, with spaces between them; a break at the end."""
+    return text.translate(_BYTES).replace(_BREAK, b" " + _BREAK + b" ") + b" " + _BREAK
+
+
+def tokens(texts: list[bytes]) -> tuple[np.ndarray, list[int], pa.Array]:
+    """Of spaced texts: a number per word or break, how many each text has, and the words by number."""
+    lists = pc.split_pattern(pa.array(texts, pa.binary()), b" ")
+    coded = lists.flatten().dictionary_encode()
+    number, word = coded.indices.to_numpy(), coded.dictionary
+    ends = lists.offsets.to_numpy()
+    nothing = pc.index(word, pa.scalar(b"", pa.binary())).as_py()
+    if nothing >= 0:  # between two spaces
+        real = number != nothing
+        ends = np.concatenate(([0], np.cumsum(real)))[ends]
+        number = number[real]
+    return number.astype(np.int64), np.diff(ends).tolist(), word
 
 
 def suffix_order(words: np.ndarray, depth: int) -> np.ndarray:
-    """Positions in the order of the ``depth`` words that begin there; rows that agree on them stay in text order.
+    """Positions in the order of the ``depth`` words that begin there.
 
     By prefix doubling: ranks by h words and those h positions further on give ranks by 2h.
     What lies beyond the end sorts first.
@@ -58,23 +70,27 @@ def suffix_order(words: np.ndarray, depth: int) -> np.ndarray:
         beyond = np.zeros(n, np.int64)
         beyond[: n - step] = rank[step:] + 1
         key = rank * (int(rank.max()) + 2) + beyond
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.concatenate(([0], ordered[1:] != ordered[:-1])))
         reach += step
-    return np.argsort(rank, kind="stable") if order is None else order
+    return np.argsort(rank) if order is None else order
 
 
 class Direction:
-    """One half of the index: the word before each row, and the row of the position one word back."""
+    """One half of the index, for phrases of up to ``depth`` words: the word before each row."""
 
     def __init__(self, words: np.ndarray, depth: int):
         order = suffix_order(words, depth)
         self.before = words[order - 1]  # position 0 is preceded by the last word, a break
-        back = np.argsort(self.before, kind="stable")
-        self.back = np.empty(len(words), np.int64)
-        self.back[back] = np.arange(len(words))
+
+    @cached_property
+    def back(self) -> np.ndarray:
+        """Per row that of the position one word back: rows keep their order within a word."""
+        out = np.empty(len(self.before), np.int64)
+        out[np.argsort(self.before, kind="stable")] = np.arange(len(out))
+        return out
 
 
 @dataclass
@@ -94,21 +110,33 @@ class Phrases:
 
 
 class ShardIndex:
-    """Both directions over a shard's numbered words; 0 is the break, which begins and ends the sequence."""
+    """Both directions over a shard's numbered words; 0 is the break, which begins and ends the sequence.
+
+    ``left`` and ``right`` are the lengths of the longest phrases to be extended to that side.
+    """
 
-    def __init__(self, words: np.ndarray, n_words: int, depth: int):
-        self.n_words = n_words
+    def __init__(self, words: np.ndarray, n_words: int, left: int, right: int):
+        self.words, self.n_words, self.left, self.right = words, n_words, left, right
         self.firsts = np.concatenate(([0], np.cumsum(np.bincount(words, minlength=n_words))))
-        self.to_left = Direction(words, depth)
-        self.to_right = Direction(np.ascontiguousarray(words[::-1]), depth)
+
+    @cached_property
+    def to_left(self) -> Direction:
+        return Direction(self.words, self.left)
+
+    @cached_property
+    def to_right(self) -> Direction:
+        return Direction(np.ascontiguousarray(self.words[::-1]), self.right)
 
     def single(self) -> Phrases:
         ids = np.arange(1, self.n_words)
         begin, n = self.firsts[1:-1], np.diff(self.firsts)[1:]
         return Phrases(ids[:, None], begin, begin, n).where(n > 0)
 
-    def extend(self, phrases: Phrases, right: bool) -> Phrases:
-        """All phrases that are one of these and one more word to its right (or left)."""
+    def extend(self, phrases: Phrases, right: bool, once: bool = False) -> Phrases:
+        """All phrases that are one of these and one more word to its right (or left).
+
+        With ``once`` their rows on that side are not found, so they cannot be extended there.
+        """
         index = self.to_right if right else self.to_left
         begin, other = (phrases.backward, phrases.forward) if right else (phrases.forward, phrases.backward)
         if not len(phrases):
@@ -117,17 +145,16 @@ class ShardIndex:
         before = np.concatenate(([0], np.cumsum(phrases.count)))
         parent = np.repeat(np.arange(len(phrases)), phrases.count)
         rows = np.arange(before[-1]) + (begin - before[:-1])[parent]
-        word = index.before[rows]
         # Rows in the order of parent and word; equal ones are one new interval, whose rows lie side by side.
-        key = parent * self.n_words + word
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
+        key = parent * self.n_words + index.before[rows]
+        order = None if once else np.argsort(key, kind="stable")
+        ordered = np.sort(key) if once else key[order]
         heads = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-        first = order[heads]
         n = np.diff(np.concatenate((heads, [len(ordered)])))
-        parent, word = parent[first], word[first]
+        parent, word = np.divmod(ordered[heads], self.n_words)
         # In the other direction the new interval begins after those of smaller words.
-        moved, stepped = other[parent] + heads - before[parent], index.back[rows[first]]
+        moved = other[parent] + heads - before[parent]
+        stepped = np.full(len(heads), -1) if once else index.back[rows[order[heads]]]
         old = phrases.words[parent]
         words = np.hstack((old, word[:, None])) if right else np.hstack((word[:, None], old))
         forward, backward = (moved, stepped) if right else (stepped, moved)
@@ -146,62 +173,67 @@ def gram_hash(word_hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _word_hash(group: str, word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word, xxhash.xxh32_intdigest(group.encode()))
+def word_hashes(group: str, words: list[bytes]) -> np.ndarray:
+    seed, digest = xxhash.xxh32_intdigest(group.encode()), xxhash.xxh64_intdigest
+    return np.array([digest(w, seed) for w in words], np.uint64)
 
 
 _COLUMNS = ["group", "phrase", "words", "n"]
 
 
 class Shards:
-    """Cuts batches of (group, text) into shards and yields the counts of their phrases."""
+    """Cuts batches of (group, text) into shards and yields the counts of their phrases.
+
+    ``lengths`` are the lengths to count; a row of length 0 has a shard's words of a group if
+    length 1 is counted.
+    """
 
-    def __init__(self, lengths: Sequence[int], filters: dict[int, np.ndarray], shard_words: int):
-        self.lengths, self.filters, self.shard_words = lengths, filters, shard_words
+    def __init__(self, lengths: Sequence[int], filters: dict[int, np.ndarray], shard_bytes: int):
+        self.lengths, self.filters, self.shard_bytes = lengths, filters, shard_bytes
         self.depth = max(lengths)
         self.clear()
 
     def clear(self) -> None:
-        numbers = count(1)
-        self.numbers = defaultdict(lambda: defaultdict(numbers.__next__))
-        self.parts: list[np.ndarray] = [np.zeros(1, np.int64)]
+        self.parts: list[tuple[str, bytes]] = []
         self.size = 0
 
     def add(self, group: str, text: bytes) -> Iterator[pa.RecordBatch]:
-        """A piece that does not fit is continued in the next shard, which repeats its last words.
+        """A text that does not fit is continued in the next shard, which repeats its last words.
 
         What the repeated words count among themselves is taken off again.
         """
-        found = tokens(text)
-        at, overlap = 0, self.depth - 1
-        while at < len(found):
-            numbers = self.numbers[group]
-            numbers[_BREAK] = 0
-            part = found[at:at + self.shard_words]
-            self.parts.append(np.fromiter(map(numbers.__getitem__, part), np.int64, len(part)))
+        rest = spaced(text)
+        while rest:
+            part, rest = rest, b""
+            if len(part) > self.shard_bytes:
+                cut = part.rfind(b" ", 0, self.shard_bytes)
+                cut = part.find(b" ", self.shard_bytes) if cut <= 0 else cut
+                tail = self.tail(part[:cut]) if cut > 0 else []
+                following = b" ".join([*tail, part[cut + 1:]])
+                if cut > 0 and len(following) < len(part):
+                    part, rest = part[:cut] + b" " + _BREAK, following
+                    for n in self.lengths:
+                        yield from self.corrections(group, [tail[i:i + n] for i in range(len(tail) - n + 1)])
+            self.parts.append((group, part))
             self.size += len(part)
-            at += len(part)
-            if at < len(found):
-                tail = part[len(part) - overlap:] if overlap else []
-                if _BREAK in tail:
-                    tail = tail[len(tail) - tail[::-1].index(_BREAK):]
-                at -= len(tail)
-                for n in self.lengths:
-                    # Only what this level emits: phrases the filter refuses are refused in every shard.
-                    yield from self.corrections(group, [tail[i:i + n] for i in range(len(tail) - n + 1)])
-            if self.size >= self.shard_words:
+            if self.size >= self.shard_bytes:
                 yield from self.emit()
 
+    def tail(self, part: bytes) -> list[bytes]:
+        """The last words of a part's last piece that a phrase may begin with and go on behind."""
+        words = part.rsplit(None, self.depth - 1)[1:] if self.depth > 1 else []
+        if len(words) < self.depth - 1:
+            words = part.split()[-(self.depth - 1):] if self.depth > 1 else []
+        return words[len(words) - words[::-1].index(_BREAK):] if _BREAK in words else words
+
     def corrections(self, group: str, phrases: list[list[bytes]]) -> Iterator[pa.RecordBatch]:
-        phrases = [p for p in phrases if self.allowed_words(group, p)]
-        if phrases:
+        phrases = [p for p in phrases if self.allowed(word_hashes(group, p)[None, :])[0]]
+        counts = [(b" ".join(p), len(p)) for p in phrases]
+        counts += [(b"", 0)] * sum(len(p) == 1 for p in phrases)
+        if counts:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([group] * len(phrases)), pa.array([b" ".join(p) for p in phrases]).cast(pa.string()),
-                 pa.array([len(p) for p in phrases], pa.int32()), pa.array([-1] * len(phrases), pa.int64())], _COLUMNS)
-
-    def allowed_words(self, group: str, phrase: list[bytes]) -> bool:
-        hashes = np.array([[_word_hash(group, w) for w in phrase]], np.uint64)
-        return bool(self.allowed(hashes)[0])
+                [pa.array([group] * len(counts)), pa.array([p for p, _ in counts], pa.binary()).cast(pa.string()),
+                 pa.array([n for _, n in counts], pa.int32()), pa.array([-1] * len(counts), pa.int64())], _COLUMNS)
 
     def allowed(self, hashes: np.ndarray) -> np.ndarray:
         """Phrases whose parts, one word shorter, may all be frequent."""
@@ -215,47 +247,70 @@ class Shards:
         at = gram_hash(hashes) & np.uint64(len(bits) * 64 - 1)
         return (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
 
+    def numbered(self) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, pa.Array]:
+        """The shard's sequence, its groups, and per number the group and the word; one word of two groups is two."""
+        groups = sorted({g for g, _ in self.parts})
+        place = {g: i for i, g in enumerate(groups)}
+        number, sizes, word = tokens([p for _, p in self.parts])
+        group = np.repeat([place[g] for g, _ in self.parts], sizes)
+        if len(groups) * len(word) <= 1 << 24:
+            key = group * len(word) + number
+            seen = np.zeros(len(groups) * len(word), bool)
+            seen[key] = True
+            known = np.flatnonzero(seen)
+            number = (np.cumsum(seen) - 1)[key]
+        else:
+            known, number = np.unique(group * len(word) + number, return_inverse=True)
+        group, at = np.divmod(known, len(word))
+        breaks = at == pc.index(word, pa.scalar(_BREAK, pa.binary())).as_py()
+        # The break of any group is 0, words are numbered from 1.
+        name = np.where(breaks, 0, np.cumsum(~breaks))
+        sequence = np.concatenate(([0], name[number], [0]))
+        return sequence, groups, group[~breaks], at[~breaks], word
+
     def emit(self) -> Iterator[pa.RecordBatch]:
-        if not self.size:
+        if not self.parts:
             return
-        words = np.concatenate(self.parts)
-        if words[-1]:
-            words = np.append(words, 0)
-        names = [("", _BREAK)]
-        for group, numbers in self.numbers.items():
-            names += [(group, w) for w in numbers if w != _BREAK]
-        of = np.zeros(len(names), np.int64)
-        of[1:] = [self.numbers[g][w] for g, w in names[1:]]
-        at = np.empty(len(names), np.int64)
-        at[of] = np.arange(len(names))
-        groups = pa.array([g for g, _ in names]).take(pa.array(at))
-        texts = pa.array([w for _, w in names], pa.binary()).take(pa.array(at))
-        hashes = np.array([_word_hash(*names[i]) for i in at.tolist()], np.uint64) if self.filters else None
-        index = ShardIndex(words, len(names), self.depth)
+        sequence, groups, of_group, at, word = self.numbered()
         self.clear()
+        texts, names = word.take(pa.array(at)), pa.array(groups)
+        hashes = None
+        if self.filters:
+            hashes = np.zeros(len(at) + 1, np.uint64)
+            for k, group in enumerate(groups):
+                mine = np.flatnonzero(of_group == k)
+                hashes[mine + 1] = word_hashes(group, texts.take(pa.array(mine)).to_pylist())
+        if 1 in self.lengths:
+            n = np.bincount(of_group[sequence[sequence > 0] - 1], minlength=len(groups))
+            yield pa.RecordBatch.from_arrays([names, pa.array([""] * len(groups)), pa.array([0] * len(groups), pa.int32()),
+                                              pa.array(n.astype(np.int64))], _COLUMNS)
+        # Even lengths come from extending to the right, odd ones to the left.
+        index = ShardIndex(sequence, len(at) + 1, left=max(1, self.depth - 1), right=max(1, self.depth - 1 - self.depth % 2))
         phrases = index.single()
         for n in range(1, self.depth + 1):
             if n > 1:
                 if n - 1 in self.filters:
                     phrases = phrases.where(self.frequent(hashes[phrases.words]))
-                phrases = index.extend(phrases, right=n % 2 == 0)
+                phrases = index.extend(phrases, right=n % 2 == 0, once=n + 2 > self.depth)
                 if n - 1 in self.filters:
                     phrases = phrases.where(self.allowed(hashes[phrases.words]))
             for start in range(0, len(phrases) if n in self.lengths else 0, _AT_ONCE):
                 some = phrases.where(slice(start, start + _AT_ONCE))
-                columns = [texts.take(pa.array(some.words[:, k])) for k in range(n)]
+                columns = [texts.take(pa.array(some.words[:, k] - 1)) for k in range(n)]
                 joined = pc.binary_join_element_wise(*columns, b" ") if n > 1 else columns[0]
                 yield pa.RecordBatch.from_arrays(
-                    [groups.take(pa.array(some.words[:, 0])), joined.cast(pa.string()),
+                    [names.take(pa.array(of_group[some.words[:, 0] - 1])), joined.cast(pa.string()),
                      pa.array(np.full(len(some), n, np.int32)), pa.array(some.count.astype(np.int64))], _COLUMNS)
 
 
-def _shard_batches(lengths: Sequence[int], filters, shard_words: int):
+def _shard_batches(lengths: Sequence[int], filters, shard_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shards = Shards(lengths, filters.value if filters is not None else {}, shard_words)
-        for batch in batches:
-            for group, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-                yield from shards.add(group, text)
+        shards = Shards(lengths, filters.value if filters is not None else {}, shard_bytes)
+        for whole in batches:
+            for at in range(0, whole.num_rows, _TEXTS):
+                batch = whole.slice(at, _TEXTS)
+                for group, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+                    yield from shards.add(group, text)
         yield from shards.emit()
 
     return run
@@ -264,7 +319,7 @@ def _shard_batches(lengths: Sequence[int], filters, shard_words: int):
 def _filter_bits(n_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = np.array([[_word_hash(g, w) for w in p.split(b" ")] for g, p in zip(
+            hashes = np.array([word_hashes(g, p.split(b" ")) for g, p in zip(
                 batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist())], np.uint64)
             if len(hashes):
                 at = gram_hash(hashes) & np.uint64(2**n_bits - 1)
@@ -284,7 +339,7 @@ def frequency_filter(phrases: DataFrame, n_bits: int = FILTER_BITS) -> np.ndarra
     return out
 
 
-def phrase_counts(texts: DataFrame, max_words: int = 3, min_count: int = 10, shard_words: int = SHARD_WORDS,
+def phrase_counts(texts: DataFrame, max_words: int = 3, min_count: int = 10, shard_bytes: int = SHARD_BYTES,
                   filter_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
     """Counts of a table (group, text): phrases (group, phrase, words, f) with f >= ``min_count``, and (group, n) words.
 
@@ -293,27 +348,25 @@ def phrase_counts(texts: DataFrame, max_words: int = 3, min_count: int = 10, sha
     frequent. Which those are the shards learn from a filter of fixed size; it decides alike
     in every shard, so sums stay exact, and the fuller it is the more rows are summed in vain.
     """
-    if not 6 <= filter_bits <= 32 or max_words < 1 or min_count < 1 or shard_words < max_words:
-        raise ValueError("filter_bits must be 6 to 32, max_words and min_count at least 1, shard_words at least max_words")
+    if not 6 <= filter_bits <= 32 or max_words < 1 or min_count < 1 or shard_bytes < 1:
+        raise ValueError("filter_bits must be 6 to 32; max_words, min_count and shard_bytes at least 1")
     context = texts.sparkSession.sparkContext
 
     def summed(lengths: list[int], filters: dict[int, np.ndarray]) -> DataFrame:
         shared = context.broadcast(filters) if filters else None
-        rows = texts.mapInArrow(_shard_batches(lengths, shared, shard_words), "group string, phrase string, words int, n long")
-        return rows.groupBy("group", "phrase", "words").agg(F.sum("n").alias("f"))
-
-    first = list(range(1, min(2, max_words) + 1))
-    # Of rare phrases only the sum is kept, which for words is part of their group's total.
-    common = F.when(F.col("f") >= min_count, F.col("phrase")).alias("phrase")
-    sums = stored(summed(first, {}).groupBy("group", "words", common).agg(F.sum("f").alias("f")), "phrases")
-    totals = sums.filter("words = 1").groupBy("group").agg(F.sum("f").alias("n"))
-    frequent = sums.filter("phrase IS NOT NULL")
+        rows = texts.mapInArrow(_shard_batches(lengths, shared, shard_bytes), "group string, phrase string, words int, n long")
+        # A shard has summed its own, and most phrases are in few: they are summed once, after the shuffle.
+        dealt = rows.repartition(shuffle_partitions(texts), "group", "phrase", "words")
+        sums = dealt.groupBy("group", "phrase", "words").agg(F.sum("n").alias("f"))
+        return stored(sums.filter((F.col("f") >= min_count) | (F.col("words") == 0)), "phrases")
+
+    first = summed(list(range(1, min(2, max_words) + 1)), {})
+    totals = first.filter("words = 0").select("group", F.col("f").alias("n"))
+    frequent = first.filter("words > 0")
     filters: dict[int, np.ndarray] = {}
     for n in range(3, max_words + 1):
         filters[n - 1] = frequency_filter(frequent.filter(F.col("words") == n - 1), filter_bits)
-        more = stored(summed([n], filters).filter(F.col("f") >= min_count)
-                      .select("group", "phrase", "words", "f"), "phrases")
-        frequent = frequent.unionByName(more)
+        frequent = frequent.unionByName(summed([n], filters))
     return frequent.select("group", "phrase", "words", "f"), totals
 
 

@@ -13,6 +13,7 @@ from tablewright.llm.phrases import (
     collocations,
     op13_phrase_collocations,
     phrase_counts,
+    spaced,
     suffix_order,
     tokens,
 )
@@ -80,45 +81,54 @@ def test_suffix_order_and_intervals():
         words = np.concatenate(([0], rng.integers(0, 5, 200), [0]))
         order = suffix_order(words, depth)
         padded = [*words.tolist(), *[-1] * depth]
-        assert order.tolist() == sorted(range(len(words)), key=lambda i: (padded[i:i + depth], i))
-        index = ShardIndex(words, 5, depth)
-        phrases = index.single()
-        for n in range(1, depth + 1):
-            if n > 1:
-                phrases = index.extend(phrases, right=bool(rng.integers(2)))
-            seen = Counter(tuple(words[i:i + n].tolist()) for i in range(len(words) - n + 1) if words[i:i + n].all())
-            assert {tuple(w): c for w, c in zip(phrases.words.tolist(), phrases.count.tolist())} == seen
-            for w, at, c in zip(phrases.words.tolist(), phrases.forward.tolist(), phrases.count.tolist()):
-                assert {tuple(padded[i:i + n]) for i in order[at:at + c].tolist()} == {tuple(w)}
+        begins = [padded[i:i + depth] for i in order.tolist()]
+        assert sorted(order.tolist()) == list(range(len(words))) and begins == sorted(begins)
+        for once in (False, True):
+            index = ShardIndex(words, 5, depth, depth)
+            phrases = index.single()
+            for n in range(1, depth + 1):
+                if n > 1:  # side by side, the last two need no rows of their own
+                    phrases = index.extend(phrases, right=n % 2 == 0 if once else bool(rng.integers(2)), once=once and n + 2 > depth)
+                seen = Counter(tuple(words[i:i + n].tolist()) for i in range(len(words) - n + 1) if words[i:i + n].all())
+                assert {tuple(w): c for w, c in zip(phrases.words.tolist(), phrases.count.tolist())} == seen
+                for w, at, c in () if once else zip(phrases.words.tolist(), phrases.forward.tolist(), phrases.count.tolist()):
+                    assert {tuple(padded[i:i + n]) for i in order[at:at + c].tolist()} == {tuple(w)}
 
 
 def test_tokens():
-    for text in ["", " ", "A b\tc", "x.Y,z", "É b\x1cc\x85d e", "a\x00b \x0b c"]:
-        flat = [w for p in pieces(text) for w in p]
-        assert [t.decode() for t in tokens(text.encode()) if t != b"\xff"] == flat, text
-
-
-@pytest.mark.parametrize("shard_words", [3, 4, 7, 50, 10**6])
-def test_counts_do_not_depend_on_the_shards(shard_words):
-    rows = [(g or "und", t) for g, t in some_texts(n=40)] + [("en", "a b " * 200), ("de", "x"), ("en", "")]
+    texts = ["", " ", "A b\tc", "x.Y,z", "É b\x1cc\x85d e", "a\x00b \x0b c"]
+    number, sizes, word = tokens([spaced(t.encode()) for t in texts])
+    flat, at = word.take(number).to_pylist(), 0
+    for text, size in zip(texts, sizes):
+        assert [w.decode() for w in flat[at:at + size] if w != b"\xff"] == [w for p in pieces(text) for w in p], text
+        assert flat[at + size - 1] == b"\xff"
+        at += size
+    assert at == len(flat)
+
+
+@pytest.mark.parametrize("shard_bytes", [1, 5, 9, 40, 300, 10**6])
+def test_counts_do_not_depend_on_the_shards(shard_bytes):
+    rows = [(g or "und", t) for g, t in some_texts(n=40)] + [("en", "a b " * 200), ("de", "x"), ("en", ""), ("en", "longword" * 9)]
     expected = counts_by_hand(rows)
+    n_words = {g: sum(c for p, c in f.items() if " " not in p) for g, f in expected.items()}
     for lengths in ([1, 2], [3], [1, 2, 3]):
-        shards, found = Shards(lengths, {}, shard_words), defaultdict(Counter)
+        shards, found = Shards(lengths, {}, shard_bytes), defaultdict(Counter)
         batches = [b for g, t in rows for b in shards.add(g, t.encode())] + list(shards.emit())
         for b in batches:
             for row in b.to_pylist():
-                assert row["words"] == len(row["phrase"].split(" ")) in lengths
+                assert row["words"] == len(row["phrase"].split(" ")) in lengths or (row["words"] == 0 and row["phrase"] == "")
                 found[row["group"]][row["phrase"]] += row["n"]
         for g, f in expected.items():
+            assert found[g].pop("", 0) == (n_words[g] if 1 in lengths else 0)
             assert {p: c for p, c in found[g].items() if c} == {p: c for p, c in f.items() if len(p.split(" ")) in lengths}
 
 
-@pytest.mark.parametrize("longest, least, bits, shard_words", [(2, 3, 25, 1 << 20), (3, 4, 6, 40), (4, 3, 20, 100)])
-def test_frequent_phrases_equal_plain_counts(spark, longest, least, bits, shard_words):
+@pytest.mark.parametrize("longest, least, bits, shard_bytes", [(2, 3, 25, 1 << 20), (3, 4, 6, 40), (4, 3, 20, 100)])
+def test_frequent_phrases_equal_plain_counts(spark, longest, least, bits, shard_bytes):
     """A filter of 64 bits is full and lets everything through; counts stay as they are."""
     rows = some_texts(n=120)
     df = spark.createDataFrame([(g or "und", t) for g, t in rows], "group string, text string")
-    frequent, totals = phrase_counts(df, longest, least, shard_words, bits)
+    frequent, totals = phrase_counts(df, longest, least, shard_bytes, bits)
     expected = counts_by_hand(rows, longest)
     assert {(r.group, r.phrase): (r.words, r.f) for r in frequent.collect()} == {
         (g, p): (len(p.split(" ")), c) for g, f in expected.items() for p, c in f.items() if c >= least}
@@ -132,7 +142,7 @@ def test_collocations_equal_brute_force(spark, longest, least, percent, top):
     df = spark.createDataFrame(rows, "lang string, text string")
     expected = by_hand(rows, longest, least, percent, top)
     assert len(expected) > 10
-    assert result(collocations(df, max_words=longest, min_count=least, percent=percent, top=top, shard_words=500)) == expected
+    assert result(collocations(df, max_words=longest, min_count=least, percent=percent, top=top, shard_bytes=500)) == expected
 
 
 def test_large_products_are_exact(spark):
@@ -149,7 +159,7 @@ def test_awkward_rows(spark, awkward, nothing):
     assert result(collocations(awkward, min_count=2, top=5)) == by_hand(rows, least=2, top=5)
     assert collocations(nothing).count() == 0
     with pytest.raises(ValueError):
-        collocations(awkward, shard_words=2)
+        collocations(awkward, shard_bytes=0)
 
 
 def test_query_equals_sql(spark, folder):
