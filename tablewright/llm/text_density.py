@@ -20,7 +20,7 @@ figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu n
 section summary table tbody td tfoot th thead tr ul""".split())
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 _NEVER = frozenset("""head script style noscript template iframe object embed svg canvas math map audio video button
-select textarea input form nav footer aside menu dialog title noembed noframes""".split())
+select textarea input nav footer aside menu dialog title noembed noframes""".split())
 _ENDS_P = _BLOCK - {"body", "html"}
 _ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -28,11 +28,15 @@ _ENDS = {
     "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}), "option": ({"option"}, {"select", "optgroup"}),
     "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
 }
-#: Words in class, id or role that mark what is no part of an article; "has-menu" and the like say where one is.
+#: Words in class, id or role that mark what is no part of an article; "has-menu" and the like say where one is,
+#: "menu-closed" and the like in what state.
 _MARKED = re.compile(r"""(?:^|\s)sidebar\w*|(?:^|[\s_-])(?<!no-)(?<!has-)(?<!with-)(?:ads?|advert\w*|sponsor\w*|banner|promo\w*|menu\w*|nav\w*|
     breadcrumbs?|footer|masthead|toolbar|cookies?|consent|gdpr|notice|notification|alert|popup|modal|overlay|newsletter|subscri\w*|
     signup|login|search|share|sharing|social|comments?|disqus|respond|reply|replies|related|recommend\w*|widget|
-    complementary|contentinfo|navigation|skip|pagination|pager)(?:$|[\s_-])""", re.X | re.I)
+    complementary|contentinfo|navigation|skip|pagination|pager)(?:$|[\s_-])
+    (?!(?<=[_-])(?:open|opened|closed?|enabled|disabled|on|off|active|inactive|visible|collapsed|expanded)(?:$|\s))""", re.X | re.I)
+#: A marked subtree stays if it holds that many times the text that is marked nowhere.
+_MOST = 10
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 _OPEN = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
@@ -43,18 +47,23 @@ _ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?:\s*+=\s*+
 class Node:
     """An element: its own direct text pieces and children in order, and subtree counts."""
 
-    __slots__ = ("tag", "parent", "parts", "drop", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "drop", "marked", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, drop: bool):
-        self.tag, self.parent, self.drop = tag, parent, drop
+    def __init__(self, tag: str, parent: Node | None, drop: bool, marked: bool = False):
+        self.tag, self.parent, self.drop, self.marked = tag, parent, drop, marked
         self.parts: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def _dropped(tag: str, attributes: str, within: bool) -> bool:
+def _dropped(tag: str, within: bool) -> bool:
     """``within``: an article or main element is open."""
-    if tag in _NEVER or (tag == "header" and not within):
+    return tag in _NEVER or (tag == "header" and not within)
+
+
+def _marked(tag: str, attributes: str) -> bool:
+    """Forms, what is hidden, and what a class, id or role names as something else than an article."""
+    if tag == "form":
         return True
     if not attributes or tag in ("html", "body", "main", "article"):
         return False
@@ -67,6 +76,49 @@ def _dropped(tag: str, attributes: str, within: bool) -> bool:
     return False
 
 
+def _nodes(root: Node) -> list[Node]:
+    """All nodes in page order, parents first."""
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo.extend(p for p in reversed(node.parts) if isinstance(p, Node))
+    return order
+
+
+def prune(root: Node) -> Node:
+    """Cuts marked subtrees, but for those that hold the article.
+
+    Those are subtrees with an article or main element inside, and those with far more text
+    of their own (outside links and further marked subtrees), or of such a one inside, than the
+    page has unmarked.
+    """
+    order = _nodes(root)
+    own, most, holds, links = {}, {}, {}, {id(root): False}
+    for node in order[1:]:
+        links[id(node)] = links[id(node.parent)] or node.tag == "a"
+    for node in reversed(order):
+        text = 0 if links[id(node)] else sum(len(p) - p.count(" ") - p.count("\n") for p in node.parts if isinstance(p, str))
+        inner = [p for p in node.parts if isinstance(p, Node)]
+        own[id(node)] = text + sum(own[id(p)] for p in inner if not p.marked)
+        most[id(node)] = max([own[id(node)], *(most[id(p)] for p in inner)])
+        holds[id(node)] = node.tag in ("article", "main") or any(holds[id(p)] for p in inner)
+    free = own[id(root)]  # what is kept in any case
+
+    def stays(node: Node) -> bool:
+        nonlocal free
+        if not node.marked:
+            return True
+        if holds[id(node)] or most[id(node)] > _MOST * free:
+            free += own[id(node)]
+            return True
+        return False
+
+    for node in order:
+        node.parts = [p for p in node.parts if isinstance(p, str) or stays(p)]
+    return root
+
+
 def parse(page: str) -> Node:
     """The element tree of a page in one pass; unclosed elements end where HTML lets them."""
     root = Node("html", None, False)
@@ -124,7 +176,8 @@ def parse(page: str) -> Node:
                 if len(stack) == before:
                     break
         parent = stack[-1]
-        node = Node(tag, parent, parent.drop or _dropped(tag, attributes, bool(places.get("article") or places.get("main"))))
+        drop = parent.drop or _dropped(tag, bool(places.get("article") or places.get("main")))
+        node = Node(tag, parent, drop, not drop and _marked(tag, attributes))
         if not node.drop:
             parent.parts.append(node)
         if tag in _RAW:
@@ -140,11 +193,7 @@ def parse(page: str) -> Node:
 
 def _measure(root: Node) -> list[Node]:
     """Subtree counts and densities; nodes in page order, parents first."""
-    order, todo = [], [root]
-    while todo:
-        node = todo.pop()
-        order.append(node)
-        todo.extend(p for p in reversed(node.parts) if isinstance(p, Node))
+    order = _nodes(root)
     for node in reversed(order):
         node.chars += sum(len(p) - p.count(" ") - p.count("\n") for p in node.parts if isinstance(p, str))
         if node.tag == "a":
@@ -245,7 +294,7 @@ def blocks(nodes: list[Node]) -> list[str]:
 
 def main_text(page: str) -> str:
     """The article of a page: its blocks, two line feeds between them; empty if there is none."""
-    order = _measure(parse(page))
+    order = _measure(prune(parse(page)))
     return "\n\n".join(blocks(select(order)))
 
 
@@ -260,9 +309,10 @@ def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def extract_main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text, n_chars): the article of each page, one row per row, in one narrow pass.
 
-    Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and what is
-    hidden are cut from the tree by element, role, class and id; then composite text
-    density chooses among what is left. A page is read once from start to end, so time and
+    Menus, headers, footers, controls and scripts are cut from the tree by element; forms,
+    what is hidden, and what role, class or id name as sidebars, notices, adverts or comments
+    are cut unless they hold the article, as a form around the whole page does; then composite
+    text density chooses among what is left. A page is read once from start to end, so time and
     memory grow with its length alone. Null html counts as empty and gives an empty text;
     so does a page without text. Ids and urls may repeat or be null. Other columns are not
     read; an empty table gives an empty result.

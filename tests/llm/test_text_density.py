@@ -24,6 +24,25 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+STORY = "<h1>Title</h1>" + "".join(f"<p>Sentence {i} of the article has quite a few plain words in it.</p>" for i in range(12))
+
+
+@pytest.mark.parametrize("begin, end", [
+    ("<form id=aspnetForm>", "</form>"), ("<form method=post action=/x>", ""), ('<div class="page menu-closed">', "</div>"),
+    ("<div id=wrap class='search-enabled'>", "</div>"), ('<div class="post comments-open">', "</div>"),
+    ("<div id=modal-root>", "</div>"), ("<div class='widget'><div class='share'>", "</div></div>"), ("<div class=search><main>", "</main></div>")])
+def test_a_wrapper_around_the_page_does_not_lose_the_article(begin, end):
+    page = (f"<body>{begin}<nav><a href=x>Home</a></nav><div id=content>{STORY}<form><p>Your name</p><input></form></div>"
+            f"<div class='comments'><p>I liked reading this very much.</p></div><div class=sidebar><p>Most read today</p></div>{end}</body>")
+    assert main_text(page) == "\n\n".join(["Title"] + [f"Sentence {i} of the article has quite a few plain words in it." for i in range(12)])
+
+
+def test_long_comments_do_not_replace_an_article():
+    thread = "".join(f"<p>Comment {i} says something about the article at some length.</p>" for i in range(60))
+    page = f"<body><div>{STORY}</div><div id=comments>{thread}</div><div class='menu-closed'></div></body>"
+    assert "Comment" not in main_text(page) and "Sentence 11" in main_text(page)
+
+
 def test_links_weigh_less_than_text():
     menu = "".join(f"<p><a href={i}>chapter {i}</a></p>" for i in range(40))
     body = "".join(f"<p>{'words of the story go on ' * 12}</p>" for _ in range(6))
