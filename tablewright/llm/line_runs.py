@@ -67,7 +67,7 @@ def suffix_ranks(lines: DataFrame, depth: int) -> DataFrame:
 
 
 def run_copies(lines: DataFrame, min_lines: int, min_words: int) -> DataFrame:
-    """(key, at, lines): later copies of runs of ``min_lines`` lines, and of fewer that hold ``min_words`` words."""
+    """(key, at, lines, first): later copies of runs of ``min_lines`` lines, and of fewer that hold ``min_words`` words."""
     if min_lines < 1:
         raise ValueError("min_lines must be at least 1")
     first = _first_ranks(lines)
@@ -88,33 +88,37 @@ def run_copies(lines: DataFrame, min_lines: int, min_words: int) -> DataFrame:
 
 
 def later_copies(ranks: DataFrame) -> DataFrame:
-    """(key, at): all members of each interval but the earliest, by document and then position."""
+    """(key, at, first): all members of each interval but the earliest (key, at), by document and then position."""
     # Stored, so that the join meets two plain exchanges, of which Spark splits a hot interval's side.
     first = durable(ranks.groupBy("rank").agg(F.min(F.struct("key", "at")).alias("first")))
-    return ranks.join(first, "rank").filter(F.struct("key", "at") > F.col("first")).select("key", "at")
+    return ranks.join(first, "rank").filter(F.struct("key", "at") > F.col("first")).select("key", "at", "first")
 
 
-def delete_runs(
-    text: str, starts: list[int], depth: int, shorter: Sequence[tuple[int, int]] = (),
-) -> tuple[str, list[tuple[int, int]]]:
-    """The text without the runs of ``depth`` lines at these positions, and the runs joined up.
+def delete_runs(text: str, copies: Sequence[tuple[int, int, object]]) -> tuple[str, list[tuple[int, int]]]:
+    """The text without the lines of these copies, and the runs they are parts of.
 
-    ``shorter`` has (position, lines) of further runs. Positions count lines that hold a word. A
-    line without one goes with the line before it.
+    A copy is (position, lines, where). Copies that follow each other make one run as far as
+    what they are copied from follows each other as well: ``where`` names the text and the
+    line before which the position would begin, so it is the same all along a run.
+    Positions count lines that hold a word. A line without one goes with the line before it.
     """
-    begin, kept, runs = {}, [], []
-    for start, lines in [*((start, depth) for start in starts), *shorter]:
-        begin[start] = max(lines, begin.get(start, 0))
-    at, until = -1, 0
+    begin: dict[int, tuple[int, object]] = {}
+    for start, lines, where in copies:
+        if lines > begin.get(start, (0, None))[0]:
+            begin[start] = (lines, where)
+    runs, last = [], None
+    for at in sorted(begin):
+        lines, where = begin[at]
+        if runs and where == last and at <= sum(runs[-1]):
+            runs[-1] = (runs[-1][0], max(sum(runs[-1]), at + lines) - runs[-1][0])
+        elif not runs or at + lines > sum(runs[-1]):  # what lies within a run is no other one
+            runs.append((at, lines))
+            last = where
+    kept, at, until = [], -1, 0
     for line in text.split("\n"):
         if line.strip(" \t\n\x0b\x0c\r"):
             at += 1
-            if at in begin:
-                until = max(until, at + begin[at])
-                if runs and sum(runs[-1]) >= at:
-                    runs[-1] = (runs[-1][0], until - runs[-1][0])
-                else:
-                    runs.append((at, until - at))
+            until = max(until, at + begin[at][0]) if at in begin else until
         if at < 0 or at >= until:
             kept.append(line)
     return "\n".join(kept), runs
@@ -123,12 +127,12 @@ def delete_runs(
 _RUNS = pa.list_(pa.struct([("line", pa.int64()), ("lines", pa.int64())]))
 
 
-def _delete_batches(text_at: int, depth: int, out: str):
+def _delete_batches(text_at: int, out: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, removed = [], []
             for text, starts in zip(batch.column(text_at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
-                text, runs = delete_runs(text, [], depth, starts) if starts else (text, [])
+                text, runs = delete_runs(text, [(c["at"], c["lines"], (c["source"], c["before"])) for c in starts]) if starts else (text, [])
                 texts.append(text)
                 removed.append([{"line": a, "lines": n} for a, n in runs])
             columns = list(batch.columns)
@@ -146,9 +150,10 @@ def drop_repeated_runs(
 
     Any run of ``min_lines`` lines that occurs twice is a union of intervals of that depth, so doubling
     stops there; runs of fewer lines, down to one, are intervals of the rounds before and go if
-    they hold ``min_words`` words. So overlapping deletions join up to the maximal repeated runs,
-    listed in ``runs_col`` as (first line, lines), counting lines that hold a word. The
-    earliest occurrence stays, by id (null last), hash of the text and position; a run may
+    they hold ``min_words`` words. So overlapping deletions join up to the maximal runs, each of
+    which the corpus holds before in one piece: those are listed in ``runs_col`` as (first line,
+    lines), counting lines that hold a word. Runs from two places are two, side by side or
+    overlapping. The earliest occurrence stays, by id (null last), hash of the text and position; a run may
     repeat inside one document. Lines are equal when their bytes are.
 
     Counts per line and per pair combine before the shuffle; unique lines leave after the
@@ -163,12 +168,14 @@ def drop_repeated_runs(
     text = whole_text(text_col)
     key, starts = unused(df, "key"), unused(df, "starts")
     copies = run_copies(line_ids(df, id_col, text_col), min_lines, min_words)
-    per_document = copies.groupBy(F.col("key").alias(key)).agg(F.collect_list(F.array("at", "lines")).alias(starts))
+    source = F.xxhash64("first.key").alias("source")  # tells neighbouring runs apart
+    copy = F.struct("at", "lines", source, (F.col("first.at") - F.col("at")).alias("before"))
+    per_document = copies.groupBy(F.col("key").alias(key)).agg(F.collect_list(copy).alias(starts))
     fields = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns]
     rows = df.withColumn(key, document_key(id_col, text)).join(per_document, key, "left").select(*fields, starts)
     out = runs_col if runs_col not in df.columns else unused(df, runs_col)
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return rows.mapInArrow(_delete_batches(df.columns.index(text_col), min_lines, out),
+    return rows.mapInArrow(_delete_batches(df.columns.index(text_col), out),
                            f"{types}, `{out}` array<struct<line: bigint, lines: bigint>>")
 
 

@@ -49,9 +49,39 @@ def test_ranks_order_suffixes(spark):
     assert set().union(*starts.values()) == {tuple("abc"), tuple("bca"), tuple("cab")}
 
 
-def test_runs_join_up():
-    text, runs = delete_runs("k\na\n\nb\nc\nz", [1, 2], 2)
+def test_runs_join_up_where_their_sources_do():
+    text, runs = delete_runs("k\na\n\nb\nc\nz", [(1, 2, "x"), (2, 2, "x")])
     assert (text, runs) == ("k\nz", [(1, 3)])
+    assert delete_runs("a\nb\nc\nd", [(0, 2, "x"), (2, 2, "y")]) == ("", [(0, 2), (2, 2)])
+    assert delete_runs("a\nb\nc\nd", [(0, 1, "w"), (0, 2, "x"), (1, 2, "y"), (2, 2, "y")]) == ("", [(0, 2), (1, 3)])
+    assert delete_runs("a\nb\nc", [(0, 3, "x"), (1, 1, "y")]) == ("", [(0, 3)])
+
+
+def runs_by_hand(texts, depth):
+    """Per text the maximal runs copied in one piece from the first places of their windows."""
+    first, out = {}, []
+    for d, text in enumerate(texts):
+        lines = [line for line in (text or "").split("\n") if line.strip()]
+        found = []
+        for s in range(len(lines) - depth + 1):
+            place = first.setdefault(tuple(lines[s:s + depth]), (d, s))
+            if place != (d, s):
+                where = (place[0], place[1] - s)
+                if found and found[-1][2] == where and s <= found[-1][0] + found[-1][1]:
+                    found[-1] = (found[-1][0], s + depth - found[-1][0], where)
+                else:
+                    found.append((s, depth, where))
+        out.append([(a, n) for a, n, _ in found])
+    return out
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3])
+def test_runs_equal_a_scan(spark, depth):
+    rng = random.Random(20 + depth)
+    pieces = [[f"p{k}l{i}" for i in range(rng.randrange(1, 7))] for k in range(12)]
+    texts = ["\n".join(line for _ in range(rng.randrange(1, 6)) for line in rng.choice(pieces)) for _ in range(30)]
+    out = drop_repeated_runs(text_table(spark, texts), min_lines=depth, min_words=10**6).orderBy("doc_id").collect()
+    assert [[(r.line, r.lines) for r in row.removed_runs] for row in out] == runs_by_hand(texts, depth)
 
 
 def test_awkward_rows(awkward, nothing):
