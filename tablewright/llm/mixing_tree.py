@@ -16,6 +16,10 @@ from tablewright.llm.durable import durable, numbered, rank_of_keys, unused
 
 #: numpy draws exactly up to this population; beyond, the normal limit is used.
 _EXACT_POPULATION = 10**9
+#: Sources that the splitting tree treats one by one, and whose tables are broadcast.
+MAX_SOURCES = 100_000
+#: Groups that more sources are put in.
+_GROUPS = 1024
 #: Rows that share a bucket of a source's permutation, about.
 _BUCKET_ROWS = 8192
 
@@ -105,9 +109,20 @@ def _before(of: str, *partition: str) -> Column:
     return F.coalesce(F.sum(of).over(window), F.lit(0))
 
 
+def _last_start(shards: int) -> Column:
+    """The shard whose range holds the slot: the last start up to it, by halving steps."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(shards.bit_length()))])
+
+    def further(at: Column, step: Column) -> Column:
+        inside = (at + step <= shards) & (F.get("starts", at + step - 1) <= F.col("slot"))
+        return F.when(inside, at + step).otherwise(at)
+
+    return (F.aggregate(steps, F.lit(0), further) - 1).cast("long")
+
+
 def mix_sources(
     rows: DataFrame, sources: DataFrame, block_words: int = 256, shard_words: int = 1 << 24, seed: int = 42,
-    max_sources: int = 100_000,
+    max_sources: int = MAX_SOURCES,
 ) -> DataFrame:
     """Draws from (row, name, size, key) that bring sources (name, source_size, target) to their targets.
 
@@ -120,9 +135,11 @@ def mix_sources(
 
     Permutations are ranked by hash bucket: bucket totals are summed over buckets,
     and only blocks of one bucket are sorted together, so a source with most of the
-    blocks is many small sorts. Tables of one row per source are broadcast, and the driver
-    holds one number per source and shard; ``max_sources`` is their proven bound and
-    refuses tables whose sources are no mixture components.
+    blocks is many small sorts. Tables of one row per source are broadcast, and the tree on the
+    driver holds one number per source and shard, for up to ``max_sources`` sources. More
+    sources are joined by name, and share permutations by hash groups: what a group's permuted
+    range holds of each source is one draw from the same law, so the tree has a
+    leaf per group and shard, and the words taken of each source stay exact.
     """
     size, longest = F.col("size"), F.lit(block_words)
     plans = durable(sources.select("name", "source_size", "target").withColumn(
@@ -130,8 +147,13 @@ def mix_sources(
         "rest", F.floor(F.col("target") - F.col("passes") * F.col("source_size"))))
     n_sources, taken = plans.agg(
         F.count(F.lit(1)), F.coalesce(F.sum(F.col("passes") * F.col("source_size") + F.col("rest")), F.lit(0))).first()
-    if n_sources > max_sources:
-        raise ValueError(f"{n_sources} sources are more than max_sources = {max_sources}")
+    few = n_sources <= max_sources
+
+    def small(table: DataFrame) -> DataFrame:
+        return F.broadcast(table) if few else table
+
+    # What the tree calls a source.
+    unit = F.col("name") if few else F.pmod(F.xxhash64(F.lit(seed), "name"), F.lit(min(max_sources, _GROUPS))).cast("string")
     n_blocks = rows.agg(F.coalesce(F.sum(F.ceil(size / longest)), F.lit(0))).first()[0]
     bits = max(1, min(32, math.ceil(math.log2(max(2, n_blocks / _BUCKET_ROWS)))))
 
@@ -139,7 +161,7 @@ def mix_sources(
         return F.xxhash64(F.lit(seed), "key", "block", turn)
 
     bucket = F.shiftrightunsigned("order", 64 - bits)
-    blocks = (rows.filter(size > 0).join(F.broadcast(plans), "name")
+    blocks = (rows.filter(size > 0).join(small(plans), "name")
               .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((size - 1) / longest))))
               .withColumn("start", F.col("block") * longest).withColumn("length", F.least(longest.cast("long"), size - F.col("start")))
               .select("row", "name", "key", "block", "start", "length", "passes", "rest"))
@@ -148,27 +170,26 @@ def mix_sources(
     totals = part.groupBy("name", "bucket").agg(F.sum("length").alias("words"), F.first("rest").alias("rest"))
     cuts = (totals.withColumn("filled", _before("words", "name"))
             .filter("filled < rest AND filled + words >= rest").select("name", F.col("bucket").alias("cut"), "filled"))
-    part = part.join(F.broadcast(cuts), "name").filter("bucket <= cut")
+    part = part.join(small(durable(cuts)), "name").filter("bucket <= cut")
     within = Window.partitionBy("name").orderBy("order", "row", "block").rowsBetween(Window.unboundedPreceding, -1)
     last = part.filter("bucket = cut").withColumn("filled", F.col("filled") + F.coalesce(F.sum("length").over(within), F.lit(0)))
     last = last.withColumn("length", F.least("length", F.col("rest") - F.col("filled"))).filter("length > 0")
     columns = ["row", "name", "pass", "block", "start", "length", "order", "bucket"]
     slots = (whole.withColumn("order", order(F.col("pass"))).withColumn("bucket", bucket).select(*columns)
              .unionByName(part.filter("bucket < cut").select(*columns)).unionByName(last.select(*columns)))
-    slots = durable(slots)
-    counts = slots.groupBy("name", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    bases = counts.select("name", "bucket", _before("n", "name").alias("base"))
-    own = Window.partitionBy("name", "bucket").orderBy("order", "row", "pass", "block")
-    ranked = (slots.withColumn("own", F.row_number().over(own) - 1).join(bases, ["name", "bucket"])
+    slots = durable(slots.withColumn("unit", unit))
+    counts = slots.groupBy("unit", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    bases = counts.select("unit", "bucket", _before("n", "unit").alias("base"))
+    own = Window.partitionBy("unit", "bucket").orderBy("order", "row", "pass", "block")
+    ranked = (slots.withColumn("own", F.row_number().over(own) - 1).join(bases, ["unit", "bucket"])
               .withColumn("slot", F.col("base") + F.col("own")))
     shards = max(1, math.ceil(taken / shard_words))
-    quotas = sorted((r["name"], r["n"]) for r in counts.groupBy("name").agg(F.sum("n").alias("n")).collect())
+    quotas = sorted((r["unit"], r["n"]) for r in counts.groupBy("unit").agg(F.sum("n").alias("n")).collect())
     tree = split_quotas([n for _, n in quotas], shards, seed)
     starts = np.vstack([np.zeros((1, len(quotas)), np.int64), np.cumsum(tree, axis=0)[:-1]])
     ranges = rows.sparkSession.createDataFrame(
-        [(name, starts[:, i].tolist()) for i, (name, _) in enumerate(quotas)], "name string, starts array<long>")
-    shard = (F.size(F.filter("starts", lambda s: s <= F.col("slot"))) - 1).cast("long")
-    draws = ranked.join(ranges, "name").withColumn("shard", shard)
+        [(name, starts[:, i].tolist()) for i, (name, _) in enumerate(quotas)], "unit string, starts array<long>")
+    draws = ranked.join(ranges, "unit").withColumn("shard", _last_start(shards))
     local = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), "shard", "order"), "row", "pass", "block")
     draws = draws.withColumn("position", F.row_number().over(local) - 1)
     return draws.select("row", "name", "pass", "block", "start", "length", "shard", "position")
@@ -227,8 +248,10 @@ def mixed_documents(
 @query()
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mix = mix_to_weights(documents(spark, folder))
-    taken = mix.draws.groupBy("row").agg(F.sum("length").alias("taken"), F.min("shard").alias("first_shard"))
-    targets = F.broadcast(mix.sources.select("name", "source_size", "target"))  # at most max_sources rows
+    # Where the mix first has the document: its shard, and its place in the shard's local shuffle.
+    place = F.min(F.struct("shard", "position"))
+    taken = mix.draws.groupBy("row").agg(F.sum("length").alias("taken"), place.alias("place"))
+    targets = mix.sources.select("name", "source_size", "target")
     return (mix.rows.join(taken, "row", "left").join(targets, "name")
-            .select(F.col("id").alias("doc_id"), "size", "source_size", "target",
-                    F.coalesce("taken", F.lit(0)).alias("taken"), "first_shard"))
+            .select(F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"),
+                    F.col("place.shard").alias("first_shard"), F.col("place.position").alias("first_position")))

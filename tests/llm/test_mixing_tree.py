@@ -2,7 +2,15 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tablewright.llm.mixing_tree import _hypergeometric, fill_targets, mix_to_weights, mixed_documents, split_quotas
+from tablewright.llm.mixing_tree import (
+    _hypergeometric,
+    _last_start,
+    fill_targets,
+    mix_to_weights,
+    mixed_documents,
+    op9_mixing,
+    split_quotas,
+)
 from tests.llm.conftest import text_table
 
 
@@ -85,5 +93,34 @@ def test_awkward_rows(awkward, nothing):
     out = mixed_documents(awkward)
     assert out.columns == awkward.columns and not {3, 4, 5} & {r.doc_id for r in out.collect()}
     assert mix_to_weights(nothing).draws.count() == 0 == mixed_documents(nothing).count()
-    with pytest.raises(ValueError):
-        mix_to_weights(awkward, max_sources=2)
+    many = mix_to_weights(awkward, max_sources=2)
+    assert many.draws.agg(F.sum("length")).first()[0] == mix.draws.agg(F.sum("length")).first()[0]
+
+
+def test_more_sources_than_the_tree_has_leaves(spark):
+    texts = [words(40 + 7 * (k % 11), f"s{k}w") for k in range(300)]
+    docs = text_table(spark, texts, [f"host{k % 120}" for k in range(300)])
+    few, many = (mix_to_weights(docs, block_words=16, shard_words=900, max_sources=n) for n in (1000, 10))
+
+    def taken(mix):
+        return {(r.row, r["pass"], r.block): r.length for r in mix.draws.collect()}
+
+    assert taken(few) == taken(many) and len(taken(few)) > 500
+    shards = {}
+    for d in many.draws.collect():
+        shards.setdefault(d.shard, []).append(d.position)
+    assert len(shards) > 10 and all(sorted(p) == list(range(len(p))) for p in shards.values())
+
+
+@pytest.mark.parametrize("shards", [1, 2, 3, 7, 64, 1000])
+def test_shards_are_found_by_halving(spark, shards):
+    starts = sorted(3 * (k * 7919 % 101) for k in range(shards - 1))
+    starts = [0, *starts]
+    df = spark.createDataFrame([(starts, s) for s in range(0, 310)], "starts array<long>, slot long")
+    assert [r.at for r in df.select(_last_start(shards).alias("at"), "slot").orderBy("slot").collect()] == [
+        sum(x <= s for x in starts) - 1 for s in range(310)]
+
+
+def test_the_query_has_the_local_shuffle_in_its_plan(spark, folder):
+    plan = op9_mixing(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number() windowspecdefinition(shard" in plan.replace("#", " ").replace("shard ", "shard") or "position" in plan
