@@ -21,8 +21,9 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _NAME = r"\p{Lu}[\p{L}'’-]*\p{Ll}"
 #: What is found, in the order in which it is tried at a place.
 PATTERNS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "secret": rf"(?i:(?<![a-z])(?:{'|'.join(_SECRET_WORDS)}))\s{{0,3}}[=:]\s{{0,3}}[\"']?[A-Za-z0-9+/_-]{{6,}}",
+    "email": r"[\p{L}0-9][\p{L}0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "secret": rf"(?i:(?<![a-z])(?:{'|'.join(_SECRET_WORDS)}))\s{{0,3}}[=:]\s{{0,3}}[\"']?"
+              r"(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{6,}",
     "access": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
     "phone": r"(?<![0-9.])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
              r"|(?<![0-9.])\+[0-9]{1,3}(?:[ .-][0-9]{1,3}){4,5}(?![0-9.])"
@@ -34,6 +35,7 @@ PATTERNS = {
     "person": rf"(?<!\p{{L}})(?:{'|'.join(_MALE + _FEMALE + _EITHER)})\.? {_NAME}(?: {_NAME})?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+_TITLE = rf"^(?:{'|'.join(_MALE + _FEMALE + _EITHER)})\.? "
 #: What an entity keeps: country codes, issuers, private networks, the words before a secret.
 _KEPT = {
     "secret": r"^.*[=:]\s*[\"']?", "access": r"^.{4}", "phone": r"^\+[0-9]{1,3}(?=[ .(-])|^\+[0-9]", "card": r"^[0-9]",
@@ -77,6 +79,15 @@ def _parts(entity: Column) -> Column:
     email = F.array(_unit(F.lit("local"), none, local, F.lower(domain), F.lower(local)),
                     _unit(F.lit("domain"), F.lit("@"), labels, none, F.lower(domain)),
                     _unit(F.lit("kept"), F.lit(".example"), none, none, none))
+    out = F.when(entity.contains("@"), email)
+    for test, value in cases:
+        out = out.when(test, value)
+    return out.otherwise(_person(entity))
+
+
+def _person(entity: Column) -> Column:
+    """The units of a title and name: a given name, if there are two, and a family name."""
+    none = F.lit("")
     title = F.regexp_extract(entity, r"^[^ ]+ ", 0)
     names = F.split(F.substring(entity, F.length(title) + 1, F.length(entity)), " ")
     plain = F.regexp_replace(title, r"[. ]", "")
@@ -86,13 +97,9 @@ def _parts(entity: Column) -> Column:
     # Latin family names are the same for all genders, so every title leads to one surrogate.
     family = F.concat(F.lit("family/"), script, F.lit("/"), F.when(script == "latin", "either").otherwise(gender))
     surname = F.element_at(names, -1)
-    person = F.filter(F.array(
+    return F.filter(F.array(
         F.when(F.size(names) > 1, _unit(given, title, names[0], none, F.lower(names[0]))),
         _unit(family, F.when(F.size(names) > 1, " ").otherwise(title), surname, none, F.lower(surname))), lambda u: u.isNotNull())
-    out = F.when(entity.contains("@"), email)
-    for test, value in cases:
-        out = out.when(test, value)
-    return out.otherwise(person)
 
 
 def entities(text: Column) -> Column:
@@ -103,9 +110,37 @@ def entities(text: Column) -> Column:
         F.array().cast("array<string>"))
 
 
-def units(text: Column) -> Column:
-    """The units of each entity of a text: array of arrays."""
-    return F.transform(entities(text), _parts)
+def mentions(df: DataFrame, text: Column, out: str) -> DataFrame:
+    """Adds ``out``: what is found in a text, as (text between, units in order), null where nothing is.
+
+    A name found with a title is looked for in the whole text, and every mention has the
+    same units: those of one gender, where any of its titles tells it.
+    """
+    found, people, names = (unused(df, f"{out}_{c}") for c in ("found", "people", "names"))
+    df = df.withColumn(found, entities(text))
+    named = F.filter(F.col(found), lambda e: e.rlike(_TITLE))
+    df = df.withColumn(people, F.when(F.size(named) > 0, F.flatten(F.transform(named, _person))))
+    bare = F.concat(F.lit(ANY + r"|(?<!\p{L})(?:"), F.array_join(F.array_distinct(F.transform(F.col(people), lambda u: u["body"])), "|"),
+                    F.lit(r")(?!\p{L})"))
+    df = df.withColumn(names, F.when(F.col(people).isNotNull(), bare))
+    every = F.when(F.col(names).isNull(), F.col(found)).otherwise(F.regexp_extract_all(text, F.col(names), F.lit(0)))
+
+    def as_known(unit: Column, name: Column) -> Column:
+        """The unit under the surest kind that the text's titles give its name."""
+        kinds = F.transform(F.filter(F.col(people), lambda p: (p["name"] == name) & (
+            unit["kind"].isNull() | (F.substring_index(p["kind"], "/", 2) == F.substring_index(unit["kind"], "/", 2)))),
+            lambda p: F.struct(p["kind"].endswith("/either").alias("either"), p["kind"].alias("kind")))
+        return _unit(F.coalesce(F.array_min(kinds)["kind"], unit["kind"]), unit["lead"], unit["body"], unit["scope"], unit["name"])
+
+    def of(entity: Column) -> Column:
+        unknown = _unit(F.lit(None).cast("string"), F.lit(""), entity, F.lit(""), F.lower(entity))
+        alone = F.exists(F.col(people), lambda p: p["body"] == entity)
+        return F.when(F.coalesce(alone, F.lit(False)), F.array(as_known(unknown, F.lower(entity)))).otherwise(
+            F.transform(_parts(entity), lambda u: F.when(F.col(people).isNull() | ~u["kind"].contains("/"), u).otherwise(as_known(u, u["name"]))))
+
+    gaps = F.when(F.col(names).isNull(), F.split(text, ANY, -1)).otherwise(F.split(text, F.col(names), -1))
+    return df.withColumn(out, F.when(F.size(found) > 0, F.struct(gaps.alias("gaps"), F.transform(every, of).alias("units")))).drop(
+        found, people, names)
 
 
 def _byte(stream: Column, i: Column) -> Column:
@@ -161,7 +196,41 @@ def surrogate(key: str, unit: Column, attempt: Column) -> Column:
         for gender, last in endings.items():
             ending = F.when(kind.endswith("/" + gender), _pick(last, _byte(stream, F.lit(63)))).otherwise(ending)
         name = F.when(kind.contains(f"/{script}/"), F.initcap(F.concat(syllables, ending))).otherwise(name)
-    return F.when(kind == "kept", "").when(kind == "ip", octets).when(kind.contains("/"), name).otherwise(code)
+    checked = F.when(kind == "card", _card(unit, code)).when(kind == "iban", _iban(unit, code)).otherwise(code)
+    return F.when(kind == "kept", "").when(kind == "ip", octets).when(kind.contains("/"), name).otherwise(checked)
+
+
+def _remainder(number: Column) -> Column:
+    """What is left of an account number (letters count from 10) after division by 97."""
+    chars = F.filter(F.split(F.upper(number), ""), lambda c: c.rlike("[0-9A-Z]"))
+    return F.aggregate(chars, F.lit(0), lambda left, c: F.when(c.rlike("[0-9]"), (left * 10 + F.ascii(c) - 48) % 97)
+                       .otherwise((left * 100 + F.ascii(c) - 55) % 97))
+
+
+def _iban(unit: Column, code: Column) -> Column:
+    """The account number with right check digits, if it had them before."""
+    def turned(body: Column, digits: Column) -> Column:
+        return F.concat(F.substring(body, F.lit(3), F.length(body)), unit["lead"], digits)
+
+    right = F.lpad((98 - _remainder(turned(code, F.lit("00")))).cast("string"), 2, "0")
+    was_right = _remainder(turned(unit["body"], F.substring(unit["body"], 1, 2))) == 1
+    return F.when(was_right, F.concat(right, F.substring(code, F.lit(3), F.length(code)))).otherwise(code)
+
+
+def _luhn(number: Column) -> Column:
+    """The check sum of a card number, last digit included, modulo 10."""
+    digits = F.reverse(F.filter(F.split(number, ""), lambda c: c.rlike("[0-9]")))
+    doubled = F.transform(digits, lambda c, i: F.when(i % 2 == 0, F.ascii(c) - 48).otherwise(
+        (F.ascii(c) - 48) * 2 - F.when(F.ascii(c) >= 53, 9).otherwise(0)))
+    return F.aggregate(doubled, F.lit(0), lambda total, d: total + d) % 10
+
+
+def _card(unit: Column, code: Column) -> Column:
+    """The card number with a right check digit, if it had one before."""
+    front = F.substring(code, F.lit(1), F.length(code) - 1)
+    last = (10 - _luhn(F.concat(unit["lead"], front, F.lit("0")))) % 10
+    was_right = _luhn(F.concat(unit["lead"], unit["body"])) == 0
+    return F.when(was_right, F.concat(front, last.cast("string"))).otherwise(code)
 
 
 def _identity(unit: Column) -> Column:
@@ -199,7 +268,9 @@ def replace_entities(df: DataFrame, key: str, text_col: str = "text", count_col:
 
     A surrogate is a keyed function of what an entity is, not of where or how it is
     written, so mentions agree within and across documents: a number keeps its surrogate in
-    another format, a family name with or without a given name. Distinct entities of the
+    another format, a family name with or without a given name. A name found with a title is
+    replaced wherever it stands in its text, and alike whatever the title. Card and account numbers
+    with right check digits get right ones. Distinct entities of the
     corpus are then compared: where two got one surrogate, all but one try again
     until all differ. Only those later attempts are joined back to the texts that hold
     them; usually there are none and texts are never shuffled.
@@ -211,26 +282,27 @@ def replace_entities(df: DataFrame, key: str, text_col: str = "text", count_col:
     if not key:
         raise ValueError("surrogates need a key")
     text = F.col(f"`{text_col}`")
-    found = df.select(F.explode(F.flatten(units(text))).alias("unit")).filter("unit.kind <> 'kept'")
+    held = unused(df, "mentions")
+    rows = mentions(df, text, held)
+    every = F.explode(F.flatten(F.col(f"{held}.units"))).alias("unit")
+    found = mentions(df.select(text.alias("text")), F.col("text"), held).select(every).filter("unit.kind <> 'kept'")
     small = F.struct("unit.kind", F.lit("").alias("lead"), F.lower("unit.body").alias("body"), "unit.scope", "unit.name")
     named = found.groupBy(_identity(F.col("unit")).alias("identity")).agg(F.min(small).alias("unit")).select("unit")
     again = later_attempts(named, key)
     attempts, mark = unused(df, "attempts"), unused(df, "mark")
-    rows = df
     if not again.isEmpty():
-        of_text = (df.select(F.md5(text).alias(mark), F.explode(F.flatten(units(text))).alias("unit"))
+        of_text = (mentions(df.select(text.alias("text")), F.col("text"), held).select(F.md5("text").alias(mark), every)
                    .withColumn("identity", _identity(F.col("unit"))).join(again, "identity")
                    .groupBy(mark).agg(F.map_from_entries(F.collect_set(F.struct("identity", "attempt"))).alias(attempts)))
-        rows = df.withColumn(mark, F.md5(text)).join(of_text, mark, "left")
+        rows = rows.withColumn(mark, F.md5(text)).join(of_text, mark, "left")
         attempt = lambda u: F.coalesce(F.try_element_at(F.col(attempts), _identity(u)), F.lit(0))
     else:
         attempt = lambda u: F.lit(0)
-    new = F.transform(units(text), lambda e: F.array_join(F.transform(
+    new = F.transform(F.col(f"{held}.units"), lambda e: F.array_join(F.transform(
         e, lambda u: F.concat(u["lead"], surrogate(key, u, attempt(u)))), ""))
-    gaps = F.split(text, ANY, -1)
-    rebuilt = F.array_join(F.zip_with(gaps, new, lambda gap, entity: F.concat(gap, F.coalesce(entity, F.lit("")))), "")
-    n = F.coalesce(F.size(entities(text)), F.lit(0)).alias(count_col if count_col not in df.columns else unused(df, count_col))
-    return rows.select(*[F.when(F.size(entities(text)) > 0, rebuilt).otherwise(text).alias(c) if c == text_col else F.col(f"`{c}`")
+    rebuilt = F.array_join(F.zip_with(F.col(f"{held}.gaps"), new, lambda gap, entity: F.concat(gap, F.coalesce(entity, F.lit("")))), "")
+    n = F.coalesce(F.size(f"{held}.units"), F.lit(0)).alias(count_col if count_col not in df.columns else unused(df, count_col))
+    return rows.select(*[F.when(F.col(held).isNotNull(), rebuilt).otherwise(text).alias(c) if c == text_col else F.col(f"`{c}`")
                          for c in df.columns], n)
 
 

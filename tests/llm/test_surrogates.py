@@ -45,6 +45,54 @@ def test_mentions_agree_and_entities_differ(spark):
     assert replaced(spark, texts) == replaced(spark, texts)
 
 
+def test_names_agree_in_a_text_whatever_stands_before_them(spark):
+    texts = ["Mr. Ivan Petrov met Anna. Later Petrov left, and Ivan Petrov wrote. Petrova stayed, petrov too.",
+             "Dr. Ivan Petrov, or Mr. Ivan Petrov; Prof. Petrov", "Dr. Иванов и г-н Иванов, Иванов", "Ms. Lee and Leeds, O'Lee, Lee."]
+    one, two, three, four = replaced(spark, texts)
+    given, family = re.match(r"Mr\. (\w+) (\w+) met", one).groups()
+    assert one == f"Mr. {given} {family} met Anna. Later {family} left, and {given} {family} wrote. Petrova stayed, petrov too."
+    assert {given, family}.isdisjoint({"Ivan", "Petrov"})
+    a, b = re.match(r"Dr\. (\w+) (\w+), or", two).groups()
+    assert two == f"Dr. {a} {b}, or Mr. {a} {b}; Prof. {b}" and (a, b) == (given, family)
+    name = re.match(r"Dr\. (\w+) ", three)[1]
+    assert three == f"Dr. {name} и г-н {name}, {name}" and name != "Иванов"
+    lee = re.match(r"Ms\. (\w+) ", four)[1]
+    assert four == f"Ms. {lee} and Leeds, O'{lee}, {lee}."
+
+
+def luhn(number):
+    digits = [int(c) for c in number if c.isdigit()][::-1]
+    return sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(digits)) % 10
+
+
+def test_check_digits_stay_right(spark):
+    cards = ["4111 1111 1111 1111", "5500-0000-0000-0004", "4111 1111 1111 1112"]
+    new = replaced(spark, cards)
+    assert [luhn(c) for c in cards] == [0, 0, 1] and [luhn(c) for c in new[:2]] == [0, 0] and not set(new) & set(cards)
+    accounts = ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "DE00 3704 0044 0532 0130 00"]
+    new = replaced(spark, accounts)
+
+    def remainder(account):
+        account = account.replace(" ", "")
+        return int("".join(str(int(c, 36)) for c in account[4:] + account[:4])) % 97
+
+    assert [remainder(a) for a in accounts[:2]] == [1, 1] == [remainder(a) for a in new[:2]] and remainder(accounts[2]) != 1
+    assert re.fullmatch(r"DE\d\d \d{4} \d{4} \d{4} \d{4} \d\d", new[0]) and not set(new) & set(accounts)
+
+
+def test_what_is_no_secret_stays(spark):
+    kept = ["secret: everything", "the key to it", "Password: required", "token = value_of_it"]
+    assert replaced(spark, kept) == kept
+    mail, = replaced(spark, ["an josé.ñu@example.com hier"])
+    assert re.fullmatch(r"an \S+@[a-z]{7}\.example hier", mail) and "josé" not in mail
+
+
+def test_long_texts(spark):
+    text = "Mr. Paul Keller wrote to a.b@c.org. " + "Keller and Paul went on with words. " * 3000
+    new, = replaced(spark, [text])
+    assert "Keller" not in new and "Paul" not in new and new.count(" went on with words.") == 3000
+
+
 def test_collisions_are_resolved(spark, monkeypatch):
     """Keys that leave few surrogates to choose from still give each entity its own."""
     real = surrogates._stream
