@@ -147,8 +147,8 @@ def elements(html: Column | str, tag: str, class_: str | None = None) -> Column:
 
 _COMMENT, _ANY_TAG = re.compile(r"<!--.*?-->", re.S), re.compile(r"<[^>]*>")
 _COMMENT_JVM = r"(?s)<!--.*?-->"
-#: An attribute value that holds ">", or a quote that is not closed in its tag.
-_QUOTED_END = r"""=\s*(?:"[^">]*>|'[^'>]*>)"""
+#: An attribute value that holds ">", a quote that is not closed in its tag, or "<" that begins no tag.
+_HARD = r"""=\s*(?:"[^">]*>|'[^'>]*>)|<[^>]*<"""
 
 
 def _without_tags(fragment: str) -> str:
@@ -156,7 +156,9 @@ def _without_tags(fragment: str) -> str:
     for start, stop, _, _ in _tags(fragment):
         kept.append(fragment[at:start])
         at = stop
-    return _ANY_TAG.sub("", "".join([*kept, fragment[at:]]))
+    rest = "".join([*kept, fragment[at:]])
+    last = rest.rfind(">") + 1  # no tag ends behind it
+    return _ANY_TAG.sub("", rest[:last]) + rest[last:]
 
 
 def plain_text(fragment: str) -> str:
@@ -168,8 +170,8 @@ def plain_text(fragment: str) -> str:
 def text_of(html: Column | str) -> Column:
     """Text of an HTML column: tags dropped, all character references decoded.
 
-    Built-in expressions do it; only fragments with a character reference or with ">" in an
-    attribute value are read in Arrow batches.
+    Built-in expressions do it; only fragments with a character reference, ">" in an
+    attribute value or "<" that begins no tag are read in Arrow batches.
     """
     @F.pandas_udf("string")
     def texts(fragments: pd.Series) -> pd.Series:
@@ -177,7 +179,7 @@ def text_of(html: Column | str) -> Column:
 
     fragment = as_column(html)
     bare = F.regexp_replace(F.regexp_replace(fragment, _COMMENT_JVM, ""), "<[^>]*>", "")
-    hard = fragment.contains("&") | fragment.rlike(_QUOTED_END)
+    hard = fragment.contains("&") | fragment.rlike(_HARD)
     return F.when(hard, texts(F.when(hard, fragment))).otherwise(bare)
 
 

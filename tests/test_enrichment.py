@@ -1,5 +1,7 @@
 """Band lookups and reading rates from pages."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,6 +82,11 @@ def found(spark, html, tag, class_=None):
     ("<p data-class='row'>a</p>", "p", "row", []),
     ("<p class=\"it's\">a</p>", "p", "it's", ["a"]),
     ("ünï <p>é–<b>x</b></p>", "p", None, ["é–<b>x</b>"]),
+    ('<p title="a>b">c</p>', "p", None, ["c"]),
+    ("<p title = 'a>b' class=x>c<img alt=\"</p>\">d</p>", "p", "x", ["c<img alt=\"</p>\">d"]),
+    ("<p don't>c</p><p it's>d</p>", "p", None, ["c", "d"]),  # a quote that begins no value
+    ('<p title="a>c</p>', "p", None, ["c"]),  # a quote that is never closed
+    ("<p>a</p><p title='", "p", None, ["a"]),
 ])
 def test_elements(spark, html, tag, class_, expected):
     assert found(spark, html, tag, class_) == expected
@@ -98,12 +105,27 @@ def test_deeply_nested_and_long_pages(spark):
     ("it&apos;s &quot;q&quot; &#65;;x", "it's \"q\" A;x"),
     ("&# &#zz; &", "&# &#zz; &"),
     ("<!-- c -->t", "t"),
+    ('<a title="x > y">t</a> 1 < 2', "t 1 < 2"),
+    ("<a title='x > y'>t &amp; u</a>", "t & u"),
+    ('<a title="x>t</a>', "t"),
+    ("<p><!doctype x>t</p>", "t"),
+    (None, None),
 ])
 def test_text(spark, html, expected):
     df = spark.createDataFrame([(html,)], "h string")
     assert df.select(text_of("h")).first()[0] == expected
 
 
+def test_tags_are_found_in_linear_time():
+    from tablewright.functions.html import plain_text, scan_elements
+
+    for page in ("<p title=\"" * 60_000, "<p title='x>" * 60_000, "<a" * 120_000, "<p a= b=\"'\" c='" * 40_000, "<" * 200_000):
+        began = time.perf_counter()
+        scan_elements(page, "p")
+        plain_text(page)
+        assert time.perf_counter() - began < 6, page[:20]
+
+
 def test_tag_names_are_checked():
     with pytest.raises(ValueError):
         elements("html", "li' or '1")
