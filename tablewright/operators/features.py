@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.ranks import checkpointed, unused, with_rank
-from tablewright.operators.statistics import _long, statistics
+from tablewright.operators.statistics import statistics, value_counts
 
 #: Levels of an index that the driver holds and ships to every task; beyond, the index is a table that is joined.
 MAX_INDEXED = 1_000_000
@@ -95,19 +95,29 @@ def fit_one_hot(df: DataFrame, cols: Sequence[str], max_levels: int = 100) -> On
     One result column per level only makes sense for few levels. A column with
     many levels belongs in `one_hot_vector`, whose rows stay one value wide.
     """
-    levels: dict[str, list] = {c: [] for c in cols}
+    return one_hot_of({c: list(counts) for c, counts in level_counts(df, cols, max_levels).items()})
+
+
+def level_counts(df: DataFrame, cols: Sequence[str], max_levels: int = 100) -> dict[str, dict]:
+    """Rows per level of each column; more than ``max_levels`` in a column is an error."""
+    found: dict[str, dict] = {c: {} for c in cols}
     groups: dict[object, list[str]] = {}
     for c in cols:
         groups.setdefault(df.schema[c].dataType, []).append(c)
     for group in groups.values():
-        seen = _long(df, group).filter(F.col("value").isNotNull()).distinct()
-        for r in seen.limit(max_levels * len(group) + 1).collect():
-            levels[r["column"]].append(r["value"])
-    wide = [c for c in cols if len(levels[c]) > max_levels]
+        # One row that holds at most so many: a limited collect may start a job per few partitions.
+        some = value_counts(df, group).limit(max_levels * len(group) + 1)
+        for r in some.agg(F.collect_list(F.struct("column", "value", "n")).alias("rows")).first()["rows"]:
+            found[r["column"]][r["value"]] = r["n"]
+    wide = [c for c in cols if len(found[c]) > max_levels]
     if wide:
         raise ValueError(f"more than {max_levels} levels in: {', '.join(wide)}; use one_hot_vector")
-    fitted = {c: sorted(levels[c]) for c in cols}
-    names = [level_name(c, v) for c, vals in fitted.items() for v in vals]
+    return found
+
+
+def one_hot_of(levels: Mapping[str, Sequence]) -> OneHot:
+    fitted = {c: sorted(values) for c, values in levels.items()}
+    names = [level_name(c, v) for c, values in fitted.items() for v in values]
     if len(set(names)) < len(names):
         raise ValueError("two levels give the same column name")
     return OneHot(fitted)

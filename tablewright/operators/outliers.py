@@ -28,22 +28,27 @@ def iqr_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5, *,
         quartiles = exact_quantiles(df, {c: [0.25, 0.75] for c in cols})
     else:
         quartiles = df.agg(*[F.percentile_approx(c, [0.25, 0.75]).alias(c) for c in cols]).first()
-    out = {}
-    for c in cols:
-        q1, q3 = quartiles[c] or (None, None)
-        if q1 is not None:
-            out[c] = (q1 - k * (q3 - q1), q3 + k * (q3 - q1))
-    return out
+    return fences({c: quartiles[c] for c in cols}, k)
 
 
-def iqr_filter(df: DataFrame, cols: Sequence[str], k: float = 1.5, *, exact: bool = True) -> DataFrame:
-    """Drop rows with a value outside its column's fence; a missing value is not outside."""
-    fences = iqr_bounds(df, cols, k, exact=exact)
-    for c, (lo, hi) in fences.items():
+def fences(quartiles: Mapping[str, Sequence[float | None] | None], k: float) -> dict[str, tuple[float, float]]:
+    """Per column with values, its quartiles widened by k times their distance."""
+    known = {c: q for c, q in quartiles.items() if q is not None and q[0] is not None}
+    return {c: (q1 - k * (q3 - q1), q3 + k * (q3 - q1)) for c, (q1, q3) in known.items()}
+
+
+def within(df: DataFrame, bounds: Mapping[str, tuple[float, float]]) -> DataFrame:
+    """Rows whose values lie inside their columns' bounds; a missing value is not outside."""
+    for c, (lo, hi) in bounds.items():
         df = df.filter(F.col(c).isNull() | F.col(c).between(lo, hi))
     return df
 
 
+def iqr_filter(df: DataFrame, cols: Sequence[str], k: float = 1.5, *, exact: bool = True) -> DataFrame:
+    """Drop rows with a value outside its column's fence; a missing value is not outside."""
+    return within(df, iqr_bounds(df, cols, k, exact=exact))
+
+
 def drop_values(df: DataFrame, rules: Mapping[str, Sequence]) -> DataFrame:
     """Drop rows holding any listed value; rows missing the value stay."""
     return df.filter(reduce(Column.__and__, [none_of(c, vals) for c, vals in rules.items()], F.lit(True)))

@@ -13,7 +13,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 SKETCH_ACCURACY = 10_000
@@ -65,8 +65,22 @@ class _Slot:
         self.stuck = self.value is None and self.inside == before
 
 
+def _number(c: str) -> Column:
+    return F.nanvl(F.col(c).cast("double"), F.lit(None))
+
+
+def quantile_head(probs: Mapping[str, Sequence[float]]) -> list[Column]:
+    """Aggregates of the search's first pass: the count of each column and the first brackets.
+
+    They can be part of a wider aggregate, whose row `exact_quantiles` then takes as ``head``.
+    """
+    return [e for c, shares in probs.items() for e in (
+        F.count(_number(c)).alias(f"n:{c}"),
+        F.percentile_approx(_number(c), _literals([x for p in shares for x in _around(p)]), SKETCH_ACCURACY).alias(f"cuts:{c}"))]
+
+
 def exact_quantiles(df: DataFrame, probs: Mapping[str, Sequence[float]], *,
-                    small: int = SMALL_COLUMN, ranked: int = RANKED_ROWS,
+                    small: int = SMALL_COLUMN, ranked: int = RANKED_ROWS, head: Row | None = None,
                     ) -> dict[str, list[float | None]]:
     """Quantiles with linear interpolation, as ``{column: [value per probability]}``.
 
@@ -75,12 +89,10 @@ def exact_quantiles(df: DataFrame, probs: Mapping[str, Sequence[float]], *,
     number of bracket rows that may be ranked directly; neither changes a result.
     """
     cols = list(probs)
-    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols])
-    # The first pass counts every column and proposes the first brackets at once.
-    first = [[F.count(c).alias(f"n:{c}"),
-              F.percentile_approx(c, _literals([x for p in probs[c] for x in _around(p)]),
-                                  SKETCH_ACCURACY).alias(f"cuts:{c}")] for c in cols]
-    head = df.agg(*[e for pair in first for e in pair]).first()
+    if not cols:
+        return {}
+    head = df.agg(*quantile_head(probs)).first() if head is None else head
+    df = df.select(*[_number(c).alias(c) for c in cols])
     counts = {c: head[f"n:{c}"] for c in cols}
     if max(counts.values()) <= small:
         row = df.agg(*[F.percentile(c, _literals(probs[c])).alias(c) for c in cols]).first()

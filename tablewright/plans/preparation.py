@@ -5,19 +5,20 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 
 from tablewright.operators.columns import interaction, keep_columns
-from tablewright.operators.features import LinearScale, min_max, one_hot
+from tablewright.operators.features import LinearScale, level_counts, level_name, one_hot_of
 from tablewright.operators.impute import (
     DomainRepair,
     Surrogates,
-    fit_groups,
     fit_range_repair,
 )
-from tablewright.operators.missing import drop_all_null, normalize_missing, sparse_columns
-from tablewright.operators.outliers import drop_isolated, drop_values, iqr_filter
-from tablewright.operators.statistics import histogram, statistics
+from tablewright.operators.missing import drop_all_null, normalize_missing
+from tablewright.operators.outliers import drop_isolated, drop_values, fences, within
+from tablewright.operators.quantiles import exact_quantiles, quantile_head
+from tablewright.operators.statistics import histogram, modes, statistics
 from tablewright.session import stored_table
 from tablewright.sources.schemas import CLEANED, STATISTICAL_CATEGORICAL, STATISTICAL_NUMERICAL
 
@@ -59,51 +60,90 @@ class Prepared:
 
 
 def prepare_statistical(df: DataFrame, cfg: StatisticalConfig) -> Prepared:
-    """Drop sparse columns, impute, apply rules, scale, drop outliers, encode, scale again."""
+    """Drop sparse columns, impute, apply rules, scale, drop outliers, encode, scale again.
+
+    Each state of the table (as read, filled, without outliers) is profiled by one
+    aggregate, which all fits of that state read; beyond it only exact quantiles, modes and
+    levels need a pass of their own. What scaling does to a statistic is computed, not measured.
+    """
     df = keep_columns(df, [*cfg.key, *cfg.numeric, *cfg.categorical])
-    df = normalize_missing(df, [c for c in df.columns if c not in cfg.key])
-    sparse = set(sparse_columns(df, cfg.threshold, [cfg.label, *cfg.key]))
+    watched = [c for c in df.columns if c not in cfg.key]
+    df = normalize_missing(df, watched)
+
+    medians = {c: [0.5] for c in cfg.numeric}
+    raw = _profile(df, watched, (), medians)
+    sparse = {c for c in watched if c != cfg.label and raw["rows"] and (raw["rows"] - raw[f"present:{c}"]) / raw["rows"] > cfg.threshold}
     numeric = [c for c in cfg.numeric if c not in sparse]
     categorical = [c for c in cfg.categorical if c not in sparse]
-    fills = fit_groups(df, numeric, categorical)
-    df = Surrogates(fills.values, [*cfg.key, *numeric, *categorical]).transform(df)
+    fills = {c: v[0] for c, v in exact_quantiles(df, {c: medians[c] for c in numeric}, head=raw).items()} | modes(df, categorical)
+    df = Surrogates(fills, [*cfg.key, *numeric, *categorical]).transform(df)
     rules = {c: values for c, values in cfg.rules.items() if c in df.columns}
     if rules:
         df = drop_values(df, rules)
-    df, cleaned = _scaled_with_histogram(df, numeric, [*numeric, *_numeric_only(df, categorical)],
-                                         cfg.standardize_first, cfg.bins)
+
+    quartiles = {c: [0.25, 0.75] for c in numeric} if cfg.outliers == "iqr" else {}
+    shown = [*numeric, *_numeric_only(df, categorical)]
+    filled = _profile(df, shown, numeric if cfg.standardize_first else (), quartiles)
+    scale = _standard(filled, numeric) if cfg.standardize_first else LinearScale({})
+    scaled = scale.transform(df)
+    cleaned = histogram(scaled, shown, cfg.bins, _ends(filled, shown, scale))
     if cfg.outliers == "forest":
-        df = drop_isolated(df, numeric, cfg.key, contamination=cfg.contamination, trees=cfg.trees,
+        df = drop_isolated(scaled, numeric, cfg.key, contamination=cfg.contamination, trees=cfg.trees,
                            sample=cfg.sample, seed=cfg.seed, exact=cfg.exact)
         df = df if cfg.exact else stored_table(df, "kept")  # exact, the scores are stored
     elif cfg.outliers == "iqr":
-        df = iqr_filter(df, numeric, cfg.iqr)
-    elif cfg.outliers != "none":
+        # Scaling keeps order, so rows are outside before it that are outside after it.
+        df = scale.transform(within(df, fences(exact_quantiles(df, quartiles, head=filled), cfg.iqr)))
+    elif cfg.outliers == "none":
+        df = scaled
+    else:
         raise ValueError(f"unknown outlier treatment {cfg.outliers!r}")
-    rescale = [c for c in cfg.rescale if c in numeric]
-    if rescale:
-        df = min_max(df, rescale)
-    if cfg.encode:
-        df = one_hot(df, [c for c in categorical if c != cfg.label])
-    shown = _numeric_only(df, [c for c in df.columns if c not in cfg.key])
-    df, features = _scaled_with_histogram(df, numeric, shown, cfg.standardize_last, cfg.bins)
-    return Prepared(df, cleaned, features)
 
-
-def _scaled_with_histogram(df: DataFrame, numeric: Sequence[str], shown: Sequence[str], scale: bool,
-                           bins: int) -> tuple[DataFrame, DataFrame]:
-    """Standardise and count bins after one statistics pass.
-
-    Scaling keeps order, so the scaled extremes are the extremes scaled.
-    """
-    wanted = {c: ["min", "max"] for c in shown}
-    if scale:
-        wanted.update({c: ["mean", "std_pop", "min", "max"] for c in numeric})
-    found = statistics(df, wanted)
-    fitted = LinearScale({c: (found[c]["mean"], found[c]["std_pop"]) for c in numeric} if scale else {})
-    scaled = fitted.transform(df)
-    ends = {c: tuple(fitted.applied(c, found[c][end]) for end in ("min", "max")) for c in shown}
-    return scaled, histogram(scaled, shown, bins, ends)
+    encoded = [c for c in categorical if c != cfg.label] if cfg.encode else []
+    plain = [c for c in df.columns if c not in (*cfg.key, *encoded)]
+    kept = _profile(df, _numeric_only(df, plain), numeric if cfg.standardize_last else ())
+    rescale = LinearScale({c: (kept[f"min:{c}"], _span(kept, c)) for c in cfg.rescale if c in numeric})
+    df = rescale.transform(df)
+    ends = _ends(kept, _numeric_only(df, plain), rescale)
+    if encoded:
+        levels = level_counts(df, encoded)
+        df = one_hot_of(levels).transform(df)
+        ends |= {level_name(c, v): (int(n == kept["rows"]), 1) for c, counts in levels.items() for v, n in counts.items()}
+    last = _standard(kept, numeric, rescale) if cfg.standardize_last else LinearScale({})
+    df = last.transform(df)
+    ends = {c: tuple(last.applied(c, end) for end in ends[c]) for c in df.columns if c in ends}
+    return Prepared(df, cleaned, histogram(df, list(ends), cfg.bins, ends))
+
+
+def _profile(df: DataFrame, cols: Sequence[str], moments: Sequence[str], quantiles: Mapping[str, Sequence[float]] | None = None) -> Row:
+    """One aggregate: rows, values and extremes of columns, moments of some, the beginning of quantile searches."""
+    numbers = _numeric_only(df, cols)
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"present:{c}") for c in cols],
+        *[f(c).alias(f"{name}:{c}") for c in numbers for name, f in (("min", F.min), ("max", F.max))],
+        *[f(c).alias(f"{name}:{c}") for c in moments for name, f in (("mean", F.avg), ("std_pop", F.stddev_pop))],
+        *quantile_head(quantiles or {})).first()
+
+
+def _span(profile: Row, c: str) -> float | None:
+    return None if profile[f"min:{c}"] is None else float(profile[f"max:{c}"] - profile[f"min:{c}"])
+
+
+def _standard(profile: Row, cols: Sequence[str], before: LinearScale = LinearScale({})) -> LinearScale:
+    """The standardisation of columns that ``before`` has scaled since they were profiled."""
+    def parameters(c: str) -> tuple[float | None, float | None]:
+        mean, deviation = before.applied(c, profile[f"mean:{c}"]), profile[f"std_pop:{c}"]
+        if deviation is not None and c in before.parameters:
+            span = before.parameters[c][1]
+            deviation = deviation / span if span else 0.0
+        return mean, deviation
+
+    return LinearScale({c: parameters(c) for c in cols})
+
+
+def _ends(profile: Row, cols: Sequence[str], scale: LinearScale) -> dict[str, tuple]:
+    """The extremes of columns after scaling, which keeps their order."""
+    return {c: tuple(scale.applied(c, profile[f"{end}:{c}"]) for end in ("min", "max")) for c in cols}
 
 
 def _numeric_only(df: DataFrame, cols: Sequence[str]) -> list[str]:
