@@ -30,6 +30,8 @@ SHARD_BYTES = 1 << 22
 #: Bits of the filter of frequent phrases. Longer phrases that it lets through in error are counted and then leave.
 FILTER_BITS = 25
 
+#: Groups of which a number each is broadcast; the numbers of more are joined.
+MAX_GROUPS = 10_000
 #: Phrases in a batch that leaves a shard, and texts taken from a batch that comes.
 _AT_ONCE, _TEXTS = 1 << 15, 256
 
@@ -426,6 +428,8 @@ def collocations(df: DataFrame, text_col: str = "text", group_col: str = "lang",
     ranked = rank_of_keys(keys, ["group", "by_score", "by_count", "phrase"], F.lit(1).cast("long"), "place")
     ranked = stored(ranked, "ranked")
     first = durable(ranked.groupBy("group").agg(F.min("place").alias("first")))
+    if first.count() <= MAX_GROUPS:
+        first = F.broadcast(first)
     place = (F.col("place") - F.col("first") + 1).cast("long")
     return (ranked.join(first, "group").withColumn("rank", place).filter(F.col("rank") <= top).join(totals, "group")
             .select("group", "rank", "phrase", (-F.col("by_count")).alias("a"), "l", "r", "n", (-F.col("by_score")).alias("score")))
