@@ -54,6 +54,23 @@ def _sums(a: _Block, b: _Block) -> np.ndarray:
     ])
 
 
+def _range_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per column: how many finite numbers, their sum and the largest size."""
+    n = total = most = None
+    for batch in batches:
+        if n is None:
+            n, total, most = (np.zeros(batch.num_columns) for _ in range(3))
+        for k, column in enumerate(batch.columns):
+            raw = column.to_numpy(zero_copy_only=False)
+            good = raw[np.isfinite(raw)]
+            if len(good):
+                n[k] += len(good)
+                total[k] += good.sum()
+                most[k] = max(most[k], np.abs(good).max())
+    if n is not None:
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(n))), pa.array(n), pa.array(total), pa.array(most)], ["k", "n", "total", "most"])
+
+
 def _sum_batches(pairs: Sequence[tuple[int, int]], spans: dict[int, slice], center: np.ndarray, scale: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[tuple[int, int], np.ndarray] = {}
@@ -102,19 +119,19 @@ def _pair_batches(names: Sequence[str], block: int):
 def correlation_blocks(df: DataFrame, cols: Sequence[str], block: int = BLOCK, sums_per_scan: int = SUMS_PER_SCAN) -> DataFrame:
     """(a, b, corr) for every pair of columns, over the rows that have both.
 
-    A first scan finds means and deviations, about which a second one adds up; both are of
-    fixed number up to thousands of columns. As with ``corr``, a pair is null where fewer than
+    A first scan finds means and the largest sizes, about and in terms of which a second one
+    adds up; both are of fixed number up to thousands of columns. As with ``corr``, a pair is null where fewer than
     two rows have both or one column does not vary there, and NaN where a value is NaN
     or infinite.
     """
     cols = list(cols)
     numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{k}") for k, c in enumerate(cols)])
-    finite = [F.when(F.abs(f"c{k}") < float("inf"), F.col(f"c{k}")) for k in range(len(cols))]
-    row = numbers.agg(F.array(*[F.avg(c) for c in finite]).alias("mean"), F.array(*[F.stddev_pop(c) for c in finite]).alias("std"),
-                      F.array(*[F.max(F.abs(c)) for c in finite]).alias("most")).first()
-    center = np.array([m or 0.0 for m in row["mean"]])
-    # The deviation of huge numbers is none.
-    scale = np.array([s if s and np.isfinite(s) else m or 1.0 for s, m in zip(row["std"], row["most"])])
+    ranges = (numbers.mapInArrow(_range_batches, "k long, n double, total double, most double")
+              .groupBy("k").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("most").alias("most")).collect())
+    center, scale = np.zeros(len(cols)), np.ones(len(cols))
+    for r in ranges:
+        if r["n"] and r["most"]:
+            center[r["k"]], scale[r["k"]] = r["total"] / r["n"], r["most"]
 
     pairs = list(combinations_with_replacement(range(-(-len(cols) // block)), 2))
     at_once = max(1, sums_per_scan // (_SUMS * block * block))
