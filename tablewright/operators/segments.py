@@ -4,16 +4,35 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_right
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tablewright.operators.ranks import checkpointed, partitions
 
+#: Ends of bands in a slice, besides those on its last edge; a slice's pieces are swept in memory.
+SLICE_ENDS = 50_000
+
+
+def _slice_begins(ends: int):
+    """The first of every run of sorted edges (edge, n) that ``ends`` ends of bands lie on, and of the partition."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, last = 0, -1
+        for batch in batches:
+            n = batch.column(1).to_numpy()
+            run_of = (before + np.cumsum(n) - n) // ends
+            begins = np.diff(run_of, prepend=last) > 0
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(begins))], ["edge"])
+            if len(n):
+                before, last = before + int(n.sum()), int(run_of[-1])
+
+    return run
+
 
 def _slice_of(value: Column, bounds: Sequence[float]) -> Column:
     """The number of the slice that holds a value; slices begin at the bounds."""
@@ -42,37 +61,37 @@ def _sweep(bounds: Sequence[float], covers: dict[int, tuple], half_open: bool):
         at = int(pieces["slice"].iloc[0])
         cover = covers.get(at)
         start = bounds[at]
-        rows = sorted(zip(np.where(pieces["begins"], pieces["lo"], start), np.where(pieces["ends"], pieces["hi"], np.inf),
-                          pieces["ends"], pieces["idx"], pieces["rate"]))
+        rows = sorted(zip(np.where(pieces["begins"], pieces["lo"], start).tolist(), np.where(pieces["ends"], pieces["hi"], np.inf).tolist(),
+                          pieces["ends"].tolist(), pieces["idx"].tolist(), pieces["rate"].tolist()))
         edges = sorted({start, *(r[0] for r in rows), *(r[1] for r in rows if r[2])})
-        heap, used, out = [], 0, []
+        heap, used, on, after = [], 0, [], []
 
         def first():
-            own = (heap[0][0], heap[0][1]) if heap else None
-            best = min((b for b in (own, cover) if b is not None), key=lambda b: b[0], default=None)
-            return None if best is None or best[1] is None or best[1] != best[1] else float(best[1])
+            best = heap[0] if heap and (cover is None or heap[0][0] <= cover[0]) else cover
+            return np.nan if best is None or best[1] is None else best[1]
 
         for edge in edges:
             while used < len(rows) and rows[used][0] <= edge:
                 _, hi, ends, idx, rate = rows[used]
-                heapq.heappush(heap, (idx, rate, hi, bool(ends)))
+                heapq.heappush(heap, (idx, rate, hi, ends))
                 used += 1
             # A piece that goes on beyond the slice has no end here.
             while heap and heap[0][3] and (heap[0][2] <= edge if half_open else heap[0][2] < edge):
                 heapq.heappop(heap)
-            on = first()
+            on.append(first())
             while heap and heap[0][3] and heap[0][2] <= edge:
                 heapq.heappop(heap)
-            out.append((edge, on, first()))
-        return pd.DataFrame(out, columns=["edge", "at", "after"]).astype({"at": "Float64", "after": "Float64"})
+            after.append(first())
+        return pd.DataFrame({"edge": edges, "at": pd.array(on, "Float64"), "after": pd.array(after, "Float64")})
 
     return run
 
 
-def disjoint_segments(bands: DataFrame, half_open: bool = False) -> DataFrame:
+def disjoint_segments(bands: DataFrame, half_open: bool = False, slice_ends: int = SLICE_ENDS) -> DataFrame:
     """(edge, at, after): the rate on each edge, and between it and the next, of the first band (idx, lo, hi, rate) there.
 
-    Edges are cut into slices of like numbers of edges. A band is known to the slices of its
+    Edges are cut into slices on which ``slice_ends`` ends of bands lie, so there are more of
+    them where there are more bands, and none gives more pieces than twice that. A band is known to the slices of its
     ends, as a piece; slices that it covers whole learn only the first band that covers
     them, from minima over the nodes of a tree of slices. So a band gives a number of rows that
     grows with the logarithm of the slices, however much it overlaps, and pieces that reach
@@ -83,9 +102,9 @@ def disjoint_segments(bands: DataFrame, half_open: bool = False) -> DataFrame:
     bands = (bands.select("idx", F.col("lo").cast("double").alias("lo"), hi.alias("hi"), F.col("rate").cast("double").alias("rate"))
              .filter("lo <= hi AND NOT isnan(hi)").groupBy("lo", "hi").agg(F.min(F.struct("idx", "rate")).alias("first")))
     bands = checkpointed(bands)
-    edges = bands.select(F.explode(F.array("lo", "hi")).alias("edge")).distinct()
-    begins = (edges.repartitionByRange(partitions(bands), "edge").groupBy(F.spark_partition_id().alias("part"))
-              .agg(F.min("edge").alias("edge")).collect())
+    edges = bands.select(F.explode(F.array("lo", "hi")).alias("edge")).groupBy("edge").agg(F.count(F.lit(1)).alias("n"))
+    begins = (edges.repartitionByRange(partitions(bands), "edge").sortWithinPartitions("edge")
+              .mapInArrow(_slice_begins(slice_ends), "edge double").collect())
     bounds = sorted(r["edge"] for r in begins)
     slices = len(bounds)
     placed = bands.withColumns({"first_slice": _slice_of(F.col("lo"), bounds or [0.0]),

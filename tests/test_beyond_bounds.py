@@ -9,7 +9,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tablewright.operators import enrich, features, split, statistics
+from tablewright.operators import enrich, features, segments, split, statistics
 from tablewright.operators.comoments import correlation_blocks
 from tablewright.operators.ranks import with_rank
 from tablewright.operators.segments import disjoint_segments
@@ -82,6 +82,41 @@ def test_overlapping_bands_equal_a_scan(spark, half_open, shape):
     assert len(edges) == len(set(edges)) <= 2 * len(bands)
 
 
+def test_slices_hold_as_many_ends_however_many_bands(spark, monkeypatch):
+    sweep = segments._sweep
+
+    def counted(*args):
+        run = sweep(*args)
+
+        def small(pieces):
+            assert len(pieces) <= 2 * 50 + 3, len(pieces)
+            return run(pieces)
+
+        return small
+
+    rng = random.Random(5)
+    starts = [rng.choice([7.0, float(rng.randrange(40)), rng.random() * 40]) for _ in range(1500)]
+    bands = [(lo, lo + rng.choice([0, 1, 2, 30]), float(i)) for i, lo in enumerate(starts)]
+    table = spark.createDataFrame([(i, *b) for i, b in enumerate(bands)], "idx int, lo double, hi double, rate double")
+    keys = [rng.random() * 75 for _ in range(200)] + [float(k) for k in range(75)]
+    monkeypatch.setattr(segments, "_sweep", counted)
+    cut = segments.disjoint_segments(table, slice_ends=50)
+    found = segments.as_of(spark.createDataFrame([(k,) for k in keys], "key double"), cut).collect()
+    expected = {k: brute(k, bands, False) for k in keys}
+    assert {r.key: r.rate for r in found} == {k: v for k, v in expected.items() if v is not None}
+
+
+def test_only_keys_of_gaps_are_looked_up(spark, monkeypatch):
+    asked = []
+    first = enrich.first_bands
+    monkeypatch.setattr(enrich, "first_bands", lambda keys, *rest: asked.append(keys) or first(keys, *rest))
+    rows = spark.createDataFrame([(1, 5.0, None), (2, 6.0, 0.5), (3, None, None), (4, 99.0, None)], "id int, age double, smoke double")
+    bands = spark.range(300).select(F.col("id").alias("idx"), (F.col("id") % 10).alias("lo"), (F.col("id") % 10).alias("hi"), F.lit(7.0).alias("rate"))
+    out = enrich.impute_by_band(rows, "smoke", "age", bands, max_bands=100)
+    assert sorted((r.id, r.smoke) for r in out.collect()) == [(1, 0.07), (2, 0.5), (3, None), (4, None)]
+    assert sorted(r.key for r in asked[0].dropna().collect()) == [5.0, 99.0]
+
+
 def test_no_bands_and_no_keys(spark):
     none = spark.createDataFrame([], "idx int, lo double, hi double, rate double")
     some = spark.createDataFrame([(1, 2.0, 3.0, 4.0), (2, None, 3.0, 5.0), (3, float("nan"), 9.0, 6.0)], "idx int, lo double, hi double, rate double")
