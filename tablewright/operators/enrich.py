@@ -113,19 +113,20 @@ def first_bands(keys: DataFrame, bands: DataFrame, half_open: bool = False) -> D
 
     Bands become disjoint segments, each with the rate of its first band, and meet the
     keys in sorted order. Missing keys and bands without a beginning or an end are left out.
+    Segments are stored, as dealing them by range reads them twice.
     """
     asked = keys.select(F.col("key").cast("double").alias("key")).filter(F.col("key").isNotNull() & ~F.isnan("key")).distinct()
-    return as_of(asked, disjoint_segments(bands, half_open))
+    return as_of(asked, checkpointed(disjoint_segments(bands, half_open)))
 
 
-def _joined(df: DataFrame, key: str, bands: DataFrame, half_open: bool) -> tuple[DataFrame, str]:
-    """The table with the rate of each row's first band in a new column.
+def _joined(df: DataFrame, col: str, key: str, bands: DataFrame, half_open: bool) -> tuple[DataFrame, str]:
+    """The table with the rate of each row's first band in a new column, for rows with a gap in ``col``.
 
-    Distinct keys are looked up; what is found is stored, so the join back meets two plain
+    Distinct keys of these are looked up; what is found is stored, so the join back meets two plain
     exchanges and Spark splits the rows of a hot key.
     """
     rate = unused(df, "_rate")
-    found = checkpointed(first_bands(df.select(F.col(key).alias("key")), bands, half_open))
+    found = checkpointed(first_bands(df.filter(F.col(col).isNull()).select(F.col(key).alias("key")), bands, half_open))
     found = found.select(F.col("key").alias(f"{rate}key"), F.col("rate").alias(rate))
     return df.join(found, F.col(key).cast("double") == F.col(f"{rate}key"), "left").drop(f"{rate}key"), rate
 
@@ -143,7 +144,7 @@ def impute_by_band(df: DataFrame, col: str, key: str, bands: DataFrame | Iterabl
     """
     few = _few_bands(bands, max_bands)
     if few is None:
-        joined, rate = _joined(df, key, bands, half_open)
+        joined, rate = _joined(df, col, key, bands, half_open)
         filled = F.coalesce(F.col(col), _scaled(F.col(rate), 1.0, scale))
         return joined.select(*[filled.alias(c) if c == col else F.col(c) for c in df.columns])
     value = band_value(key, few, scale=scale, half_open=half_open)
@@ -161,7 +162,7 @@ def impute_by_band_and_group(df: DataFrame, col: str, key: str,
     few = _few_bands(bands, max_bands)
     columns = df.columns
     if few is None:
-        df, joined = _joined(df, key, bands, half_open)
+        df, joined = _joined(df, col, key, bands, half_open)
     value = F.lit(None).cast("double")
     for group, factor in factors.items():
         rate = (_scaled(F.col(joined), factor, scale) if few is None
