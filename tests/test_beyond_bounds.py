@@ -60,6 +60,19 @@ def test_a_thousand_columns_take_two_scans(spark, tmp_path):
     assert found[1] == pytest.approx((np.corrcoef(values.T).sum() - n) / 2, rel=1e-6)
 
 
+def test_wide_columns_are_one_expression(spark, tmp_path):
+    """Thirty-two in a generated method are too many for Java to compile it."""
+    from checks.profiles import WIDE, wide_items, wide_sql
+
+    rows = [(k, float(k % 50), None if k == 9 else k * 1.37, k % 7) for k in range(-20, 40)]
+    df = spark.createDataFrame(rows, "l_orderkey long, l_quantity double, l_extendedprice double, l_linenumber int")
+    df.write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = wide_items(spark, str(tmp_path))
+    expected = df.select(*[F.expr(wide_sql(i)).cast("double").alias(f"x{i}") for i in range(WIDE)])
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect())) and found.dtypes == expected.dtypes
+    assert plan(found).split("== Physical Plan ==")[1].count("CASE WHEN") == 1
+
+
 def brute(key, bands, half_open):
     return next((rate for lo, hi, rate in bands if lo <= key and (key < hi + 1 if half_open else key <= hi)), None)
 
