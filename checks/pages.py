@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from checks import query
 from checks.inputs import table
 from tablewright.operators import extract as X
+from tablewright.operators.ranks import partitions
 
 LI = "regexp_replace(html, '(?s)<script.*?</script>', '', 'g')"
 
@@ -94,7 +95,9 @@ def part_pages(spark, folder):
         F.lit('</span><span class="ci">9</span></span><span class="point y17"><span class="est">'),
         num(size, k % 10), F.lit('</span></span><span class="point y17"><span class="est"></span></span>'),
         F.lit('<span class="point y18"><span class="est">99</span></span></html>'))
-    return table(spark, folder, "part").select(F.col(at).alias("page_id"), html.alias("html"))
+    # A part is a few bytes and a page much work, so as many tasks as the file has row groups would be too few.
+    part = table(spark, folder, "part").select(at, "p_size")
+    return part.repartition(partitions(part)).select(F.col(at).alias("page_id"), html.alias("html"))
 
 
 @query("""SELECT p_partkey AS page_id, 1 AS key, (p_partkey % 50 || '.' || p_partkey % 7)::DOUBLE AS rate FROM part
