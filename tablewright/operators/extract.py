@@ -6,10 +6,12 @@ a position in document order, and the element's inner html.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.functions import html as H
 
@@ -18,17 +20,39 @@ def extract_elements(pages: DataFrame, tag: str, class_: str | None = None, *,
                      id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """(id, pos, inner) of all elements of a tag and class, nested ones included."""
     clean = pages.select(id_col, H.without_scripts(html_col).alias("_html"))
-    return (clean.select(id_col, F.posexplode(H.elements("_html", tag, class_)).alias("pos", "element"))
-            .select(id_col, "pos", F.col("element.inner").alias("inner")))
+    return _listed(clean, tag, class_)
+
+
+def _listed(fragments: DataFrame, tag: str, class_: str | None) -> DataFrame:
+    """The columns but the last, which holds html, with (pos, inner) of each element in it.
+
+    A few pages at a time are read and their elements given out, so a task's memory does not grow with its pages.
+    """
+    H.check_tag(tag)
+    *kept, _ = fragments.schema.fields
+    schema = T.StructType([*kept, T.StructField("pos", T.IntegerType(), False), T.StructField("inner", T.StringType())])
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *others, html = batch.columns
+            for first, end in H.parts_of(html):
+                rows, pos, inner = [], [], []
+                for row, page in enumerate(html[first:end].to_pylist(), first):
+                    for k, found in enumerate([] if page is None else H.scan_elements(page, tag, class_)):
+                        rows.append(row)
+                        pos.append(k)
+                        inner.append(found[1])
+                at = pa.array(rows, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [*[c.take(at) for c in others], pa.array(pos, pa.int32()), pa.array(inner, pa.string())], schema.names)
+
+    return fragments.mapInArrow(listed, schema)
 
 
 def nested_elements(elements: DataFrame, tag: str, class_: str | None = None, *,
                     id_col: str = "page_id", html_col: str = "inner") -> DataFrame:
     """Elements inside elements: (id, outer_pos, pos, inner)."""
-    found = H.elements(html_col, tag, class_)
-    return (elements.select(id_col, F.col("pos").alias("outer_pos"),
-                            F.posexplode(found).alias("pos", "element"))
-            .select(id_col, "outer_pos", "pos", F.col("element.inner").alias("inner")))
+    return _listed(elements.select(id_col, F.col("pos").alias("outer_pos"), html_col), tag, class_)
 
 
 def child_text(elements: DataFrame, tag: str, n: int = 0, out: str = "text") -> DataFrame:

@@ -172,3 +172,32 @@ def test_enrichment_from_pages(spark):
 
 def test_age_bands_keep_only_the_first_rows(spark):
     assert age_bands(stored_pages(spark).filter("url = 'a'"), rows=2).count() == 2
+
+
+def test_pages_are_read_a_few_at_a_time(spark):
+    import pyarrow as pa
+
+    from tablewright.functions import html as H
+
+    pages = pa.array(["<p>x</p>" * 50_000, None, "", "<p>y", "<p>z</p>" * 200_000, "<p>w</p>"])  # 0.4 and 1.6 MB
+    assert list(H.parts_of(pages)) == [(0, 5), (5, 6)]
+    assert list(H.parts_of(pages[:0])) == [] and list(H.parts_of(pages[1:3])) == [(0, 2)]
+    at_once = []
+    found = H.by_parts(pages, lambda t: at_once.append(t) or (None if t is None else len(t)), pa.int64())
+    assert found.to_pylist() == [400_000, None, 0, 4, 1_600_000, 8] and len(at_once) == 6
+    rows = [(f"{k}", page) for k, page in enumerate(pages.to_pylist())]
+    out = X.extract_elements(spark.createDataFrame(rows, "url string, html string").coalesce(1), "p", id_col="url")
+    assert "MapInArrow" in out._jdf.queryExecution().executedPlan().toString()
+    assert {r.url: r["count"] for r in out.groupBy("url").count().collect()} == {"0": 50_000, "3": 1, "4": 200_000, "5": 1}
+    inside = X.nested_elements(out.filter("url <> '4'").withColumn("inner", F.concat(F.lit("<b>"), "inner", F.lit("</b>"))), "b", id_col="url")
+    assert inside.columns == ["url", "outer_pos", "pos", "inner"] and inside.count() == 50_002
+    assert inside.agg(F.max("outer_pos"), F.max("pos")).first() == (49_999, 0)
+
+
+def test_pages_of_parts_are_made_by_all_tasks(spark, tmp_path):
+    from checks.pages import part_pages
+
+    spark.range(200).select(F.col("id").alias("p_partkey"), (F.col("id") % 50).cast("int").alias("p_size")).coalesce(1).write.parquet(
+        str(tmp_path / "part.parquet"))
+    tasks = part_pages(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions")) and sum(r["count"] for r in tasks) == 200
