@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from functools import partial
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+import numpy as np
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -17,6 +21,9 @@ from pyspark.sql import functions as F
 from tablewright.functions.values import fold_of
 from tablewright.operators.features import min_max_vector
 
+ROWS_DEALT = 400_000  # rows in a partition of a search; a second stage a step costs more than fewer would save
+NUMBERS_DEALT = 8_000_000  # features, label and fold of those rows, 64 MB of doubles
+
 
 def logistic(label: str, *, features: str = "features", reg: float = 0.0, c: float | None = None,
              n: int | None = None, max_iter: int = 100) -> LogisticRegression:
@@ -59,17 +66,57 @@ def fold_table(train: DataFrame, features: Sequence[str], label: str, key: Seque
                folds: int = 5, seed: int = 42) -> DataFrame:
     """The assembled features, the label and, with a key, the fold: what a search reads of its rows.
 
-    Searches over the same rows and features can share one such table, persisted.
+    Searches over the same rows and features can share one such table, persisted. With a key, rows
+    are counted and dealt over `dealt_partitions`; without one the folds depend on how they lie, so they stay.
     """
     rows = assembler(features).transform(train.select(*[F.col(c) for c in (*features, label)], *(
         [] if key is None else [fold_of(key, folds, seed + 1).alias("_fold")])))
-    return rows.drop(*[c for c in features if c != label])
+    rows = rows.drop(*[c for c in features if c != label])
+    dealt = 1 if key is None else dealt_partitions(train.count(), len(features))
+    return rows.repartition(dealt) if dealt > 1 else rows
+
+
+def dealt_partitions(rows: int, features: int) -> int:
+    """How many partitions the fits of a search read; 1 leaves rows as they were read.
+
+    A file gives one split per row group, often one in all, and each of a thousand steps
+    waits for the task that has most rows.
+    """
+    return max(math.ceil(rows / ROWS_DEALT), math.ceil(rows * (features + 2) / NUMBERS_DEALT))
+
+
+class PooledCrossValidator(CrossValidator):
+    """Spark's search, with the fits of all folds in one pool and the stages before the classifier fitted once a fold.
+
+    The fits of a fold differ in length. Fold by fold, most of the pool waits for the longest.
+    """
+
+    def _fit(self, dataset: DataFrame) -> CrossValidatorModel:
+        grid, evaluator = self.getEstimatorParamMaps(), self.getEvaluator()
+        *before, classifier = self.getEstimator().getStages()
+        target = inheritable_thread_target(dataset.sparkSession)
+
+        def scaled(fold: tuple[DataFrame, DataFrame]) -> list[DataFrame]:
+            scaler = Pipeline(stages=before).fit(fold[0])
+            return [scaler.transform(rows) for rows in fold]
+
+        def measured(train: DataFrame, validation: DataFrame, params: dict) -> float:
+            return evaluator.evaluate(classifier.fit(train, params).transform(validation))
+
+        with ThreadPool(self.getParallelism()) as pool:
+            folds = pool.map(lambda f: f(), [target(partial(scaled, fold)) for fold in self._kFold(dataset)], chunksize=1)
+            found = pool.map(lambda f: f(), [target(partial(measured, *fold, params)) for fold in folds for params in grid], chunksize=1)
+        areas = np.array(found).reshape(len(folds), len(grid))
+        means = areas.mean(axis=0)
+        best = np.argmax(means) if evaluator.isLargerBetter() else np.argmin(means)
+        refitted = self.getEstimator().fit(dataset, grid[best])
+        return self._copyValues(CrossValidatorModel(refitted, means.tolist(), stdMetrics=areas.std(axis=0).tolist()))
 
 
 def search_folds(estimator: Estimator, grid: Mapping[str, Sequence], data: DataFrame, *, features: Sequence[str],
                  folds: int = 5, metric: str = "areaUnderROC", parallelism: int = 4, seed: int = 42) -> CrossValidatorModel:
-    """`cross_validate` over a `fold_table`; the best model takes rows with the features again."""
-    search = CrossValidator(
+    """`cross_validate` over a persisted `fold_table`; the best model takes rows with the features again."""
+    search = PooledCrossValidator(
         estimator=Pipeline(stages=_scaled(estimator)),
         estimatorParamMaps=param_grid(estimator, grid),
         evaluator=BinaryClassificationEvaluator(labelCol=estimator.getLabelCol(), metricName=metric),
