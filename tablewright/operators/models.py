@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tablewright.functions.values import fold_of
 from tablewright.operators.features import min_max_vector
 
-ROWS_DEALT = 400_000  # rows in a partition of a search; a second stage a step costs more than fewer would save
+ROWS_DEALT = 1_000_000  # rows in a partition of a search; fewer save less than the second stage of a step costs
 NUMBERS_DEALT = 8_000_000  # features, label and fold of those rows, 64 MB of doubles
 
 
